@@ -41,7 +41,6 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-@arrow_udf("bigint")
 def _fingerprints(text: pa.Array) -> pa.Array:
     out = np.array([fingerprint(t) for t in text.to_pylist()], np.uint64)
     return pa.array(out.view(np.int64), pa.int64())
@@ -49,7 +48,7 @@ def _fingerprints(text: pa.Array) -> pa.Array:
 
 def fingerprint_column(text: str):
     """Column of signed 64-bit fingerprints of a text column."""
-    return _fingerprints.asNondeterministic()(F.col(text))
+    return arrow_udf(_fingerprints, "bigint").asNondeterministic()(F.col(text))
 
 
 def links(prints: DataFrame, scratch: Scratch) -> DataFrame:
