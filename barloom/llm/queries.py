@@ -10,17 +10,44 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_multi_index_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedindex import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op3_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import decontaminate
+
+    out = decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.drop("hit_spans", "items")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_simhash_near_dedup)}
+def op6_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score
+
+    docs = _read(spark, sf_dir, "documents")
+    out = score(docs, fit(docs, _read(spark, sf_dir, "labels")))
+    return out.withColumn("n_offending", F.size("offending")).drop("offending")
+
+
+def op7_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secretscan import fit, scan
+
+    return scan(_read(spark, sf_dir, "documents"), fit())
+
+
+QUERIES = {f.__name__: f for f in (op1_multi_index_near_dedup, op2_best_fit_packing, op3_winnowing_decontamination, op4_simhash_near_dedup, op6_noisy_or_toxicity, op7_forest_secret_scan)}
 SQL: dict[str, str] = {}
