@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
 import zlib
@@ -31,7 +32,7 @@ ENDS_P = {
 }
 
 PATH_DIM, WORD_DIM, MORE = 512, 64, 6
-DIM = PATH_DIM + WORD_DIM + MORE
+REST = WORD_DIM + MORE
 HIDDEN = 24
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
@@ -132,33 +133,58 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _hash(x: str, dim: int) -> int:
-    return zlib.crc32(x.encode("utf-8", "replace")) % dim
+def _hash(x: str) -> int:
+    return zlib.crc32(x.encode("utf-8", "replace")) % PATH_DIM
 
 
 @lru_cache(maxsize=20_000)
 def _path_vector(path: tuple[str, ...]) -> tuple[int, ...]:
     last = next((m for m in reversed(path) if m[0] != "."), "")
-    return tuple({_hash(m, PATH_DIM) for m in path} | {_hash(f"last:{last}", PATH_DIM)})
+    return tuple({_hash(m) for m in path} | {_hash(f"last:{last}")})
 
 
-def vectors(page_blocks: list[Block]) -> np.ndarray:
-    """For each block: its tag path (hashed marks), its words (hashed, unit length) and a few measures."""
-    x = np.zeros((len(page_blocks), DIM), np.float32)
+def vectors(page_blocks: list[Block]) -> tuple[list[tuple[str, ...]], np.ndarray]:
+    """For each block its tag path, and a vector of its words (hashed, unit length) and a few measures."""
+    x = np.zeros((len(page_blocks), REST), np.float32)
     for row, b in zip(x, page_blocks, strict=True):
-        row[list(_path_vector(b.path))] = 1
         words = b.text.lower().split()
-        counts = np.bincount([_hash(w, WORD_DIM) for w in words], minlength=WORD_DIM)
-        row[PATH_DIM : PATH_DIM + WORD_DIM] = counts / np.linalg.norm(counts)
+        counts = np.bincount([zlib.crc32(w.encode("utf-8", "replace")) % WORD_DIM for w in words], minlength=WORD_DIM)
+        row[:WORD_DIM] = counts / math.sqrt(counts @ counts)
         chars = len(b.text)
-        row[-MORE:] = (np.log1p(len(words)) / 5, min(1.0, b.linked / chars), b.text[-1] in ".!?…\"'”", sum(c in ",.;" for c in b.text) / chars * 10, len(words) < 4, len(b.path) / 20)
-    return x
+        marks = sum(b.text.count(c) for c in ",.;")
+        row[WORD_DIM:] = (math.log1p(len(words)) / 5, min(1.0, b.linked / chars), b.text[-1] in ".!?…\"'”", marks / chars * 10, len(words) < 4, len(b.path) / 20)
+    return [b.path for b in page_blocks], x
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+@dataclass
+class Batch:
+    """Pages padded to one length: rows of distinct paths, the path of each block, its vector, 1 where there is a block."""
+
+    paths: np.ndarray
+    which: np.ndarray
+    rest: np.ndarray
+    mask: np.ndarray
+
+
+def batch(pages: list[tuple[list[tuple[str, ...]], np.ndarray]]) -> Batch:
+    t = max(len(x) for _, x in pages)
+    known: dict[tuple[str, ...], int] = {}
+    which, rest = np.zeros((len(pages), t), np.int64), np.zeros((len(pages), t, REST), np.float32)
+    mask = np.zeros((len(pages), t), np.float32)
+    for k, (paths, x) in enumerate(pages):
+        which[k, : len(x)] = [known.setdefault(p, len(known)) for p in paths]
+        rest[k, : len(x)] = x
+        mask[k, : len(x)] = 1
+    rows = np.zeros((max(1, len(known)), PATH_DIM), np.float32)
+    for path, k in known.items():
+        rows[k, list(_path_vector(path))] = 1
+    return Batch(rows, which, rest, mask)
+
+
 class Labeller:
     """Bidirectional LSTM with a logistic output for each block, in numpy."""
 
@@ -166,42 +192,48 @@ class Labeller:
         rng = np.random.default_rng(seed)
         self.p = {"out": rng.normal(0, 0.1, 2 * HIDDEN), "bias": np.zeros(1)}
         for d in "fb":
-            self.p |= {f"w{d}": rng.normal(0, 0.08, (DIM, 4 * HIDDEN)), f"u{d}": rng.normal(0, 0.15, (HIDDEN, 4 * HIDDEN)), f"c{d}": np.zeros(4 * HIDDEN)}
+            self.p |= {
+                f"t{d}": rng.normal(0, 0.08, (PATH_DIM, 4 * HIDDEN)), f"w{d}": rng.normal(0, 0.08, (REST, 4 * HIDDEN)),
+                f"u{d}": rng.normal(0, 0.15, (HIDDEN, 4 * HIDDEN)), f"c{d}": np.zeros(4 * HIDDEN),
+            }
             self.p[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1.0
-
-    def _run(self, d: str, x: np.ndarray, mask: np.ndarray):
-        """Hidden states of one direction over (pages, blocks, DIM); where mask is 0 the state stays as it is."""
-        n, t, _ = x.shape
-        z = x @ self.p[f"w{d}"] + self.p[f"c{d}"]
-        h, c = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN))
-        hs, cache = np.zeros((n, t, HIDDEN)), []
+        self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
+
+    def _run(self, d: str, b: Batch, keep: bool):
+        """Hidden states of one direction; where there is no block the state stays as it is."""
+        n, t = b.which.shape
+        z = (b.paths @ self.p[f"t{d}"])[b.which] + b.rest @ self.p[f"w{d}"] + self.p[f"c{d}"]
+        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        hs, cache = np.zeros((n, t, HIDDEN), np.float32), []
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             g = z[:, k] + h @ self.p[f"u{d}"]
-            i, f, o = (_sigmoid(g[:, j * HIDDEN : (j + 1) * HIDDEN]) for j in range(3))
+            s = _sigmoid(g[:, : 3 * HIDDEN])
+            i, f, o = s[:, :HIDDEN], s[:, HIDDEN : 2 * HIDDEN], s[:, 2 * HIDDEN :]
             a = np.tanh(g[:, 3 * HIDDEN :])
-            m = mask[:, k, None]
+            m = b.mask[:, k, None]
             c2 = m * (f * c + i * a) + (1 - m) * c
             tc = np.tanh(c2)
             h2 = m * (o * tc) + (1 - m) * h
-            cache.append((k, h, c, i, f, o, a, tc, m))
+            if keep:
+                cache.append((k, h, c, i, f, o, a, tc, m))
             h, c = h2, c2
             hs[:, k] = h
         return hs, cache
 
-    def predict(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        hs = np.concatenate([self._run(d, x, mask)[0] for d in "fb"], axis=2)
+    def predict(self, b: Batch) -> np.ndarray:
+        hs = np.concatenate([self._run(d, b, False)[0] for d in "fb"], axis=2)
         return _sigmoid(hs @ self.p["out"] + self.p["bias"])
 
-    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-        runs = {d: self._run(d, x, mask) for d in "fb"}
+    def gradients(self, b: Batch, y: np.ndarray) -> dict[str, np.ndarray]:
+        runs = {d: self._run(d, b, True) for d in "fb"}
         hs = np.concatenate([runs[d][0] for d in "fb"], axis=2)
-        dz = (_sigmoid(hs @ self.p["out"] + self.p["bias"]) - y) * mask / mask.sum()
+        dz = (_sigmoid(hs @ self.p["out"] + self.p["bias"]) - y) * b.mask / b.mask.sum()
         grads = {"out": np.einsum("ntk,nt->k", hs, dz), "bias": np.array([dz.sum()])}
         for j, d in enumerate("fb"):
             dhs = dz[:, :, None] * self.p["out"][j * HIDDEN : (j + 1) * HIDDEN]
-            dg_all = np.zeros((*x.shape[:2], 4 * HIDDEN))
+            dg_all = np.zeros((*b.which.shape, 4 * HIDDEN), np.float32)
             du = np.zeros_like(self.p[f"u{d}"])
-            dh, dc = np.zeros((len(x), HIDDEN)), np.zeros((len(x), HIDDEN))
+            dh, dc = np.zeros((len(y), HIDDEN), np.float32), np.zeros((len(y), HIDDEN), np.float32)
             for k, h, c, i, f, o, a, tc, m in reversed(runs[d][1]):
                 dh = dh + dhs[:, k]
                 dc_in = dc + m * dh * o * (1 - tc**2)
@@ -210,7 +242,10 @@ class Labeller:
                 du += h.T @ dgate
                 dh = dgate @ self.p[f"u{d}"].T + (1 - m) * dh
                 dc = m * dc_in * f + (1 - m) * dc
-            grads |= {f"w{d}": np.einsum("ntd,ntg->dg", x, dg_all, optimize=True), f"u{d}": du, f"c{d}": dg_all.sum((0, 1))}
+            flat = dg_all.reshape(-1, 4 * HIDDEN)
+            by_path = np.zeros((len(b.paths), 4 * HIDDEN), np.float32)
+            np.add.at(by_path, b.which.ravel(), flat)
+            grads |= {f"t{d}": b.paths.T @ by_path, f"w{d}": b.rest.reshape(-1, REST).T @ flat, f"u{d}": du, f"c{d}": flat.sum(0)}
         return grads
 
 
@@ -290,15 +325,6 @@ def made_pages(n: int = 900, seed: int = 21) -> list[list[tuple[Block, int]]]:
     return pages
 
 
-def _batch(xs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    t = max(len(x) for x in xs)
-    x, mask = np.zeros((len(xs), t, DIM), np.float32), np.zeros((len(xs), t))
-    for k, v in enumerate(xs):
-        x[k, : len(v)] = v
-        mask[k, : len(v)] = 1
-    return x, mask
-
-
 _trained: dict[tuple[int, int], Labeller] = {}
 
 
@@ -309,29 +335,29 @@ def train(pages: list[list[tuple[Block, int]]] | None = None, steps: int = 320,
         return _trained[key]
     data = made_pages() if pages is None else pages
     xs = [vectors([b for b, _ in p]) for p in data]
-    ys = [np.array([y for _, y in p], float) for p in data]
+    ys = [np.array([y for _, y in p], np.float32) for p in data]
     model, rng = Labeller(seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     v = {k: np.zeros_like(w) for k, w in model.p.items()}
-    order = np.argsort([len(x) for x in xs], kind="stable")
+    order = np.argsort([len(y) for y in ys], kind="stable")
     for step in range(1, steps + 1):
         lo = int(rng.integers(0, max(1, len(order) - 32)))
         pick = order[lo : lo + 32]
-        x, mask = _batch([xs[k] for k in pick])
-        x[:, :, PATH_DIM : PATH_DIM + WORD_DIM] *= rng.random((*x.shape[:2], 1)) < 0.7
-        x[:, :, :PATH_DIM] *= rng.random((*x.shape[:2], PATH_DIM)) < 0.93
-        y = np.zeros(mask.shape)
+        b = batch([xs[k] for k in pick])
+        b.rest[:, :, :WORD_DIM] *= rng.random((*b.which.shape, 1)) < 0.7  # some blocks without words, some paths without marks
+        b.paths *= rng.random(b.paths.shape) < 0.93
+        y = np.zeros(b.mask.shape, np.float32)
         for k, one in enumerate(pick):
             y[k, : len(ys[one])] = ys[one]
-        for k, g in model.gradients(x, mask, y).items():
+        for k, g in model.gradients(b, y).items():
             m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
-            model.p[k] -= 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+            model.p[k] = (model.p[k] - 0.01 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     if pages is None:
         _trained[key] = model
     return model
 
 
-def extract_texts(model: Labeller, pages: list[str], cells: int = 60_000) -> list[str]:
+def extract_texts(model: Labeller, pages: list[str], cells: int = 8_000) -> list[str]:
     """The article blocks of each page, joined by a space."""
     parsed = [blocks(p) for p in pages]
     out = [""] * len(pages)
@@ -339,10 +365,9 @@ def extract_texts(model: Labeller, pages: list[str], cells: int = 60_000) -> lis
     lo = 0
     while lo < len(order):
         hi = lo + 1
-        while hi < len(order) and len(parsed[order[hi]]) * (hi + 1 - lo) * DIM <= cells * DIM // 16 and len(parsed[order[hi]]) <= 2 * len(parsed[order[lo]]):
+        while hi < len(order) and len(parsed[order[hi]]) * (hi + 1 - lo) <= cells and len(parsed[order[hi]]) <= 1.3 * len(parsed[order[lo]]) + 2:
             hi += 1
-        x, mask = _batch([vectors(parsed[k]) for k in order[lo:hi]])
-        p = model.predict(x, mask)
+        p = model.predict(batch([vectors(parsed[k]) for k in order[lo:hi]]))
         for row, k in zip(p, order[lo:hi], strict=True):
             out[k] = " ".join(b.text for b, q in zip(parsed[k], row, strict=False) if q >= 0.5)
         lo = hi

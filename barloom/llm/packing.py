@@ -10,8 +10,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +31,6 @@ BUCKETS = 64
 _encoders: dict[str, Encoder] = {}
 
 
-def _some(texts: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about so many characters."""
-    lo = n = 0
-    for hi, t in enumerate(texts):
-        n += len(t)
-        if n >= chars:
-            yield texts[lo : hi + 1]
-            lo, n = hi + 1, 0
-    yield texts[lo:]
-
-
 def pieces_column(text: str, path: str, size: int = SIZE, end_id: int = 0):
     """Column of array<struct<piece, start, length, ids_crc32>>: the ids and one end id, cut if longer than `size`.
 
@@ -54,10 +42,9 @@ def pieces_column(text: str, path: str, size: int = SIZE, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path not in _encoders:
             _encoders[path] = Encoder(path)
-        texts = ["" if t is None else t for t in column.to_pylist()]
         counts, rows = [], []
-        for ids in chain.from_iterable(map(_encoders[path].encode_many, _some(texts))):
-            ids += tail
+        for ids in _encoders[path].encode(column):
+            ids = ids.astype("<u4").tobytes() + tail
             n = len(ids) // 4
             first = n % size or size
             bounds = [0, *range(first, n + 1, size)]

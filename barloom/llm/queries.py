@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .licenses import oracle as license_sql
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -49,5 +51,17 @@ def op7_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_read(spark, sf_dir, "documents"), fit())
 
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_near_dedup, op2_best_fit_packing, op3_winnowing_decontamination, op4_simhash_near_dedup, op6_noisy_or_toxicity, op7_forest_secret_scan)}
-SQL: dict[str, str] = {}
+def op9_canonical_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(_read(spark, sf_dir, "documents"))
+
+
+def op10_recurrent_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .htmltext import extract
+
+    return extract(_read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_multi_index_near_dedup, op2_best_fit_packing, op3_winnowing_decontamination, op4_simhash_near_dedup, op6_noisy_or_toxicity, op7_forest_secret_scan, op9_canonical_license_scan, op10_recurrent_html_extraction)}
+SQL: dict[str, str] = {"op9_canonical_license_scan": license_sql()}
