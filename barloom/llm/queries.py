@@ -37,6 +37,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_paragraph_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .paragraphs import dedup
+
+    return dedup(_read(spark, sf_dir, "documents"))
+
+
 def op6_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import fit, score
 
@@ -51,6 +57,12 @@ def op7_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_read(spark, sf_dir, "documents"), fit())
 
 
+def op8_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixdedup import dedup
+
+    return dedup(_read(spark, sf_dir, "documents"))
+
+
 def op9_canonical_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan
 
@@ -63,5 +75,19 @@ def op10_recurrent_html_extraction(spark: SparkSession, sf_dir: str) -> DataFram
     return extract(_read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_near_dedup, op2_best_fit_packing, op3_winnowing_decontamination, op4_simhash_near_dedup, op6_noisy_or_toxicity, op7_forest_secret_scan, op9_canonical_license_scan, op10_recurrent_html_extraction)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_multi_index_near_dedup,
+        op2_best_fit_packing,
+        op3_winnowing_decontamination,
+        op4_simhash_near_dedup,
+        op5_paragraph_minhash_dedup,
+        op6_noisy_or_toxicity,
+        op7_forest_secret_scan,
+        op8_suffix_sort_dedup,
+        op9_canonical_license_scan,
+        op10_recurrent_html_extraction,
+    )
+}
 SQL: dict[str, str] = {"op9_canonical_license_scan": license_sql()}
