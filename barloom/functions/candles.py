@@ -75,7 +75,7 @@ def with_multi_patterns(bars: DataFrame, t: Candles = Candles()) -> DataFrame:
     """
     rows = with_patterns(bars, t)
     rows = rows.withColumn("__soft", (F.col("__pct") < t.doji_body) | _top(t))
-    lagged = {f"__{x}{k}": F.lag(x, k).over(by_time) for k in (1, 2) for x in ("open", "high", "low", "close", "__body", "__up", "__soft", "candle_pattern", "candle_score")}
+    lagged = {f"__{x}{k}": F.lag(x, k).over(by_time()) for k in (1, 2) for x in ("open", "high", "low", "close", "__body", "__up", "__soft", "candle_pattern", "candle_score")}
     rows = rows.withColumns(lagged)
     col = lambda x, k=0: F.col(x if not k else f"__{x}{k}")
     o, h, lo, c, name = ([col(x, k) for k in (0, 1, 2)] for x in ("open", "high", "low", "close", "candle_pattern"))

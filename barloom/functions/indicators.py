@@ -9,12 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-by_time = Window.partitionBy("symbol").orderBy("datetime")
+
+
+def by_time():
+    """A symbol's bars in order."""
+    return Window.partitionBy("symbol").orderBy("datetime")
 
 
 def last(n: int):
     """The frame of a bar and the n - 1 before it."""
-    return by_time.rowsBetween(-(n - 1), 0)
+    return by_time().rowsBetween(-(n - 1), 0)
 
 
 def full(aggregate, x: Column, n: int) -> Column:
@@ -24,11 +28,11 @@ def full(aggregate, x: Column, n: int) -> Column:
 
 def change(x: Column | str) -> Column:
     x = F.col(x) if isinstance(x, str) else x
-    return x - F.lag(x).over(by_time)
+    return x - F.lag(x).over(by_time())
 
 
 def pct_change(x: str) -> Column:
-    return F.try_divide(F.col(x), F.lag(x).over(by_time)) - 1
+    return F.try_divide(F.col(x), F.lag(x).over(by_time())) - 1
 
 
 def intraday_return() -> Column:
@@ -76,7 +80,7 @@ def bollinger_pct_b(n: int = 20, sigmas: float = 2.0) -> Column:
 
 
 def true_range() -> Column:
-    before = F.lag("close").over(by_time)
+    before = F.lag("close").over(by_time())
     return F.greatest(price_range(), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
@@ -109,7 +113,7 @@ def obv(ties_count: bool = True) -> Column:
     """Running volume: minus where the close falls, plus elsewhere; first bar and ties count unless told otherwise."""
     v, d = F.col("volume"), change("close")
     rest = v if ties_count else F.when(d > 0, v).otherwise(F.lit(0.0))
-    return F.sum(F.when(d < 0, -v).otherwise(rest)).over(by_time.rowsBetween(Window.unboundedPreceding, 0))
+    return F.sum(F.when(d < 0, -v).otherwise(rest)).over(by_time().rowsBetween(Window.unboundedPreceding, 0))
 
 
 def relative_volume(n: int = 20) -> Column:
@@ -136,8 +140,8 @@ def volume_rvol(bars, per_session: str = "bars_per_session", days: int = 20):
     n = (F.col(per_session) * days).cast("long")
     run = bars.withColumns({
         "__n": n,
-        "__row": F.row_number().over(by_time).cast("long"),
-        "__sum": F.sum("volume").over(by_time.rowsBetween(Window.unboundedPreceding, 0)),
+        "__row": F.row_number().over(by_time()).cast("long"),
+        "__sum": F.sum("volume").over(by_time().rowsBetween(Window.unboundedPreceding, 0)),
         "__span": F.datediff(F.max("datetime").over(Window.partitionBy("symbol")), F.min("datetime").over(Window.partitionBy("symbol"))),
     })
     before = run.select(F.col("symbol"), (F.col("__row") + F.col("__n")).alias("__row"), F.col("__sum").alias("__before"))
@@ -158,9 +162,9 @@ def volume_repaired() -> Column:
 
 
 def with_volume_neighbours(bars):
-    row = bars.withColumns({"__row": F.row_number().over(by_time), "__v": F.when(F.col("volume") != 0, F.col("volume"))})
+    row = bars.withColumns({"__row": F.row_number().over(by_time()), "__v": F.when(F.col("volume") != 0, F.col("volume"))})
     known = F.when(F.col("__v").isNotNull(), F.struct(F.col("__v").alias("v"), F.col("__row").alias("row")))
-    back, ahead = by_time.rowsBetween(Window.unboundedPreceding, 0), by_time.rowsBetween(0, Window.unboundedFollowing)
+    back, ahead = by_time().rowsBetween(Window.unboundedPreceding, 0), by_time().rowsBetween(0, Window.unboundedFollowing)
     return row.withColumns({"__prev": F.last(known, True).over(back), "__next": F.first(known, True).over(ahead)})
 
 

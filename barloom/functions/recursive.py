@@ -11,7 +11,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..sources.staging import staged
 from .indicators import by_time, true_range
 
 BLOCK = 4096
@@ -21,24 +23,23 @@ def scan(bars: DataFrame, inputs: dict[str, tuple[str, Column]], block: int = BL
     """bars with a column for each of inputs: name -> (input column, factor a).
 
     A series starts at its first non-null input with that value; later nulls leave the value as it is. The factor
-    must be the same for all bars of a symbol.
+    must be the same for all bars of a symbol. The numbered bars are written once and read for both steps.
     """
+    whole = by_time().rowsBetween(Window.unboundedPreceding, 0)
+    in_block = Window.partitionBy("symbol", "__block")
     rows = bars.withColumns(
-        {"__row": F.row_number().over(by_time) - 1} | {f"__a_{k}": a.cast("double") for k, (_, a) in inputs.items()}
-    ).withColumn("__block", F.floor(F.col("__row") / block))
-    # Places among the non-null inputs of the whole series, and of the block.
-    whole = by_time.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({f"__n_{k}": F.count(x).over(whole) for k, (x, _) in inputs.items()})
+        {"__block": F.floor((F.row_number().over(by_time()) - 1) / block)}
+        | {f"__a_{k}": a.cast("double") for k, (_, a) in inputs.items()}
+        | {f"__n_{k}": F.count(x).over(whole) for k, (x, _) in inputs.items()}
+    )
+    rows = staged(rows.withColumns({f"__end_{k}": F.max(f"__n_{k}").over(in_block) for k in inputs}), "scan")
     parts = []
     for k, (x, _) in inputs.items():
         keep = 1 - F.col(f"__a_{k}")
         weight = F.when(F.col(f"__n_{k}") == 1, F.lit(1.0)).otherwise(F.col(f"__a_{k}"))
-        left = F.col(f"__end_{k}") - F.col(f"__n_{k}")
-        parts += [F.sum(weight * F.pow(keep, left) * F.col(x)).alias(f"own_{k}"), F.first(F.pow(keep, F.col(f"__end_{k}") - F.col(f"__begin_{k}"))).alias(f"decay_{k}")]
-    ends = rows.groupBy("symbol", "__block").agg(
-        *(e for k, (x, _) in inputs.items() for e in (F.max(f"__n_{k}").alias(f"__end_{k}"), (F.max(f"__n_{k}") - F.count(x)).alias(f"__begin_{k}")))
-    )
-    summary = rows.join(ends, ["symbol", "__block"]).groupBy("symbol", "__block").agg(*parts)
+        own = F.sum(weight * F.pow(keep, F.col(f"__end_{k}") - F.col(f"__n_{k}")) * F.col(x))
+        parts += [own.alias(f"own_{k}"), F.pow(F.first(keep), F.count(x)).alias(f"decay_{k}")]
+    summary = rows.groupBy("symbol", "__block").agg(*parts)
     names = list(inputs)
 
     def carry(g: pd.DataFrame) -> pd.DataFrame:
@@ -56,16 +57,15 @@ def scan(bars: DataFrame, inputs: dict[str, tuple[str, Column]], block: int = BL
     kinds = ", ".join(f"__carry_{k} double" for k in names)
     symbol = bars.schema["symbol"].dataType.simpleString()
     carried = summary.groupBy("symbol").applyInPandas(carry, f"symbol {symbol}, __block long, {kinds}")
-    schema = [f for f in bars.schema.fields]
-    columns = [f.name for f in schema]
-    table = rows.join(carried, ["symbol", "__block"])
+    columns = bars.columns
+    sources = {k: x for k, (x, _) in inputs.items()}
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("__row")
+        g = g.sort_values("datetime")
         out = g[columns].copy()
         for k in names:
             y, a = g[f"__carry_{k}"].iloc[0], g[f"__a_{k}"].to_numpy()
-            x, ys = g[inputs_of[k]].to_numpy(float, na_value=np.nan), np.empty(len(g))
+            x, ys = g[sources[k]].to_numpy(float, na_value=np.nan), np.empty(len(g))
             for i, v in enumerate(x):
                 if v == v:
                     y = v if y != y else (1 - a[i]) * y + a[i] * v
@@ -73,38 +73,47 @@ def scan(bars: DataFrame, inputs: dict[str, tuple[str, Column]], block: int = BL
             out[k] = [None if v != v else v for v in ys]
         return out
 
-    inputs_of = {k: x for k, (x, _) in inputs.items()}
-    from pyspark.sql import types as T
-
-    result = T.StructType(schema + [T.StructField(k, T.DoubleType()) for k in names])
+    result = T.StructType([*bars.schema.fields, *(T.StructField(k, T.DoubleType()) for k in names)])
+    table = rows.drop(*(f"__{p}_{k}" for k in names for p in ("n", "end"))).join(carried, ["symbol", "__block"])
     return table.groupBy("symbol", "__block").applyInPandas(run, result)
 
 
+def _alpha(n: int) -> Column:
+    return F.lit(2 / (n + 1))
+
+
+def smoothed(bars: DataFrame, window: str, days: int = 14, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
+    """bars with "macd" (the histogram), "atr_14d" and "adx_14d" (over `window` bars, a column), in two scans for all.
+
+    Wilder's values are NULL for symbols that span fewer days than `days`.
+    """
+    n = F.col(window).cast("double")
+    rows, inputs = _seeds(_moves(bars), {"atr_14d": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
+    out = scan(rows, {"__fast": ("close", _alpha(fast)), "__slow": ("close", _alpha(slow))} | inputs)
+    out = _direction(out).withColumn("__line", F.col("__fast") - F.col("__slow"))
+    rows, inputs = _seeds(out, {"adx_14d": "__dx"}, n)
+    out = scan(rows, {"__signal": ("__line", _alpha(signal))} | inputs)
+    long = _span(out) >= days
+    out = out.withColumns({"macd": F.col("__line") - F.col("__signal"), "atr_14d": F.when(long, F.col("atr_14d")), "adx_14d": F.when(long, F.col("adx_14d"))})
+    return out.drop(*(c for c in out.columns if c.startswith("__") and c not in bars.columns))
+
+
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
     """bars with "macd": the histogram of MACD, from exponential means that start at the first value."""
-    alpha = lambda n: F.lit(2 / (n + 1))
-    line = scan(bars, {"__fast": ("close", alpha(fast)), "__slow": ("close", alpha(slow))})
+    line = scan(bars, {"__fast": ("close", _alpha(fast)), "__slow": ("close", _alpha(slow))})
     line = line.withColumn("__line", F.col("__fast") - F.col("__slow"))
-    out = scan(line, {"__signal": ("__line", alpha(signal))})
+    out = scan(line, {"__signal": ("__line", _alpha(signal))})
     return out.withColumn("macd", F.col("__line") - F.col("__signal")).drop("__fast", "__slow", "__line", "__signal")
 
 
-def _wilder(bars: DataFrame, sources: dict[str, str], n: Column) -> DataFrame:
-    """Wilder means: the plain mean of the first n values, then ((n - 1) * before + value) / n; NULL before."""
-    rows = bars
-    for k, x in sources.items():
-        seen = F.count(x).over(by_time.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumns({f"__seen_{k}": seen, f"__sum_{k}": F.sum(x).over(by_time.rowsBetween(Window.unboundedPreceding, 0))})
-        seed = F.when(F.col(f"__seen_{k}") == n, F.col(f"__sum_{k}") / n).when(F.col(f"__seen_{k}") > n, F.col(x))
-        rows = rows.withColumn(f"__in_{k}", F.when(F.col(x).isNotNull(), seed)).drop(f"__seen_{k}", f"__sum_{k}")
-    out = scan(rows, {k: (f"__in_{k}", 1 / n) for k in sources})
-    return out.drop(*(f"__in_{k}" for k in sources))
-
-
-def wilder_atr(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
-    """bars with "atr_14d", over `window` bars (a column); NULL for symbols that span fewer days."""
-    out = _wilder(bars.withColumn("__tr", true_range()), {"atr_14d": "__tr"}, F.col(window).cast("double"))
-    return out.withColumn("atr_14d", F.when(_span(out) >= days, F.col("atr_14d"))).drop("__tr")
+def _seeds(bars: DataFrame, sources: dict[str, str], n: Column) -> tuple[DataFrame, dict[str, tuple[str, Column]]]:
+    """Inputs of Wilder means: the plain mean of the first n values at the n-th, NULL before, the value itself after it."""
+    run = by_time().rowsBetween(Window.unboundedPreceding, 0)
+    seen = {f"__seen_{k}": F.count(x).over(run) for k, x in sources.items()} | {f"__sum_{k}": F.sum(x).over(run) for k, x in sources.items()}
+    rows = bars.withColumns(seen)
+    at = {k: F.when(F.col(f"__seen_{k}") == n, F.col(f"__sum_{k}") / n).when(F.col(f"__seen_{k}") > n, F.col(x)) for k, x in sources.items()}
+    rows = rows.withColumns({f"__in_{k}": F.when(F.col(x).isNotNull(), at[k]) for k, x in sources.items()}).drop(*seen)
+    return rows, {k: (f"__in_{k}", 1 / n) for k in sources}
 
 
 def _span(bars: DataFrame) -> Column:
@@ -112,20 +121,36 @@ def _span(bars: DataFrame) -> Column:
     return F.datediff(F.max("datetime").over(all_of), F.min("datetime").over(all_of))
 
 
-def adx(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
-    """bars with "adx_14d": Wilder's average directional index over `window` bars (a column)."""
-    n = F.col(window).cast("double")
-    up = F.col("high") - F.lag("high").over(by_time)
-    down = F.lag("low").over(by_time) - F.col("low")
+def _moves(bars: DataFrame) -> DataFrame:
+    """bars with the true range and the directed moves."""
+    up = F.col("high") - F.lag("high").over(by_time())
+    down = F.lag("low").over(by_time()) - F.col("low")
     zero = F.lit(0.0)
-    moves = bars.withColumns({
+    return bars.withColumns({
         "__tr": true_range(),
         "__up": F.when((up > down) & (up > 0), up).otherwise(zero),
         "__down": F.when((down > up) & (down > 0), down).otherwise(zero),
     })
-    out = _wilder(moves, {"__atr": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
-    plus, minus = 100 * F.try_divide(F.col("__pdm"), F.col("__atr")), 100 * F.try_divide(F.col("__mdm"), F.col("__atr"))
-    out = out.withColumn("__dx", 100 * F.try_divide(F.abs(plus - minus), plus + minus))
-    out = _wilder(out, {"adx_14d": "__dx"}, n)
+
+
+def _direction(rows: DataFrame) -> DataFrame:
+    """rows with "__dx": how far the smoothed moves up and down differ, in per cent of their sum."""
+    plus, minus = 100 * F.try_divide(F.col("__pdm"), F.col("atr_14d")), 100 * F.try_divide(F.col("__mdm"), F.col("atr_14d"))
+    return rows.withColumn("__dx", 100 * F.try_divide(F.abs(plus - minus), plus + minus))
+
+
+def wilder_atr(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
+    """bars with "atr_14d", over `window` bars (a column); NULL for symbols that span fewer days."""
+    rows, inputs = _seeds(bars.withColumn("__tr", true_range()), {"atr_14d": "__tr"}, F.col(window).cast("double"))
+    out = scan(rows, inputs)
+    return out.withColumn("atr_14d", F.when(_span(out) >= days, F.col("atr_14d"))).drop("__tr", "__in_atr_14d")
+
+
+def adx(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
+    """bars with "adx_14d": Wilder's average directional index over `window` bars (a column)."""
+    n = F.col(window).cast("double")
+    rows, inputs = _seeds(_moves(bars), {"atr_14d": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
+    rows, inputs = _seeds(_direction(scan(rows, inputs)), {"adx_14d": "__dx"}, n)
+    out = scan(rows, inputs)
     out = out.withColumn("adx_14d", F.when(_span(out) >= days, F.col("adx_14d")))
-    return out.drop("__tr", "__up", "__down", "__atr", "__pdm", "__mdm", "__dx")
+    return out.drop("atr_14d", *(c for c in out.columns if c.startswith("__") and c not in bars.columns))

@@ -72,7 +72,7 @@ def null_trim(bars: DataFrame, ignore: tuple[str, ...] = ("volume", "obv", "rela
     names = [c for c in bars.columns if c not in (*ignore, "symbol")]
     whole = Window.partitionBy("symbol")
     bad = reduce(lambda a, b: a | b, [F.col(c).isNull() & (F.count(c).over(whole) > 0) for c in names])
-    rows = bars.withColumn("__bad", bad).withColumn("__row", F.row_number().over(by_time))
+    rows = bars.withColumn("__bad", bad).withColumn("__row", F.row_number().over(by_time()))
     rows = rows.withColumn("__last", F.max(F.when(F.col("__bad"), F.col("__row"))).over(whole))
     return rows.where(F.col("__row") > F.coalesce("__last", F.lit(0))).drop("__bad", "__row", "__last")
 

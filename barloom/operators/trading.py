@@ -28,7 +28,7 @@ def cross_features(bars: DataFrame, base: str, n: int = 5, x: str = "ret") -> Da
 
 def target(threshold: float = 0.0) -> Column:
     """0, 1 or 2: whether the next bar's close is lower, about equal or higher, by more than the threshold."""
-    move = F.try_divide(F.lead("close").over(by_time), F.col("close")) - 1
+    move = F.try_divide(F.lead("close").over(by_time()), F.col("close")) - 1
     return F.when(move > threshold, UP).when(move < -threshold, DOWN).when(move.isNotNull(), NEUTRAL)
 
 

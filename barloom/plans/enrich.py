@@ -11,6 +11,7 @@ from ..functions import indicators as ind
 from ..functions.interval import is_intraday
 from ..operators import bars as ops
 from ..operators.schedule import bars_per_session
+from ..sources.staging import staged
 
 PRICES = ("open", "low", "high", "close", "adj_close")
 
@@ -24,7 +25,7 @@ def scale(bars: DataFrame, ranges: DataFrame) -> DataFrame:
     return out.withColumns(cols).drop("min_price", "max_price", "min_volume", "max_volume")
 
 
-def window_features(bars: DataFrame, s: Settings, scaled: bool = False) -> DataFrame:
+def window_features(bars: DataFrame, s: Settings = Settings(), scaled: bool = False) -> DataFrame:
     """bars with every indicator of fixed frames, over one window; two selects, as some build on others."""
     out = ind.gains_and_losses(bars)
     out = out.withColumns({
@@ -49,9 +50,7 @@ def features(bars: DataFrame, holidays: DataFrame, events: DataFrame, s: Setting
     out = window_features(bars, s, scaled).join(sessions, "symbol", "left")
     out = ind.volume_rvol(out, "__sessions", s.rvol_days).withColumnRenamed("volume_rvol", "volume_rvol_20d")
     out = out.withColumn("__n", F.coalesce(F.col("__sessions") * 14, F.lit(14)))
-    out = recursive.macd(out, s.macd_fast, s.macd_slow, s.macd_signal)
-    out = recursive.adx(recursive.wilder_atr(out, "__n"), "__n").drop("__n", "__sessions")
-    out = candles.with_multi_patterns(out, s.candles)
+    out = candles.with_multi_patterns(recursive.smoothed(out, "__n", 14, s.macd_fast, s.macd_slow, s.macd_signal), s.candles).drop("__n", "__sessions")
     if scaled:
         out = out.drop("candle_pattern", "multi_candle_pattern").withColumnsRenamed({"candle_score": "candle_pattern", "multi_candle_score": "multi_candle_pattern"})
     else:
@@ -67,14 +66,14 @@ def enrich(bars: DataFrame, holidays: DataFrame, events: DataFrame, schedule: Da
     Two passes, over raw and over scaled prices, are joined by bar. `trim` drops what precedes a symbol's last
     incomplete bar.
     """
-    ranges = ops.ranges(bars)
-    table = scale(bars, ranges)
+    bars = staged(bars, "bars")  # read for the ranges and by both passes
+    table = scale(bars, ops.ranges(bars))
     raw = features(bars, holidays, events, s)
     values = table.select("symbol", "datetime", *(F.col(f"scaled_{c}").alias(c) for c in (*PRICES, "volume")))
     both = features(values, holidays, events, s, scaled=True)
     names = [c for c in raw.columns if c not in ("symbol", "datetime")]
     raw = raw.select("symbol", "datetime", *(F.col(c).alias(f"raw__{c}") for c in names))
-    out = raw.join(both, ["symbol", "datetime"])
+    out = staged(raw.join(both, ["symbol", "datetime"]), "features")
     if trim:
         ignored = ("volume", "obv", "relative_volume", "volume_change", "volume_rvol_20d", *(f"raw__{c}" for c in ("volume", "obv", "relative_volume", "volume_change", "volume_rvol_20d")))
         out = ops.null_trim(out, ignored)

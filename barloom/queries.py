@@ -286,7 +286,7 @@ def obv(spark, d):
     bars = daily(spark, d)
     falls = bars.withColumn("falls", ind.change("close") < 0)
     signed = F.when(F.col("falls"), -F.col("volume")).otherwise(F.col("volume"))
-    return shown(falls.withColumn("obv", F.sum(signed).over(ind.by_time.rowsBetween(Window.unboundedPreceding, 0))), "obv")
+    return shown(falls.withColumn("obv", F.sum(signed).over(ind.by_time().rowsBetween(Window.unboundedPreceding, 0))), "obv")
 
 
 @query(f"{DAILY} SELECT {STAMP}, {r(f'volume / nullif(avg(volume) OVER {wn(20)}, 0)', 'relative_volume')} FROM daily")
@@ -852,7 +852,7 @@ def profit_factor(spark, d):
     SELECT symbol, date, predicted, {r('CASE WHEN predicted = 2 THEN ret ELSE 0 END', 'ret')} FROM t WHERE symbol = '2-HIGH'"""
 )
 def simulate_one(spark, d):
-    rows = _returns(spark, d).withColumn("predicted", F.when(F.lag("ret").over(ind.by_time) < 0, trading.UP).otherwise(trading.DOWN))
+    rows = _returns(spark, d).withColumn("predicted", F.when(F.lag("ret").over(ind.by_time()) < 0, trading.UP).otherwise(trading.DOWN))
     rows = rows.where("symbol = '2-HIGH'").select("symbol", F.to_date("datetime").alias("date"), "predicted", "ret")
     return trading.simulate_one(rows).withColumn("ret", F.round("ret", 6)).select("symbol", "date", "predicted", "ret")
 

@@ -29,7 +29,8 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -
         return spark.createDataFrame([], schema)
     kept = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     rows = spark.read.schema(kept).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    found = rows.where(F.col("_corrupt").isNull() & F.coalesce(*(F.col(f"`{c}`").isNotNull() for c in schema.names)))
+    return found.select(*schema.names)
 
 
 def header(document: DataFrame) -> DataFrame:
