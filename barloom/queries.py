@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -67,11 +68,17 @@ def full(agg: str, x: str, n: int) -> str:
     return f"CASE WHEN count({x}) OVER {wn(n)} >= {n} THEN {agg}({x}) OVER {wn(n)} END"
 
 
-def query(sql: str | None):
+def query(sql: str | None, dates: tuple[str, ...] = ()):
+    """Registers a query and its SQL; dates: columns that both return as strings."""
+
     def keep(f):
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            return f(spark, d).withColumns({c: F.col(c).cast("string") for c in dates})
+
+        QUERIES[f.__name__] = run if dates else f
         if sql:
-            SQL[f.__name__] = sql
+            SQL[f.__name__] = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in dates)}) FROM ({sql})" if dates else sql
         return f
 
     return keep
@@ -495,7 +502,7 @@ BLOCKS = f"""{BOUNDS}, dated AS (SELECT symbol, isodow(date) - 1 AS weekday, fir
     blocks AS (SELECT *, hours = 24 AS all_day, hours = max(hours) OVER (PARTITION BY symbol, weekday) AND dates >= 0.2 * sum(dates) OVER (PARTITION BY symbol, weekday) AS recurrent FROM blocks0)"""
 
 
-@query(f"{HOURLY}, {BOUNDS} SELECT * FROM bounds")
+@query(f"{HOURLY}, {BOUNDS} SELECT * FROM bounds", dates=("date",))
 def daily_bounds(spark, d):
     return sched.daily_bounds(hourly(spark, d))
 
@@ -508,8 +515,7 @@ def trading_blocks(spark, d):
 @query(
     """WITH u AS (SELECT DISTINCT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderstatus = 'P' AND o_custkey % 7 = 0),
     x AS (SELECT *, coalesce(date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY date), date) > 8, TRUE) AS is_new FROM u),
-    y AS (SELECT *, sum(CAST(is_new AS INT)) OVER (PARTITION BY symbol ORDER BY date) AS run FROM x) SELECT symbol, min(date) AS date_from, max(date) AS date_to FROM y GROUP BY symbol, run"""
-)
+    y AS (SELECT *, sum(CAST(is_new AS INT)) OVER (PARTITION BY symbol ORDER BY date) AS run FROM x) SELECT symbol, min(date) AS date_from, max(date) AS date_to FROM y GROUP BY symbol, run""", dates=("date_from", "date_to"))
 def date_islands(spark, d):
     rows = spark.read.parquet(f"{d}/orders.parquet").where("o_orderstatus = 'P' AND o_custkey % 7 = 0")
     return sched.date_islands(rows.select(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("date")).distinct(), ["symbol"])
@@ -527,7 +533,7 @@ def _spans(spark, d):
     return rows.select(F.col("o_orderpriority").alias("symbol"), day.alias("date_from"), F.date_add(day, (F.col("o_custkey") % 10).cast("int")).alias("date_to"))
 
 
-@query(f"WITH {MERGED} SELECT * FROM merged")
+@query(f"WITH {MERGED} SELECT * FROM merged", dates=("date_from", "date_to"))
 def merge_intervals(spark, d):
     return sched.merge_intervals(_spans(spark, d), ["symbol"])
 
@@ -535,8 +541,7 @@ def merge_intervals(spark, d):
 @query(
     f"""WITH {MERGED}, z AS (SELECT *, lag(date_to) OVER w AS pt, lead(date_from) OVER w AS nf FROM merged WINDOW w AS (PARTITION BY symbol ORDER BY date_from))
     SELECT symbol, CASE WHEN date_diff('day', pt, date_from) > 1 THEN pt + CAST(date_diff('day', pt, date_from) // 2 + 1 AS INTEGER) ELSE date_from END AS date_from,
-    CASE WHEN date_diff('day', date_to, nf) > 1 THEN date_to + CAST(date_diff('day', date_to, nf) // 2 AS INTEGER) ELSE date_to END AS date_to FROM z"""
-)
+    CASE WHEN date_diff('day', date_to, nf) > 1 THEN date_to + CAST(date_diff('day', date_to, nf) // 2 AS INTEGER) ELSE date_to END AS date_to FROM z""", dates=("date_from", "date_to"))
 def close_gaps(spark, d):
     return sched.close_gaps(sched.merge_intervals(_spans(spark, d), ["symbol"]), ["date_from"], ["symbol"]).select("symbol", "date_from", "date_to")
 
@@ -554,7 +559,7 @@ _SUMMARY = f"""{BLOCKS}, kept AS (SELECT d.* FROM dated d JOIN blocks b ON b.sym
     summary AS (SELECT s.*, b.hours, b.all_day FROM spans s JOIN (SELECT symbol, f, t, max(hours) AS hours, bool_or(all_day) AS all_day FROM blocks WHERE recurrent GROUP BY ALL) b USING (symbol, f, t))"""
 
 
-@query(f"""{HOURLY}, {_SUMMARY} SELECT symbol, f AS "from", t AS "to", date_from, date_to, hours, all_day FROM summary""")
+@query(f"""{HOURLY}, {_SUMMARY} SELECT symbol, f AS "from", t AS "to", date_from, date_to, hours, all_day FROM summary""", dates=("date_from", "date_to"))
 def symbol_schedule(spark, d):
     return sched.symbol_summary(hourly(spark, d), 60)
 
@@ -562,8 +567,7 @@ def symbol_schedule(spark, d):
 @query(
     f"""{HOURLY}, {_SUMMARY}, c1 AS (SELECT *, max(date_to) OVER (PARTITION BY f, t, hours ORDER BY date_from, date_to ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM summary WHERE NOT all_day),
     c2 AS (SELECT *, sum(CASE WHEN date_diff('day', before, date_from) <= 8 THEN 0 ELSE 1 END) OVER (PARTITION BY f, t, hours ORDER BY date_from, date_to) AS run FROM c1)
-    SELECT f AS "from", t AS "to", min(date_from) AS date_from, max(date_to) AS date_to FROM c2 GROUP BY f, t, hours, run"""
-)
+    SELECT f AS "from", t AS "to", min(date_from) AS date_from, max(date_to) AS date_to FROM c2 GROUP BY f, t, hours, run""", dates=("date_from", "date_to"))
 def market_schedule(spark, d):
     return sched.consolidated(sched.symbol_summary(hourly(spark, d), 60))
 
@@ -576,8 +580,7 @@ _NY = exchange("NMS")
 @query(
     """SELECT CAST(d AS DATE) AS date, strftime(timezone('America/New_York', CAST(d AS TIMESTAMP) + INTERVAL '9 hours 30 minutes') AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS open,
     strftime(timezone('America/New_York', CAST(d AS TIMESTAMP) + INTERVAL 16 HOUR) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS close
-    FROM generate_series(TIMESTAMP '2024-02-20', TIMESTAMP '2024-04-20', INTERVAL 1 DAY) g(d) WHERE isodow(d) <= 5"""
-)
+    FROM generate_series(TIMESTAMP '2024-02-20', TIMESTAMP '2024-04-20', INTERVAL 1 DAY) g(d) WHERE isodow(d) <= 5""", dates=("date",))
 def session_bounds(spark, d):
     out = provider.sessions(spark, _NY, "2024-02-20", "2024-04-20", temporal.dates_table(spark, HOLIDAYS[:1]))
     return out.select("date", *(F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("open", "close")))
@@ -670,7 +673,7 @@ UNEVEN = """gaps AS (SELECT symbol, CAST(datetime AS DATE) AS date, epoch(dateti
     uneven AS (SELECT symbol, date, stddev_pop(step) AS spread FROM gaps GROUP BY ALL HAVING stddev_pop(step) > 3600)"""
 
 
-@query(f"{HOURLY}, {UNEVEN} SELECT symbol, date, {r('spread', 'spread')} FROM uneven")
+@query(f"{HOURLY}, {UNEVEN} SELECT symbol, date, {r('spread', 'spread')} FROM uneven", dates=("date",))
 def delta_std_check(spark, d):
     return validate.uneven_days(hourly(spark, d), 3600).withColumn("spread", F.round("spread", 6))
 
@@ -678,8 +681,7 @@ def delta_std_check(spark, d):
 @query(
     f"""{DAILY}, e AS (SELECT symbol, CAST(min(datetime) AS DATE) AS lo, CAST(max(datetime) AS DATE) AS hi FROM daily GROUP BY symbol),
     g AS (SELECT symbol, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM e)
-    SELECT symbol, date FROM g WHERE isodow(date) <= 5 AND date NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)}) AND NOT EXISTS (SELECT 1 FROM daily x WHERE x.symbol = g.symbol AND CAST(x.datetime AS DATE) = g.date)"""
-)
+    SELECT symbol, date FROM g WHERE isodow(date) <= 5 AND date NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)}) AND NOT EXISTS (SELECT 1 FROM daily x WHERE x.symbol = g.symbol AND CAST(x.datetime AS DATE) = g.date)""", dates=("date",))
 def missing_days(spark, d):
     return validate.missing_days(daily(spark, d), temporal.dates_table(spark, HOLIDAYS))
 
@@ -687,8 +689,7 @@ def missing_days(spark, d):
 @query(
     f"""{DAILY}, e AS (SELECT symbol, CAST(min(datetime) AS DATE) AS lo, CAST(max(datetime) AS DATE) AS hi FROM daily GROUP BY symbol),
     g AS (SELECT symbol, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 3 DAY)) AS DATE) AS date FROM e)
-    SELECT symbol, date FROM g WHERE isodow(date) <= 5 AND date NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)}) AND NOT EXISTS (SELECT 1 FROM daily x WHERE x.symbol = g.symbol AND CAST(x.datetime AS DATE) = g.date)"""
-)
+    SELECT symbol, date FROM g WHERE isodow(date) <= 5 AND date NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)}) AND NOT EXISTS (SELECT 1 FROM daily x WHERE x.symbol = g.symbol AND CAST(x.datetime AS DATE) = g.date)""", dates=("date",))
 def missing_steps(spark, d):
     return validate.missing_steps(daily(spark, d), 3, temporal.dates_table(spark, HOLIDAYS))
 
@@ -748,7 +749,7 @@ def label_target(spark, d):
     return shown(daily(spark, d).withColumn("target", trading.target(0.05).cast("double")), "target")
 
 
-@query(f"{HOURLY} SELECT {STAMP}, CAST(timezone('America/New_York', timezone('UTC', datetime)) AS DATE) AS date FROM hourly WHERE datetime > TIMESTAMP '2024-01-05' AND datetime <= TIMESTAMP '2024-01-20' AND epoch(TIMESTAMP '2024-01-19 12:00:00') - epoch(datetime) > 4500")
+@query(f"{HOURLY} SELECT {STAMP}, CAST(timezone('America/New_York', timezone('UTC', datetime)) AS DATE) AS date FROM hourly WHERE datetime > TIMESTAMP '2024-01-05' AND datetime <= TIMESTAMP '2024-01-20' AND epoch(TIMESTAMP '2024-01-19 12:00:00') - epoch(datetime) > 4500", dates=("date",))
 def cutoff_filter(spark, d):
     out = trading.cutoff(hourly(spark, d), "2024-01-19 12:00:00", "2024-01-05", "2024-01-20", S.cutoff_minutes, S.market_tz)
     return out.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), "date")
@@ -793,7 +794,7 @@ def _signals(spark, d):
     return trading.signals(rows, S.up_threshold, S.down_threshold)
 
 
-@query(f"{DAILY}, {SIGNALS} SELECT date, symbol, {r('score', 'score')} FROM best")
+@query(f"{DAILY}, {SIGNALS} SELECT date, symbol, {r('score', 'score')} FROM best", dates=("date",))
 def best_signal(spark, d):
     return _signals(spark, d).withColumn("score", F.round("score", 6))
 
@@ -807,7 +808,7 @@ def _trades(spark, d):
     return trading.simulate_best(_signals(spark, d), outcomes)
 
 
-@query(f"{DAILY}, {TRADES} SELECT symbol, date, {r('score', 'score')}, {r('ret', 'ret')} FROM trades")
+@query(f"{DAILY}, {TRADES} SELECT symbol, date, {r('score', 'score')}, {r('ret', 'ret')} FROM trades", dates=("date",))
 def simulate_best(spark, d):
     return _trades(spark, d).select("symbol", "date", F.round("score", 6).alias("score"), F.round("ret", 6).alias("ret"))
 
@@ -849,8 +850,7 @@ def profit_factor(spark, d):
 
 @query(
     f"""{DAILY}, {RETURNS}, t AS (SELECT symbol, CAST(datetime AS DATE) AS date, ret, CASE WHEN lag(ret) OVER {W} < 0 THEN 2 ELSE 0 END AS predicted FROM rets)
-    SELECT symbol, date, predicted, {r('CASE WHEN predicted = 2 THEN ret ELSE 0 END', 'ret')} FROM t WHERE symbol = '2-HIGH'"""
-)
+    SELECT symbol, date, predicted, {r('CASE WHEN predicted = 2 THEN ret ELSE 0 END', 'ret')} FROM t WHERE symbol = '2-HIGH'""", dates=("date",))
 def simulate_one(spark, d):
     rows = _returns(spark, d).withColumn("predicted", F.when(F.lag("ret").over(ind.by_time()) < 0, trading.UP).otherwise(trading.DOWN))
     rows = rows.where("symbol = '2-HIGH'").select("symbol", F.to_date("datetime").alias("date"), "predicted", "ret")
@@ -896,7 +896,7 @@ def group_folds(spark, d):
     return daily(spark, d).select("symbol", trading.group_folds("symbol", 3).alias("fold")).distinct()
 
 
-@query(f"{DAILY} SELECT date, CAST(ntile(6) OVER (ORDER BY date) - 1 AS INTEGER) AS fold FROM (SELECT DISTINCT CAST(datetime AS DATE) AS date FROM daily)")
+@query(f"{DAILY} SELECT date, CAST(ntile(6) OVER (ORDER BY date) - 1 AS INTEGER) AS fold FROM (SELECT DISTINCT CAST(datetime AS DATE) AS date FROM daily)", dates=("date",))
 def time_folds(spark, d):
     return trading.time_folds(daily(spark, d).select(F.to_date("datetime").alias("date")), S.n_splits)
 
