@@ -34,7 +34,7 @@ def text_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (at - at[0]) if len(at) else np.zeros(1, np.int64), whole[at[0] : at[-1]] if len(at) else whole
 
 
-def slices(offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Runs of rows of about `limit` bytes; a longer text is a run of its own."""
     n, lo = len(offsets) - 1, 0
     while lo < n:

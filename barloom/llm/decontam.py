@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import LOWER, WORD, mixed, prefix_hash, slices, sliding_min, span_hash, text_column, word_bounds
-from .scratch import Scratch
+from .scratch import Scratch, small_batches
 
 #: Words of a window; any shared run of this many words is found.
 WINDOW = 10
@@ -170,6 +170,7 @@ def decontaminate(
     hit_spans: [lo, hi) in words, merged and in order. A null or empty text has no words and no hits. Items with a
     null id or without words occur nowhere; items that repeat an id count as one. An empty benchmark hits nothing.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
     blocks = _blocks(benchmark, item_col, item_text_col, block_windows)
@@ -213,6 +214,7 @@ def decontaminate(
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """docs without the rows that hold a benchmark window. Columns as given."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     out = docs
     for index in _blocks(benchmark, item_col, item_text_col, block_windows):

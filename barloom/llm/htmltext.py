@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from .scratch import small_batches
+
 # Fixed values of the HTML standard: elements without text of the page, void elements, elements inside a line,
 # and elements that their next sibling closes.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "object", "canvas", "xmp", "math"}
@@ -376,6 +378,7 @@ def extract_texts(model: Labeller, pages: list[str], cells: int = 8_000) -> list
 
 def extract(pages: DataFrame, model: Labeller | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Pages -> (page_id, url, text, n_chars), a row for each row. A null or empty page, and one without an article, has an empty text."""
+    small_batches(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(model or train())
 
     def run(column: pa.Array) -> pa.Array:

@@ -28,10 +28,27 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+#: Rows and bytes of a batch that goes to a Python worker. Texts are long: batches by rows alone would not be bounded.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session's Python workers, unless they are set lower."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        try:
+            now = spark.conf.get(key)
+        except Exception:  # a version without it
+            continue
+        digits = "".join(c for c in now if c.isdigit())
+        if not digits or now[-1:] == "b" and int(digits) > most or now.isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 class Scratch:
     """Written tables of one operator call. They cut the lineage, so that a lost executor costs one step at most."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.made = 0

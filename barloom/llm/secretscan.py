@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import slices, text_column, word_bounds
+from .scratch import small_batches
 
 #: Shortest candidate. A candidate is a run of these bytes with a digit, or the inside of a private key block.
 SHORTEST = 8
@@ -238,28 +239,59 @@ def candidates(column: pa.Array) -> list[list[tuple[int, int]]]:
 _RESULT = "array<struct<start:bigint,end:bigint,finding:string,score:double>>"
 
 
+def _found(column: pa.Array, paths: pa.Array, model: Forest) -> tuple[list[list[tuple[int, int]]], list[str], np.ndarray]:
+    """(spans of each text, then in one row the candidates and their scores)."""
+    spans = candidates(column)
+    words, x = [], []
+    for d, found in enumerate(spans):
+        if not found:
+            continue
+        raw, where = column[d].as_py().encode("utf-8", "replace"), paths[d].as_py()
+        for s, e in found:
+            c, left, right = (b.decode("utf-8", "replace") for b in (raw[s:e], raw[max(0, s - CONTEXT) : s], raw[e : e + CONTEXT]))
+            words.append(c)
+            block = left.endswith("PRIVATE KEY-----")
+            x.append(features("AKIA" + c[:60] if block else c, "secret=" if block else left, right, where))
+    return spans, words, model.predict(np.array(x)) if x else np.zeros(0)
+
+
+def _path(path: str | None):
+    return F.col(path).cast("string") if path else F.lit(None).cast("string")
+
+
 def findings_column(text: str, path: str | None, model):
     """Column of _RESULT for a text column and, if there is one, a path column; model: a broadcast Forest."""
 
     def scan(column: pa.Array, paths: pa.Array) -> pa.Array:
-        spans = candidates(column)
-        rows, x = [], []
-        for d, found in enumerate(spans):
-            if not found:
-                continue
-            raw, where = (column[d].as_py() or "").encode("utf-8", "replace"), paths[d].as_py()
-            for s, e in found:
-                c, left, right = (b.decode("utf-8", "replace") for b in (raw[s:e], raw[max(0, s - CONTEXT) : s], raw[e : e + CONTEXT]))
-                rows.append((s, e, c))
-                block = left.endswith("PRIVATE KEY-----")
-                x.append(features("AKIA" + c[:60] if block else c, "secret=" if block else left, right, where))
-        scores = model.value.predict(np.array(x)) if x else np.zeros(0)
-        cols = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string()), pa.array(scores)]
+        spans, words, scores = _found(column, paths, model.value)
+        flat = [s for row in spans for s in row]
+        cols = [pa.array([s for s, _ in flat], pa.int64()), pa.array([e for _, e in flat], pa.int64()), pa.array(words, pa.string()), pa.array(scores)]
         values = pa.StructArray.from_arrays(cols, names=["start", "end", "finding", "score"])
         return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, spans))], pa.int32()), values)
 
-    where = F.col(path).cast("string") if path else F.lit(None).cast("string")
-    return arrow_udf(scan, _RESULT).asNondeterministic()(F.col(text), where)
+    return arrow_udf(scan, _RESULT).asNondeterministic()(F.col(text), _path(path))
+
+
+def masked_column(text: str, path: str | None, model, threshold: float, mask: str):
+    """Column of the texts in which secrets are replaced; NULL where nothing changes."""
+
+    def replace(column: pa.Array, paths: pa.Array) -> pa.Array:
+        spans, _, scores = _found(column, paths, model.value)
+        out, k = [], 0
+        for d, found in enumerate(spans):
+            hit = [s for j, s in enumerate(found) if scores[k + j] >= threshold]
+            k += len(found)
+            if not hit:
+                out.append(None)
+                continue
+            raw, parts, last = column[d].as_py().encode("utf-8", "replace"), [], 0
+            for s, e in hit:
+                parts += [raw[last:s], mask.encode()]
+                last = e
+            out.append(b"".join([*parts, raw[last:]]).decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
+
+    return arrow_udf(replace, "string").asNondeterministic()(F.col(text), _path(path))
 
 
 def scan(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
@@ -267,6 +299,7 @@ def scan(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str =
 
     Null and empty texts have none. Repeated rows and rows with equal or null ids are scanned each for itself.
     """
+    small_batches(docs.sparkSession)
     found = findings_column(text_col, path_col, docs.sparkSession.sparkContext.broadcast(model))
     out = docs.select(F.col(id_col).alias("doc_id"), F.explode(found).alias("f"))
     return out.select("doc_id", "f.*", (F.col("f.score") >= threshold).alias("is_secret"))
@@ -274,26 +307,10 @@ def scan(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str =
 
 def redact(docs: DataFrame, model: Forest, text_col: str = "text", path_col: str | None = "source", chars_col: str | None = "n_chars", threshold: float = THRESHOLD, mask: str = MASK) -> DataFrame:
     """docs with every secret replaced by `mask`, and chars_col counted anew where a text changes. Columns as given."""
-    found = findings_column(text_col, path_col, docs.sparkSession.sparkContext.broadcast(model))
-
-    def replace(column: pa.Array, findings: pa.Array) -> pa.Array:
-        out = []
-        for text, spans in zip(column, findings, strict=True):
-            spans = [s for s in spans.as_py() if s["score"] >= threshold]
-            if not spans:
-                out.append(text.as_py())
-                continue
-            raw, parts, last = text.as_py().encode("utf-8", "replace"), [], 0
-            for s in spans:
-                parts += [raw[last : s["start"]], mask.encode()]
-                last = s["end"]
-            out.append(b"".join([*parts, raw[last:]]).decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
-
-    masked = arrow_udf(replace, "string").asNondeterministic()(F.col(text_col), F.col("__found"))
-    out = docs.withColumn("__found", found).withColumn("__text", masked)
+    small_batches(docs.sparkSession)
+    masked = masked_column(text_col, path_col, docs.sparkSession.sparkContext.broadcast(model), threshold, mask)
+    out = docs.withColumn("__masked", masked)
     if chars_col in docs.columns:
-        same = F.col(text_col).eqNullSafe(F.col("__text"))
         kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(same, F.col(chars_col)).otherwise(F.length("__text").cast(kind)))
-    return out.withColumn(text_col, F.col("__text")).drop("__found", "__text")
+        out = out.withColumn(chars_col, F.when(F.col("__masked").isNull(), F.col(chars_col)).otherwise(F.length("__masked").cast(kind)))
+    return out.withColumn(text_col, F.coalesce("__masked", text_col)).drop("__masked")

@@ -17,10 +17,12 @@ from .bytesnp import prefix_hash, slices, span_hash, text_column
 
 DEFAULT = "byte_bpe_50k.json"
 #: Pre-tokens that are remembered; beyond it the memory starts anew.
-MEMO = 1_000_000
-_SLOTS = 1 << 21
+MEMO = 500_000
+_SLOTS = 1 << 20
+#: Pre-tokens that go to the tokenizer at once.
+LEARN = 4096
 #: Longer texts go to the tokenizer whole: a slice then never has more distinct pre-tokens than there is room for.
-LONG = 1 << 21
+LONG = 1 << 20
 
 _LETTER, _NUMBER, _OTHER, _SPACE, _WHITE, _STRANGE = range(1, 7)
 
@@ -112,7 +114,7 @@ class Encoder:
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Entries of the hashes, -1 where unknown."""
-        slot = (h >> np.uint64(43)).astype(np.int64)
+        slot = (h >> np.uint64(44)).astype(np.int64)
         out = self.entry[slot]
         open_ = np.flatnonzero((out >= 0) & (self.keys[slot] != h))
         while len(open_):
@@ -143,7 +145,7 @@ class Encoder:
         self.first[self.used : self.used + new] = self.pooled + np.cumsum(counts) - counts
         self.count[self.used : self.used + new] = counts
         self.pooled += len(ids)
-        left, slot = np.arange(new), (h >> np.uint64(43)).astype(np.int64)
+        left, slot = np.arange(new), (h >> np.uint64(44)).astype(np.int64)
         while len(left):
             free = left[self.entry[slot[left]] < 0]
             _, pick = np.unique(slot[free], return_index=True)
@@ -173,15 +175,16 @@ class Encoder:
             pieces = [raw[s:e] for s, e in zip(starts[at], ends[at], strict=True)]
             spaced = np.array([p[0] == 32 and len(p) > 1 for p in pieces])
             for some in (np.flatnonzero(spaced), np.flatnonzero(~spaced)):
-                if len(some):
-                    self._learn(new[some], [pieces[k] for k in some])
+                for lo in range(0, len(some), LEARN):
+                    part = some[lo : lo + LEARN]
+                    self._learn(new[part], [pieces[k] for k in part])
             found = self._find(h)
         return found
 
     def encode(self, column: pa.Array):
         """Ids of each text of a string array in turn, as unsigned 32-bit arrays; null counts as empty."""
         offsets, whole = text_column(column)
-        for lo, hi in slices(offsets, 1 << 20):
+        for lo, hi in slices(offsets):
             data, bounds = whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
             kind = _kind_of_bytes(data)
             strange = np.concatenate([[0], np.cumsum(kind == _STRANGE)])

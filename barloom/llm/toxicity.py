@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import LOWER, WORD, prefix_hash, slices, span_hash, text_column, word_bounds
+from .scratch import small_batches
 
 #: Labelled documents that training takes at most, least hash of the id first.
 TRAIN_ROWS = 12_000
@@ -202,6 +203,7 @@ def held_out(id_col: str):
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
     """A model from at most `rows` labelled documents that aren't held out. An id's label is 1 if any of its labels is."""
+    small_batches(docs.sparkSession)
     known = (
         labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
         .where(F.col("__label").isin(0, 1) & F.col("__id").isNotNull() & ~held_out("__id"))
@@ -220,6 +222,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     A null or empty text has no sentences and scores the leak. offending: byte spans of sentences with p over 0.5.
     """
+    small_batches(docs.sparkSession)
     r = scores_column(text_col, docs.sparkSession.sparkContext.broadcast(model))
     out = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), r.alias("r"))
     return out.select("doc_id", "held_out", "r.score", (F.col("r.score") >= threshold).cast("int").alias("predicted"), "r.offending")
@@ -227,5 +230,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs without those that score `threshold` or more. Columns as given."""
+    small_batches(docs.sparkSession)
     r = scores_column(text_col, docs.sparkSession.sparkContext.broadcast(model))
     return docs.withColumn("__tox", r).where(F.col("__tox.score") < threshold).drop("__tox")
