@@ -325,7 +325,8 @@ def _cut_out(text: pa.Array, spans: pa.Array) -> pa.Array:
 def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM, large: int = LARGE) -> DataFrame:
     """(rid, text) -> (rid, spans): the byte spans [s, e) of repeated windows, not merged; texts without any are left out."""
     anchors = scratch.table(docs.mapInArrow(_scan(window, gram), "h long, ctx long, rid long, packed long"))
-    shared = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written, so that the join below exchanges both sides and adaptive execution can split a hash that very many anchors have.
+    shared = scratch.table(anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     met = scratch.table(anchors.join(shared, "h"))
     scratch.drop(anchors)
     classes = met.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "packed")).alias("one"))
