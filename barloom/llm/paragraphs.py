@@ -120,16 +120,131 @@ def _shingle_sets(batches):
             first, end, number, doc = (v[keep] for v in (first, end, number, doc))
             sh, at = w.shingles(first, end)
             sets = [np.unique(s) for s in np.split(sh, at[1:])]
-            yield pa.record_batch({"rid": rid[lo + doc], "para": number.astype(np.int32), "set": pa.array([s.tobytes() for s in sets], pa.binary())})
+            size = np.array([len(x) for x in sets])
+            listed = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), np.concatenate(sets).view(np.int64))
+            yield pa.record_batch({"rid": rid[lo + doc], "para": number.astype(np.int32), "set": listed, "size": size})
 
 
-def _jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
+def _compared(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Pairs of sorted sets -> how many elements they share, and those that only one of them has; all pairs at once.
+
+    Equal neighbours in the merged rows are the intersection.
+    """
+    na, nb = (np.diff(np.asarray(x.offsets)) for x in (a, b))
+    rows = np.concatenate([np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)])
+    values = np.concatenate([np.asarray(a.flatten()), np.asarray(b.flatten())])
+    order = np.lexsort((values, rows))
+    rows, values = rows[order], values[order]
+    same = (rows[1:] == rows[:-1]) & (values[1:] == values[:-1])
+    both = np.bincount(rows[1:][same], minlength=len(a))
+    alone = np.ones(len(rows), bool)
+    alone[1:] &= ~same
+    alone[:-1] &= ~same
+    upto = np.concatenate([[0], np.cumsum(np.bincount(rows[alone], minlength=len(a)))]).astype(np.int32)
+    return pa.StructArray.from_arrays([pa.array(both, pa.int64()), pa.ListArray.from_arrays(upto, values[alone])], names=["both", "apart"])
+
+
+#: Members of one list that a task compares with as many others at once; of a longer list every pair of blocks is a task.
+BLOCK = 2048
+#: Up to so many, plain sets are quicker than a matrix.
+FEW = 24
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of left shares with each of right: a product of 0/1 matrices, some columns at a time."""
+    size = [np.array([len(x) for x in side]) for side in (left, right)]
+    values = [np.concatenate(side) for side in (left, right)]
+    common = np.intersect1d(*values)
+    out = np.zeros((len(left), len(right)), np.float32)
+    at = [np.minimum(np.searchsorted(common, v), max(len(common) - 1, 0)) for v in values]
+    known = [common[k] == v if len(common) else np.zeros(len(v), bool) for k, v in zip(at, values, strict=True)]
+    rows = [np.repeat(np.arange(len(n)), n) for n in size]
+    for lo in range(0, len(common), 1024):
+        parts = []
+        for n, k, ok, row in zip(size, at, known, rows, strict=True):
+            some = ok & (k >= lo) & (k < lo + 1024)
+            m = np.zeros((len(n), min(1024, len(common) - lo)), np.float32)
+            m[row[some], k[some] - lo] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _family_links(left: list[tuple], right: list[tuple], r: float) -> list[tuple[int, int]]:
+    """Members (node, part, is_rest, size, differences from the middle) -> links between components, as places (i, j).
+
+    Two sets differ in just what their differences from the middle differ in. Only pairs with a member that isn't in
+    the middle's component and with different components are of use; of links that join the same two, one is given.
+    """
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    if len(left) * len(right) <= FEW * FEW:
+        sets = [[set(m[4]) for m in side] for side in (left, right)]
+        near = [
+            (i, j) for i, a in enumerate(left) for j, b in enumerate(right)
+            if a[1] != b[1] and (a[2] or b[2]) and len(sets[0][i] ^ sets[1][j]) <= r * (a[3] + b[3]) + 1e-9
+        ]
+    else:
+        count, size = ([np.array([x(m) for m in side], np.float32) for side in (left, right)] for x in (lambda m: len(m[4]), lambda m: m[3]))
+        shared = _shared(*([np.asarray(m[4], np.int64) for m in side] for side in (left, right)))
+        apart = count[0][:, None] + count[1][None] - 2 * shared
+        ok = apart <= r * (size[0][:, None] + size[1][None]) + 1e-4
+        ok &= np.array([m[2] for m in left])[:, None] | np.array([m[2] for m in right])[None]
+        names = {p: k for k, p in enumerate({m[1] for m in (*left, *right)})}
+        label = [np.array([names[m[1]] for m in side]) for side in (left, right)]
+        ok &= label[0][:, None] != label[1][None]
+        near = zip(*(x.tolist() for x in np.nonzero(ok)), strict=True)
     out = []
-    for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(both / max(1, len(x) + len(y) - both))
-    return pa.array(out, pa.float64())
+    for i, j in near:
+        a, b = find(left[i][1]), find(right[j][1])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((i, j))
+    return out
+
+
+def _families(r: float):
+    """Rows in order of (middle, pair of blocks) -> links between components."""
+
+    def settle(rows: list[tuple]) -> list[tuple]:
+        lo, hi = rows[0][1:3]
+        left = [x[4:] for x in rows if x[3] == lo]
+        right = left if lo == hi else [x[4:] for x in rows if x[3] == hi]
+        return [(left[i][0], right[j][0]) for i, j in _family_links(left, right, r)]
+
+    def given(links: list[tuple]):
+        ends = [pa.array([dict(zip(("rid", "para"), link[k], strict=True)) for link in links], _NODE) for k in (0, 1)]
+        return pa.record_batch({"u": ends[0], "v": ends[1]})
+
+    def run(batches):
+        held: list[tuple] = []
+        links: list[tuple] = []
+        node = lambda x: (x["rid"], x["para"])
+        for batch in batches:
+            apart, upto = batch["apart"].flatten().to_numpy(), batch["apart"].offsets.to_numpy()
+            cols = [batch[c].to_pylist() for c in ("v", "lo", "hi", "block", "u", "part", "is_rest", "nu")]
+            for k, (v, lo, hi, block, u, part, rest, nu) in enumerate(zip(*cols, strict=True)):
+                key = (node(v), lo, hi)
+                if held and held[0][:3] != key:
+                    links += settle(held)
+                    held = []
+                held.append((*key, block, node(u), node(part), rest, nu, apart[upto[k] - upto[0] : upto[k + 1] - upto[0]].tolist()))
+            if len(links) >= 4096:
+                yield given(links)
+                links = []
+        if held:
+            links += settle(held)
+        yield given(links)
+
+    return run
+
+
+_NODE = pa.struct([("rid", pa.int64()), ("para", pa.int32())])
 
 
 def _sentences(batches):
@@ -153,37 +268,51 @@ def _sentences(batches):
 
 
 def _links(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """Classes (rid, para, words, bands) -> links (u, v) between similar ones, u and v being structs of (rid, para).
+    """Classes (rid, para, bands) -> links (u, v) between similar ones, u and v being structs of (rid, para).
 
-    Each class of a list is verified against the list's least one. Those that aren't similar to it are verified
-    against all others of the list; the rest hang together through the least one. So no link between separate
-    parts is lost, and a list of many near copies gives a row for each, not a pair for every two.
+    Each class of a list is verified against the list's middle m: the class that shares the most with others, by the
+    sizes of its lists. What is linked with it needs no further comparison; the rest, and only the rest, is compared
+    with the other members, exactly, from what each of them differs in from m. Of the links found one is kept for every
+    two components, so a list of many near copies gives a row for each member, not for each pair, and no link
+    between separate parts is lost. Long lists are compared in blocks, each pair of blocks a task.
     """
-    rows = classes.select("rid", "para", "words", F.explode("bands").alias("key"))
-    full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("rid", "para", "words")).alias("least")).where("n > 1")
-    met = scratch.table(rows.join(full.drop("n"), "key"))
-    sets = met.groupBy("rid").agg(F.collect_set("para").alias("wanted"))
+    rows = classes.select("rid", "para", F.explode("bands").alias("key"))
+    full = scratch.table(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    met = scratch.table(rows.join(full, "key"))
+    score = met.groupBy("rid", "para").agg(F.sum("n").alias("score"))
+    met = scratch.table(met.join(scratch.table(score), ["rid", "para"]))
+    middle = scratch.table(met.groupBy("key").agg(F.max(F.struct("score", "rid", "para")).alias("m")))
+
+    wanted = met.groupBy("rid").agg(F.collect_set("para").alias("wanted"))
     texts = with_ids(base, "rid", scratch.table(met.select("rid").distinct()), "rid").dropDuplicates(["rid"])
-    sets = texts.join(sets, "rid").mapInArrow(_shingle_sets, "rid long, para int, set binary")
-    sets = scratch.table(sets)
-    jaccard = arrow_udf(_jaccard, "double").asNondeterministic()
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (u, v) -> (u, v, similar)."""
-        a = sets.select(F.struct("rid", "para").alias("u"), F.col("set").alias("a"))
-        b = sets.select(F.struct("rid", "para").alias("v"), F.col("set").alias("b"))
-        return scratch.table(pairs.join(a, "u").join(b, "v").select("u", "v", (jaccard("a", "b") >= threshold).alias("similar")))
-
-    # Jaccard is at most the ratio of the numbers of shingles; repeats inside a paragraph may lower a number, so that
-    # the ratio of words says nothing certain and isn't used.
-    me = F.struct("rid", "para").alias("u")
-    star = met.select("key", me, F.struct("least.rid", "least.para").alias("v")).where("u <> v")
-    first = verified(star.select("u", "v").distinct())
-    failed = star.join(first.where("not similar"), ["u", "v"]).select("key", "u")
-    again = failed.join(met.select("key", F.struct("rid", "para").alias("v")), "key").where("u <> v")
-    again = again.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    second = verified(again.join(first.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"))
-    return first.union(second).where("similar").select("u", "v")
+    sets = texts.join(wanted, "rid").mapInArrow(_shingle_sets, "rid long, para int, set array<long>, size long")
+    sets = scratch.table(sets.select(F.struct("rid", "para").alias("u"), "set", "size"))
+    compare = arrow_udf(_compared, "struct<both:bigint,apart:array<bigint>>").asNondeterministic()
+
+    a = sets.select("u", F.col("set").alias("a"), F.col("size").alias("nu"))
+    b = sets.select(F.col("u").alias("v"), F.col("set").alias("b"), F.col("size").alias("nv"))
+    star = met.join(middle, "key").select(F.struct("rid", "para").alias("u"), F.struct("m.rid", "m.para").alias("v")).where("u <> v").distinct()
+    star = star.join(a, "u").join(b, "v").select("u", "v", "nu", "nv", compare("a", "b").alias("r"))
+    similar = F.col("r.both") >= threshold * (F.col("nu") + F.col("nv") - F.col("r.both"))
+    star = scratch.table(star.select("u", "v", "nu", "r.apart", similar.alias("similar")))
+    first = star.where("similar").select("u", "v")
+
+    # Lists by their middle v in which some member hangs together with others than v; `part`: the component so far.
+    parts = scratch.table(components(first, scratch).select(F.col("node").alias("u"), F.col("component").alias("part")))
+    middles = scratch.table(star.select(F.col("v").alias("u")).distinct())
+    main = middles.join(parts, "u", "left").select(F.col("u").alias("v"), F.coalesce("part", "u").alias("main"))
+    rows = star.join(parts, "u", "left").select("u", "v", "nu", "apart", F.coalesce("part", "u").alias("part"))
+    rows = rows.join(scratch.table(main), "v").select("u", "v", "nu", "apart", "part", (F.col("part") != F.col("main")).alias("is_rest"))
+    rows = scratch.table(rows)
+    open_ = rows.groupBy("v").agg(F.count("*").alias("n"), F.count_if("is_rest").alias("rest")).where("rest > 0 and n > 1")
+    rows = rows.join(scratch.table(open_.select("v", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))), "v")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    rows = rows.select("v", "lo", "hi", "block", "u", "part", "is_rest", "nu", "apart").repartition("v", "lo", "hi").sortWithinPartitions("v", "lo", "hi")
+    kind = "struct<rid:bigint,para:int>"
+    again = rows.mapInArrow(_families((1 - threshold) / (1 + threshold)), f"u {kind}, v {kind}")
+    return first.union(scratch.table(again))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
@@ -201,8 +330,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     paras = base.mapInArrow(_paragraphs(min_words), "rid long, para int, start long, end long, words long, d1 long, d2 long, bands array<long>")
     paras = scratch.table(paras)
     one = F.min(F.struct("rid", "para", "start")).alias("one")
-    classes = paras.groupBy("d1", "d2").agg(one, F.first("words").alias("words"), F.first("bands").alias("bands"), F.count("*").alias("n"))
-    classes = scratch.table(classes.select("d1", "d2", "one.*", "words", "bands", "n"))
+    classes = paras.groupBy("d1", "d2").agg(one, F.first("bands").alias("bands"), F.count("*").alias("n"))
+    classes = scratch.table(classes.select("d1", "d2", "one.*", "bands", "n"))
     found = components(_links(classes, base, threshold, scratch), scratch)
     here = F.struct("rid", "para")
     named = classes.withColumn("node", here).join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
