@@ -22,7 +22,8 @@ from .scratch import Scratch
 from .tokens import Encoder, default_path
 
 SIZE = 2048
-GROUPS = 24
+#: Numbers of groups that are tried; the plan of the fewest sequences is taken.
+GROUPS = (4, 12)
 #: Lengths below size / SMALL are small: best fit puts them last.
 SMALL = 16
 #: Pieces of a length are ranked in so many buckets, however many they are.
@@ -116,8 +117,12 @@ def _configurations(sizes: list[int], demand: list[int], size: int, rounds: int
     return out
 
 
-def plan(histogram: dict[int, int], size: int = SIZE, groups: int = GROUPS) -> list[tuple[int, Counter]]:
+def plan(histogram: dict[int, int], size: int = SIZE, groups: tuple[int, ...] = GROUPS) -> list[tuple[int, Counter]]:
     """Counts by length -> runs (number of sequences, pieces by length in each of them); every piece is placed once."""
+    return min((_plan(histogram, size, g) for g in groups), key=lambda runs: sum(n for n, _ in runs))
+
+
+def _plan(histogram: dict[int, int], size: int, groups: int) -> list[tuple[int, Counter]]:
     large = sorted(((s, n) for s, n in histogram.items() if n and size // SMALL <= s < size), reverse=True)
     small = sorted(((s, n) for s, n in histogram.items() if n and s < size // SMALL), reverse=True)
     runs: list[tuple[int, Counter]] = [(histogram[size], Counter({size: 1}))] if histogram.get(size) else []
@@ -230,7 +235,7 @@ def _places(runs: list[tuple[int, Counter]]) -> list[tuple[int, int, int, int, i
     return out
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, size: int = SIZE, groups: int = GROUPS, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, size: int = SIZE, groups: tuple[int, ...] = GROUPS, end_id: int = 0) -> DataFrame:
     """Documents -> (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row for each piece.
 
     Every token of every text has one place; no sequence is longer than `size`, and none has a gap. A null or empty
