@@ -126,6 +126,12 @@ def open_close_result(scaled: bool = False) -> Column:
     return F.when(c > o, up).when(c < o, down).when(c == o, flat)
 
 
+def whole_days() -> Column:
+    """Whole days between a symbol's first and last bar."""
+    all_of = Window.partitionBy("symbol")
+    return F.floor((F.unix_seconds(F.max("datetime").over(all_of)) - F.unix_seconds(F.min("datetime").over(all_of))) / 86400)
+
+
 def min_max(x: Column, low: Column, high: Column) -> Column:
     """Place of x between low and high; 0 where they are equal."""
     return F.when(high == low, F.lit(0.0)).otherwise(F.try_divide(x - low, high - low))
@@ -142,7 +148,7 @@ def volume_rvol(bars, per_session: str = "bars_per_session", days: int = 20):
         "__n": n,
         "__row": F.row_number().over(by_time()).cast("long"),
         "__sum": F.sum("volume").over(by_time().rowsBetween(Window.unboundedPreceding, 0)),
-        "__span": F.datediff(F.max("datetime").over(Window.partitionBy("symbol")), F.min("datetime").over(Window.partitionBy("symbol"))),
+        "__span": whole_days(),
     })
     before = run.select(F.col("symbol"), (F.col("__row") + F.col("__n")).alias("__row"), F.col("__sum").alias("__before"))
     out = run.join(before, ["symbol", "__row"], "left")

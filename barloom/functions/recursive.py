@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.staging import staged
-from .indicators import by_time, true_range
+from .indicators import by_time, true_range, whole_days
 
 BLOCK = 4096
 
@@ -93,7 +93,7 @@ def smoothed(bars: DataFrame, window: str, days: int = 14, fast: int = 12, slow:
     out = _direction(out).withColumn("__line", F.col("__fast") - F.col("__slow"))
     rows, inputs = _seeds(out, {"adx_14d": "__dx"}, n)
     out = scan(rows, {"__signal": ("__line", _alpha(signal))} | inputs)
-    long = _span(out) >= days
+    long = whole_days() >= days
     out = out.withColumns({"macd": F.col("__line") - F.col("__signal"), "atr_14d": F.when(long, F.col("atr_14d")), "adx_14d": F.when(long, F.col("adx_14d"))})
     return out.drop(*(c for c in out.columns if c.startswith("__") and c not in bars.columns))
 
@@ -116,11 +116,6 @@ def _seeds(bars: DataFrame, sources: dict[str, str], n: Column) -> tuple[DataFra
     return rows, {k: (f"__in_{k}", 1 / n) for k in sources}
 
 
-def _span(bars: DataFrame) -> Column:
-    all_of = Window.partitionBy("symbol")
-    return F.datediff(F.max("datetime").over(all_of), F.min("datetime").over(all_of))
-
-
 def _moves(bars: DataFrame) -> DataFrame:
     """bars with the true range and the directed moves."""
     up = F.col("high") - F.lag("high").over(by_time())
@@ -143,7 +138,7 @@ def wilder_atr(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
     """bars with "atr_14d", over `window` bars (a column); NULL for symbols that span fewer days."""
     rows, inputs = _seeds(bars.withColumn("__tr", true_range()), {"atr_14d": "__tr"}, F.col(window).cast("double"))
     out = scan(rows, inputs)
-    return out.withColumn("atr_14d", F.when(_span(out) >= days, F.col("atr_14d"))).drop("__tr", "__in_atr_14d")
+    return out.withColumn("atr_14d", F.when(whole_days() >= days, F.col("atr_14d"))).drop("__tr", "__in_atr_14d")
 
 
 def adx(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
@@ -152,5 +147,5 @@ def adx(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
     rows, inputs = _seeds(_moves(bars), {"atr_14d": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
     rows, inputs = _seeds(_direction(scan(rows, inputs)), {"adx_14d": "__dx"}, n)
     out = scan(rows, inputs)
-    out = out.withColumn("adx_14d", F.when(_span(out) >= days, F.col("adx_14d")))
+    out = out.withColumn("adx_14d", F.when(whole_days() >= days, F.col("adx_14d")))
     return out.drop("atr_14d", *(c for c in out.columns if c.startswith("__") and c not in bars.columns))

@@ -28,29 +28,36 @@ def from_ticks(ticks: DataFrame, unit: str = "day") -> DataFrame:
 
 
 def resample(bars: DataFrame, start: Column) -> DataFrame:
-    """Bars of longer windows from bars, `start` being each bar's window; windows without bars give no row."""
+    """Bars of longer windows from bars, `start` being each bar's window: dated by their first bar; without bars, no row."""
     at = F.col("datetime")
     return bars.withColumn("__start", start).groupBy("symbol", "__start").agg(
+        F.min(at).alias("datetime"),
         F.min_by("open", at).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", at).alias("close"),
         F.sum("volume").alias("volume"),
         F.max_by("adj_close", at).alias("adj_close"),
-    ).withColumnRenamed("__start", "datetime")
+    ).drop("__start")
 
 
-def resample_anchored(bars: DataFrame, minutes: int, at_end: bool = False) -> DataFrame:
-    """Windows of so many minutes, counted from each symbol's first bar, or back from its last one."""
-    ends = bars.groupBy("symbol").agg((F.max if at_end else F.min)("datetime").alias("__anchor"))
-    table = bars.join(ends, "symbol")
-    step, at, anchor = minutes * 60, F.unix_seconds("datetime"), F.unix_seconds("__anchor")
-    if at_end:  # windows (anchor - k * step, ...] are named by their first second
-        place = F.floor((anchor - at) / step)
-        start = anchor - (place + 1) * step + 1
-    else:
-        start = anchor + F.floor((at - anchor) / step) * step
-    return resample(table, F.timestamp_seconds(start))
+def resample_anchored(bars: DataFrame, minutes: int, anchor: str | None = None) -> DataFrame:
+    """Windows of so many minutes, counted from each symbol's first bar, or so that they end at a given time.
+
+    With an anchor, bars before the first whole window and from the anchor on are left out; a symbol that has no whole
+    window before the anchor has the one window that begins on the grid at or after its first bar.
+    """
+    first = bars.groupBy("symbol").agg(F.unix_seconds(F.min("datetime")).alias("__first"))
+    table, step, at = bars.join(first, "symbol"), minutes * 60, F.unix_seconds("datetime")
+    if anchor is None:
+        start = F.col("__first") + F.floor((at - F.col("__first")) / step) * step
+        return resample(table, F.timestamp_seconds(start))
+    end = F.unix_seconds(F.lit(anchor).cast("timestamp"))
+    begin = F.col("__first") + F.pmod(end - F.col("__first"), F.lit(step))
+    none = end - step < begin
+    start = begin + F.floor((at - begin) / step) * step
+    inside = (at >= begin) & F.when(none, at < begin + step).otherwise(at < end)
+    return resample(table.where(inside), F.timestamp_seconds(start))
 
 
 def ranges(bars: DataFrame) -> DataFrame:
@@ -95,11 +102,11 @@ def upsert(stored: DataFrame, fresh: DataFrame, order: str) -> DataFrame:
 
 
 def stale_symbols(universe: DataFrame, bars: DataFrame, days: int = 7) -> DataFrame:
-    """universe (symbol) with the last datetime and whether it is missing or more than `days` before the latest of all."""
+    """universe (symbol) with the last datetime and whether it is missing or more than `days` whole days before the latest of all."""
     last = bars.groupBy("symbol").agg(F.max("datetime").alias("last"))
     latest = last.agg(F.max("last").alias("latest"))
     out = universe.join(last, "symbol", "left").join(F.broadcast(latest), how="left")
-    return out.withColumn("is_stale", F.coalesce(F.datediff("latest", "last") > days, F.lit(True))).drop("latest")
+    return out.withColumn("is_stale", F.coalesce(F.floor((F.unix_seconds("latest") - F.unix_seconds("last")) / 86400) > days, F.lit(True))).drop("latest")
 
 
 def latest(bars: DataFrame) -> DataFrame:

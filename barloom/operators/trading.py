@@ -73,15 +73,32 @@ def informative_columns(rows: DataFrame, columns: list[str]) -> list[str]:
 def signals(rows: DataFrame, up: float = 0.4, down: float = 0.4) -> DataFrame:
     """Rows (symbol, date, p_down, p_neutral, p_up, atr, close) -> the best symbol to buy on each date, if any.
 
-    Rows with neither chance above its threshold are skipped, and only those whose likeliest class is up stay.
-    Score: expected return (atr / close; 0 if undefined) times how far up is ahead.
+    Rows with neither chance above its threshold are skipped, and only those decided as up stay. Score: the expected
+    return times how far up is ahead of the others. next_date: the next day that is no weekend.
     """
-    keep = rows.where((F.col("p_up") > up) | (F.col("p_down") > down))
-    keep = keep.where((F.col("p_up") > F.col("p_down")) & (F.col("p_up") > F.col("p_neutral")))
-    expected = F.when((F.col("close") > 0) & (F.col("atr") > 0), F.col("atr") / F.col("close")).otherwise(F.lit(0.0))
-    scored = keep.withColumn("score", expected * (F.col("p_up") - F.greatest("p_down", "p_neutral")))
+    keep = rows.where((F.col("p_up") > up) | (F.col("p_down") > down)).where(decision(up, down) == UP)
+    scored = keep.withColumn("score", expected_return() * (F.col("p_up") - F.greatest("p_down", "p_neutral")))
     best = F.max_by(F.struct("symbol", "score"), F.struct("score", "symbol")).alias("r")
-    return scored.groupBy("date").agg(best).select("date", "r.symbol", "r.score")
+    return scored.groupBy("date").agg(best).select("date", next_business_day("date").alias("next_date"), "r.symbol", "r.score")
+
+
+def decision(up: float = 0.4, down: float = 0.4) -> Column:
+    """Up if its chance is above the threshold, else down if its is, else up."""
+    return F.when(F.col("p_up") > up, UP).when(F.col("p_down") > down, DOWN).otherwise(UP)
+
+
+def direction_name(target: str) -> Column:
+    return F.when(F.col(target) == UP, "UP").when(F.col(target) == NEUTRAL, "NEUTRAL").otherwise("DOWN")
+
+
+def expected_return() -> Column:
+    """The mean true range by the close; 0 where that is undefined."""
+    return F.coalesce(F.try_divide("atr", F.when(F.col("close") != 0, F.col("close"))), F.lit(0.0))
+
+
+def next_business_day(date: str) -> Column:
+    d = F.col(date)
+    return F.date_add(d, F.when(F.weekday(d) == 4, 3).when(F.weekday(d) == 5, 2).otherwise(1))
 
 
 def growth(returns: DataFrame) -> DataFrame:
@@ -144,7 +161,7 @@ def simulate_one(rows: DataFrame) -> DataFrame:
 def simulate_best(picks: DataFrame, outcomes: DataFrame) -> DataFrame:
     """The return on the next trading day of each date's pick (date, symbol, score); outcomes: (symbol, date, ret)."""
     following = outcomes.withColumn("pick_date", F.lag("date").over(Window.partitionBy("symbol").orderBy("date")))
-    return picks.withColumnRenamed("date", "pick_date").join(following, ["symbol", "pick_date"]).select("symbol", "date", "score", "ret")
+    return picks.drop("next_date").withColumnRenamed("date", "pick_date").join(following, ["symbol", "pick_date"]).select("symbol", "date", "score", "ret")
 
 
 def undersample(rows: DataFrame, label: str, seed: int = 42) -> DataFrame:

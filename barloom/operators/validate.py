@@ -33,7 +33,7 @@ def null_columns(bars: DataFrame, required: tuple[str, ...] = RAW_COLUMNS) -> Da
 
 
 def empty_history(universe: DataFrame, bars: DataFrame) -> DataFrame:
-    return universe.select("symbol").distinct().join(bars.select("symbol"), "symbol", "left_anti").withColumn("issue", F.lit("Empty historical prices"))
+    return universe.select("symbol").distinct().join(bars.select("symbol"), "symbol", "left_anti").withColumn("issue", F.lit("Historical prices are empty"))
 
 
 def not_registered(universe: DataFrame, bars: DataFrame) -> DataFrame:
@@ -101,13 +101,20 @@ def missing_steps(bars: DataFrame, days: int, holidays: DataFrame) -> DataFrame:
     return grid.join(bars.select("symbol", F.to_date("datetime").alias("date")), ["symbol", "date"], "left_anti").select("symbol", "date")
 
 
-def report(universe: DataFrame, bars: DataFrame, raw: bool = True, interval_seconds: int = 3600) -> DataFrame:
-    """(symbol, issue): of every symbol the issue of the earliest check that it fails, NULL if it passes all."""
-    uneven = uneven_days(bars, interval_seconds).groupBy("symbol").agg(F.min("date").alias("d"))
-    uneven = uneven.select("symbol", F.concat(F.lit("Inconsistent time intervals on "), F.col("d").cast("string")).alias("issue"))
+def report(universe: DataFrame, bars: DataFrame, holidays: DataFrame, raw: bool = True, interval_seconds: int = 3600, position: str | None = None) -> DataFrame:
+    """(symbol, issue): of every symbol the issue of the earliest check that it fails, NULL if it passes all.
+
+    position: a column with the stored order, where that is to be checked too.
+    """
+    uneven = uneven_days(bars, interval_seconds).groupBy("symbol").agg(F.min("date").cast("string").alias("d"))
+    days = missing_days(bars, holidays) if interval_seconds <= 86400 else missing_steps(bars, interval_seconds // 86400, holidays)
+    what = " trading days: [" if interval_seconds <= 86400 else " expected interval points: ["
+    quoted = F.array_sort(F.collect_list(F.concat(F.lit("'"), F.col("date").cast("string"), F.lit("'"))))
+    days = days.groupBy("symbol").agg(F.concat(F.lit("Missing "), F.count("*").cast("string"), F.lit(what), F.array_join(quoted, ", "), F.lit("]")).alias("issue"))
     checks = [
-        empty_history(universe, bars), null_columns(bars), price_range(bars), price_sign(bars, raw),
-        volume(bars).where("issue is not null").select("symbol", "issue"), uneven, not_registered(universe, bars),
+        not_registered(universe, bars), empty_history(universe, bars), null_columns(bars), *([unsorted(bars, position)] if position else []), days,
+        price_range(bars), price_sign(bars, raw), volume(bars).where("issue is not null"),
+        uneven.select("symbol", F.concat(F.lit("Inconsistent intervals within "), "d").alias("issue")),
     ]
     issues = reduce(DataFrame.unionByName, (c.select("symbol", "issue", F.lit(k).alias("k")) for k, c in enumerate(checks)))
     first = issues.groupBy("symbol").agg(F.min_by("issue", "k").alias("issue"))

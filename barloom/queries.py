@@ -103,7 +103,7 @@ def bars_hourly(spark, d):
 @query(
     f"""{HOURLY}, a AS (SELECT *, min(datetime) OVER (PARTITION BY symbol) AS first FROM hourly),
     s AS (SELECT *, first + to_minutes(CAST(420 * floor((epoch(datetime) - epoch(first)) / 25200) AS BIGINT)) AS start FROM a)
-    SELECT symbol, strftime(start, '%Y-%m-%d %H:%M:%S') AS datetime, {r('arg_min(open, datetime)', 'open')}, {r('max(high)', 'high')}, {r('min(low)', 'low')},
+    SELECT symbol, strftime(min(datetime), '%Y-%m-%d %H:%M:%S') AS datetime, {r('arg_min(open, datetime)', 'open')}, {r('max(high)', 'high')}, {r('min(low)', 'low')},
     {r('arg_max(close, datetime)', 'close')}, {r('sum(volume)', 'volume')}, {r('arg_max(adj_close, datetime)', 'adj_close')} FROM s GROUP BY symbol, start"""
 )
 def bars_anchored(spark, d):
@@ -111,12 +111,12 @@ def bars_anchored(spark, d):
 
 
 @query(
-    f"""{HOURLY}, a AS (SELECT *, max(datetime) OVER (PARTITION BY symbol) AS last FROM hourly),
-    s AS (SELECT *, last - to_seconds(CAST((floor((epoch(last) - epoch(datetime)) / 25200) + 1) * 25200 - 1 AS BIGINT)) AS start FROM a)
-    SELECT symbol, strftime(start, '%Y-%m-%d %H:%M:%S') AS datetime, {r('max(high)', 'high')}, {r('sum(volume)', 'volume')} FROM s GROUP BY symbol, start"""
+    f"""{HOURLY}, a AS (SELECT *, epoch(min(datetime) OVER (PARTITION BY symbol)) AS f, epoch(TIMESTAMP '2024-01-20 12:00:00') AS e, epoch(datetime) AS t FROM hourly),
+    s AS (SELECT *, f + (e - f) % 25200 AS b FROM a) SELECT symbol, strftime(min(datetime), '%Y-%m-%d %H:%M:%S') AS datetime, {r('max(high)', 'high')}, {r('sum(volume)', 'volume')}
+    FROM s WHERE t >= b AND t < e GROUP BY symbol, floor((t - b) / 25200)"""
 )
 def bars_anchored_at_end(spark, d):
-    return shown(ops.resample_anchored(hourly(spark, d), 420, at_end=True), "high", "volume")
+    return shown(ops.resample_anchored(hourly(spark, d), 420, "2024-01-20 12:00:00"), "high", "volume")
 
 
 @query(f"{DAILY} SELECT {r('min(low)', 'min_price')}, {r('max(high)', 'max_price')}, {r('min(volume)', 'min_volume')}, {r('max(volume)', 'max_volume')} FROM daily")
@@ -192,7 +192,7 @@ _AGED = "CASE symbol WHEN 'click' THEN day(datetime) <= 10 WHEN 'view' THEN day(
 @query(
     f"""{HOURLY}, b AS (SELECT * FROM hourly WHERE {_AGED}), l AS (SELECT symbol, max(datetime) AS last FROM b GROUP BY symbol),
     u AS (SELECT DISTINCT event_type AS symbol FROM events UNION SELECT 'none')
-    SELECT symbol, strftime(last, '%Y-%m-%d %H:%M:%S') AS last, coalesce(date_diff('day', CAST(last AS DATE), CAST((SELECT max(last) FROM l) AS DATE)) > 7, TRUE) AS is_stale FROM u LEFT JOIN l USING (symbol)"""
+    SELECT symbol, strftime(last, '%Y-%m-%d %H:%M:%S') AS last, coalesce(floor((epoch((SELECT max(last) FROM l)) - epoch(last)) / 86400) > 7, TRUE) AS is_stale FROM u LEFT JOIN l USING (symbol)"""
 )
 def stale_symbols(spark, d):
     bars = hourly(spark, d)
@@ -320,7 +320,7 @@ def bars_per_session(spark, d):
 
 @query(
     f"""{HOURLY}, {SESSIONS}, x AS (SELECT h.*, s.n * 20 AS k, row_number() OVER {W} AS rn, sum(volume) OVER (PARTITION BY symbol ORDER BY datetime ROWS UNBOUNDED PRECEDING) AS run,
-      date_diff('day', CAST(min(datetime) OVER (PARTITION BY symbol) AS DATE), CAST(max(datetime) OVER (PARTITION BY symbol) AS DATE)) AS span FROM hourly h JOIN sessions s USING (symbol))
+      floor((epoch(max(datetime) OVER (PARTITION BY symbol)) - epoch(min(datetime) OVER (PARTITION BY symbol))) / 86400) AS span FROM hourly h JOIN sessions s USING (symbol))
     SELECT x.symbol, strftime(x.datetime, '%Y-%m-%d %H:%M:%S') AS datetime, {r('CASE WHEN x.rn >= x.k AND x.span >= 20 THEN x.volume / nullif((x.run - coalesce(y.run, 0)) / x.k, 0) END', 'volume_rvol')}
     FROM x LEFT JOIN x y ON y.symbol = x.symbol AND y.rn = x.rn - x.k"""
 )
@@ -494,7 +494,14 @@ def market_phase(spark, d):
 
 # ---------------------------------------------------------------------------------------------------- trading hours
 
-BOUNDS = "bounds AS (SELECT symbol, CAST(datetime AS DATE) AS date, strftime(min(datetime), '%H:%M') AS first, strftime(max(datetime), '%H:%M') AS last FROM hourly GROUP BY ALL)"
+BOUNDS = "bounds AS (SELECT symbol, CAST(datetime AS DATE) AS date, strftime(min(datetime), '%H:%M') AS first, strftime(max(datetime), '%H:%M') AS last FROM hourly WHERE hour(datetime) BETWEEN 8 AND 17 GROUP BY ALL)"
+# Hours of a market that closes at night.
+
+
+def open_hours(spark: SparkSession, d: str) -> DataFrame:
+    return hourly(spark, d).where("hour(datetime) BETWEEN 8 AND 17")
+
+
 _TO = "strftime(CAST(date AS TIMESTAMP) + CAST(last || ':00' AS INTERVAL) + INTERVAL 1 HOUR, '%H:%M')"
 BLOCKS = f"""{BOUNDS}, dated AS (SELECT symbol, isodow(date) - 1 AS weekday, first AS f, {_TO} AS t, date FROM bounds),
     lengths AS (SELECT symbol, weekday, f, t, count(DISTINCT date) AS dates, (CAST(substr(t, 1, 2) AS INT) * 60 + CAST(substr(t, 4, 2) AS INT)) - (CAST(substr(f, 1, 2) AS INT) * 60 + CAST(substr(f, 4, 2) AS INT)) AS len FROM dated GROUP BY ALL),
@@ -504,12 +511,12 @@ BLOCKS = f"""{BOUNDS}, dated AS (SELECT symbol, isodow(date) - 1 AS weekday, fir
 
 @query(f"{HOURLY}, {BOUNDS} SELECT * FROM bounds", dates=("date",))
 def daily_bounds(spark, d):
-    return sched.daily_bounds(hourly(spark, d))
+    return sched.daily_bounds(open_hours(spark, d))
 
 
 @query(f"""{HOURLY}, {BLOCKS} SELECT symbol, CAST(weekday AS INTEGER) AS weekday, f AS "from", t AS "to", dates, hours, all_day, recurrent FROM blocks""")
 def trading_blocks(spark, d):
-    return sched.trading_blocks(sched.daily_bounds(hourly(spark, d)), 60)
+    return sched.trading_blocks(sched.daily_bounds(open_hours(spark, d)), 60)
 
 
 @query(
@@ -561,7 +568,7 @@ _SUMMARY = f"""{BLOCKS}, kept AS (SELECT d.* FROM dated d JOIN blocks b ON b.sym
 
 @query(f"""{HOURLY}, {_SUMMARY} SELECT symbol, f AS "from", t AS "to", date_from, date_to, hours, all_day FROM summary""", dates=("date_from", "date_to"))
 def symbol_schedule(spark, d):
-    return sched.symbol_summary(hourly(spark, d), 60)
+    return sched.symbol_summary(open_hours(spark, d), 60)
 
 
 @query(
@@ -569,7 +576,7 @@ def symbol_schedule(spark, d):
     c2 AS (SELECT *, sum(CASE WHEN date_diff('day', before, date_from) <= 8 THEN 0 ELSE 1 END) OVER (PARTITION BY f, t, hours ORDER BY date_from, date_to) AS run FROM c1)
     SELECT f AS "from", t AS "to", min(date_from) AS date_from, max(date_to) AS date_to FROM c2 GROUP BY f, t, hours, run""", dates=("date_from", "date_to"))
 def market_schedule(spark, d):
-    return sched.consolidated(sched.symbol_summary(hourly(spark, d), 60))
+    return sched.consolidated(sched.symbol_summary(open_hours(spark, d), 60))
 
 
 # ---------------------------------------------------------------------------------------------------- ingestion
@@ -642,11 +649,12 @@ def typed_metadata(spark, d):
 
 # ---------------------------------------------------------------------------------------------------- validation
 
-BROKEN = "(SELECT symbol, datetime, open, CASE WHEN symbol = 'click' AND day(datetime) = 3 THEN low - 1 ELSE high END AS high, CASE WHEN symbol = 'view' THEN -low ELSE low END AS low, close, volume, adj_close FROM {})"
+BROKEN = "(SELECT symbol, datetime, open, CASE WHEN symbol = 'click' AND day(datetime) = 3 THEN low - 1 ELSE high END AS high, CASE WHEN symbol = 'view' THEN -low ELSE low END AS low, close, volume, adj_close FROM {} WHERE NOT (symbol = 'error' AND day(datetime) = 10))"
 
 
 def broken(bars: DataFrame) -> DataFrame:
     high = F.when((F.col("symbol") == "click") & (F.dayofmonth("datetime") == 3), F.col("low") - 1).otherwise(F.col("high"))
+    bars = bars.where(~((F.col("symbol") == "error") & (F.dayofmonth("datetime") == 10)))
     return bars.withColumn("high", high).withColumn("low", F.when(F.col("symbol") == "view", -F.col("low")).otherwise(F.col("low")))
 
 
@@ -670,12 +678,12 @@ def volume_check(spark, d):
 
 
 UNEVEN = """gaps AS (SELECT symbol, CAST(datetime AS DATE) AS date, epoch(datetime) - epoch(lag(datetime) OVER (PARTITION BY symbol, CAST(datetime AS DATE) ORDER BY datetime)) AS step FROM hourly),
-    uneven AS (SELECT symbol, date, stddev_pop(step) AS spread FROM gaps GROUP BY ALL HAVING stddev_pop(step) > 3600)"""
+    uneven AS (SELECT symbol, date, stddev_pop(step) AS spread FROM gaps GROUP BY ALL HAVING stddev_pop(step) > 1800)"""
 
 
 @query(f"{HOURLY}, {UNEVEN} SELECT symbol, date, {r('spread', 'spread')} FROM uneven", dates=("date",))
 def delta_std_check(spark, d):
-    return validate.uneven_days(hourly(spark, d), 3600).withColumn("spread", F.round("spread", 6))
+    return validate.uneven_days(hourly(spark, d), 1800).withColumn("spread", F.round("spread", 6))
 
 
 @query(
@@ -695,17 +703,21 @@ def missing_steps(spark, d):
 
 
 REPORT = f"""b AS {BROKEN.format('hourly')}, u AS (SELECT symbol FROM (VALUES ('click'), ('view'), ('signup'), ('error'), ('none')) AS v(symbol)), {UNEVEN},
-    issues AS (SELECT symbol, 'Empty historical prices' AS issue, 0 AS k FROM u WHERE symbol NOT IN (SELECT symbol FROM b)
-      UNION ALL SELECT * FROM (SELECT symbol, CASE {_RULES} END AS issue, 2 FROM b GROUP BY symbol) WHERE issue IS NOT NULL
-      UNION ALL SELECT * FROM (SELECT symbol, {_SIGN} AS issue, 3 FROM b GROUP BY symbol) WHERE issue <> ''
-      UNION ALL SELECT symbol, 'Inconsistent time intervals on ' || CAST(min(date) AS VARCHAR), 5 FROM uneven GROUP BY symbol
-      UNION ALL SELECT DISTINCT symbol, 'Symbol not in registry', 6 FROM b WHERE symbol NOT IN (SELECT symbol FROM u)),
+    ends AS (SELECT symbol, CAST(min(datetime) AS DATE) AS lo, CAST(max(datetime) AS DATE) AS hi FROM b GROUP BY symbol),
+    grid AS (SELECT symbol, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM ends),
+    gone AS (SELECT symbol, date FROM grid WHERE isodow(date) <= 5 AND date NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)}) AND NOT EXISTS (SELECT 1 FROM b x WHERE x.symbol = grid.symbol AND CAST(x.datetime AS DATE) = grid.date)),
+    issues AS (SELECT DISTINCT symbol, 'Symbol not in registry' AS issue, 0 AS k FROM b WHERE symbol NOT IN (SELECT symbol FROM u)
+      UNION ALL SELECT symbol, 'Historical prices are empty', 1 FROM u WHERE symbol NOT IN (SELECT symbol FROM b)
+      UNION ALL SELECT symbol, 'Missing ' || count(*) || ' trading days: [' || string_agg('''' || CAST(date AS VARCHAR) || '''', ', ' ORDER BY date) || ']', 3 FROM gone GROUP BY symbol
+      UNION ALL SELECT * FROM (SELECT symbol, CASE {_RULES} END AS issue, 4 FROM b GROUP BY symbol) WHERE issue IS NOT NULL
+      UNION ALL SELECT * FROM (SELECT symbol, {_SIGN} AS issue, 5 FROM b GROUP BY symbol) WHERE issue <> ''
+      UNION ALL SELECT symbol, 'Inconsistent intervals within ' || CAST(min(date) AS VARCHAR), 7 FROM uneven GROUP BY symbol),
     report AS (SELECT symbol, arg_min(issue, k) AS issue FROM (SELECT symbol FROM u UNION SELECT symbol FROM b) LEFT JOIN issues USING (symbol) GROUP BY symbol)"""
 
 
 def _report(spark, d):
     names = spark.createDataFrame([(s,) for s in ("click", "view", "signup", "error", "none")], "symbol string")
-    return validate.report(names, broken(hourly(spark, d)))
+    return validate.report(names, broken(hourly(spark, d)), temporal.dates_table(spark, HOLIDAYS), interval_seconds=1800)
 
 
 @query(f"{HOURLY}, {REPORT} SELECT symbol, issue FROM report")
@@ -782,8 +794,7 @@ def min_rows_per_key(spark, d):
 # Chances made from the bars themselves, so that both engines have the same.
 CHANCES = f"""chances AS (SELECT symbol, datetime, CAST(datetime AS DATE) AS date, close, {full('avg', 'tr', 14)} AS atr, ((CAST(floor(close) AS BIGINT) * 7919) % 101) / 100 AS u,
     ((CAST(floor(open) AS BIGINT) * 104729) % 97) / 100 AS w FROM (SELECT *, {TRUE_RANGE} AS tr FROM daily)), probs AS (SELECT *, u * w AS p_down, (1 - u) * w AS p_neutral, 1 - w AS p_up FROM chances)"""
-SIGNALS = f"""{CHANCES}, kept AS (SELECT *, CASE WHEN close > 0 AND atr > 0 THEN atr / close ELSE 0 END * (p_up - greatest(p_down, p_neutral)) AS score FROM probs
-    WHERE (p_up > 0.4 OR p_down > 0.4) AND p_up > p_down AND p_up > p_neutral), best AS (SELECT date, arg_max(symbol, row(score, symbol)) AS symbol, max(score) AS score FROM kept GROUP BY date)"""
+SIGNALS = f"""{CHANCES}, kept AS (SELECT *, coalesce(atr / nullif(close, 0), 0) * (p_up - greatest(p_down, p_neutral)) AS score FROM probs WHERE p_up > 0.4), best AS (SELECT date, arg_max(symbol, row(score, symbol)) AS symbol, max(score) AS score FROM kept GROUP BY date)"""
 
 
 def _signals(spark, d):
@@ -794,7 +805,7 @@ def _signals(spark, d):
     return trading.signals(rows, S.up_threshold, S.down_threshold)
 
 
-@query(f"{DAILY}, {SIGNALS} SELECT date, symbol, {r('score', 'score')} FROM best", dates=("date",))
+@query(f"{DAILY}, {SIGNALS} SELECT date, CAST(date + CASE isodow(date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS DATE) AS next_date, symbol, {r('score', 'score')} FROM best", dates=("date", "next_date"))
 def best_signal(spark, d):
     return _signals(spark, d).withColumn("score", F.round("score", 6))
 

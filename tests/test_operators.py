@@ -25,7 +25,7 @@ def table(spark, times, symbol="a", **cells):
 def test_resample_keeps_volume_and_range(spark, data):
     ticks = event_ticks(spark, data)
     hours, days = ops.from_ticks(ticks, "hour"), ops.from_ticks(ticks, "day")
-    again = ops.resample(hours, F.date_trunc("day", "datetime"))
+    again = ops.resample(hours, F.date_trunc("day", "datetime")).withColumn("datetime", F.date_trunc("day", "datetime"))
     key = ["symbol", "datetime", "open", "high", "low", "close", "volume"]
     assert days.select(key).exceptAll(again.select(key)).isEmpty() and again.count() == days.count()
 
@@ -195,3 +195,25 @@ def test_search_over_group_folds(spark, data):
     rows = enrich.window_features(daily(spark, data)).withColumn("target", trading.target(0.05).cast("double")).dropna(subset=["rsi", "target", "williams_r"])
     model = learning.search(rows.select("symbol", "target", "rsi", "williams_r"), ["rsi", "williams_r"], trials=1, folds=2)
     assert model.transform(rows).select("prediction").distinct().count() >= 1
+
+
+def test_report_names_the_first_issue(spark):
+    names = spark.createDataFrame([("a",), ("b",), ("c",)], "symbol string")
+    none = spark.createDataFrame([], "date date")
+    rows = table(spark, ["2024-01-01", "2024-01-03"]).union(table(spark, ["2024-01-02"], "b", low=20.0)).union(table(spark, ["2024-01-02"], "x"))
+    got = {r.symbol: r.issue for r in validate.report(names, rows, none, interval_seconds=86400).collect()}
+    assert got == {"a": "Missing 1 trading days: ['2024-01-02']", "b": "low > high", "c": "Historical prices are empty", "x": "Symbol not in registry"}
+
+
+def test_windows_that_end_at_a_time(spark):
+    rows = table(spark, [f"2024-01-01T{h:02d}:00" for h in (1, 2, 3, 5, 6, 8, 9)])
+    got = [(r.datetime.hour, r.volume) for r in ops.resample_anchored(rows, 180, "2024-01-01T09:00").orderBy("datetime").collect()]
+    assert got == [(3, 10.0), (6, 10.0)]
+    assert [r.datetime.hour for r in ops.resample_anchored(rows, 180, "2024-01-01T02:00").collect()] == [2]
+
+
+def test_decisions(spark):
+    rows = spark.createDataFrame([("a", 0.3, 0.5), ("b", 0.5, 0.3), ("c", 0.3, 0.3)], "k string, p_down double, p_up double")
+    assert [r[0] for r in rows.orderBy("k").select(trading.decision()).collect()] == [trading.UP, trading.DOWN, trading.UP]
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (4, 5, 6, 7)], "d date")
+    assert [r[0].day for r in days.orderBy("d").select(trading.next_business_day("d")).collect()] == [5, 8, 8, 8]
