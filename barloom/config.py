@@ -15,7 +15,7 @@ MULTI_SCORES = {
     "bearish_engulfing": 0.0, "evening_star": 0.05, "dark_cloud_cover": 0.1, "three_black_crows": 0.15, "tweezer_top": 0.2,
     "tweezer_bottom": 0.8, "piercing_line": 0.9, "morning_star": 0.95, "three_white_soldiers": 0.98, "bullish_engulfing": 1.0,
 }
-#: Days of history that a first load asks for, by bar interval.
+# Days of history that a first load asks for, by bar interval; weekdays; columns of a bar; features of the model.
 FALLBACK_DAYS = {
     "1m": 7, "2m": 59, "5m": 59, "15m": 59, "30m": 59, "60m": 59, "90m": 59, "1h": 729, "1d": 3000, "5d": 3000, "1wk": 3000, "1mo": 3000, "3mo": 3000,
 }

@@ -61,3 +61,9 @@ def fits(raw: str, enriched: str) -> bool:
     """Whether bars of the raw interval make whole bars of the enriched one."""
     x, y = to_minutes(raw), to_minutes(enriched)
     return 0 < x <= y and y % x == 0
+
+
+def resolve(settings: dict, key: str, default: str) -> str:
+    """The interval under a key, or the default where it is blank or none."""
+    found = settings.get(key) or ""
+    return found if is_valid(found) else default

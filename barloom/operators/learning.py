@@ -10,8 +10,9 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .trading import group_folds
+from .trading import class_report, group_folds
 
 
 def pipeline(numeric: list[str], categorical: list[str], label: str = "target", boosted: bool = False, seed: int = 42, **params) -> Pipeline:
@@ -48,3 +49,10 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def train_and_evaluate(rows: DataFrame, cutoff: str, numeric: list[str], categorical: list[str] = (), **options) -> tuple[PipelineModel, DataFrame]:
+    """A model of the rows up to the cutoff, and the class report of those after it."""
+    model = fit(rows.where(F.col("datetime") <= F.lit(cutoff).cast("timestamp")), numeric, categorical, **options)
+    after = model.transform(rows.where(F.col("datetime") > F.lit(cutoff).cast("timestamp")))
+    return model, class_report(after, "target", "prediction")

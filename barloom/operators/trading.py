@@ -70,6 +70,20 @@ def informative_columns(rows: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if not got[c]]
 
 
+def valid_features(rows: DataFrame, columns: list[str], least: int = 500) -> DataFrame:
+    """(column, n, is_valid): how many values each column has, and whether they are enough."""
+    counts = rows.agg(*(F.count(c).alias(c) for c in columns))
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns))
+    return counts.select(F.inline(pairs)).withColumn("is_valid", F.col("n") >= least)
+
+
+def outcomes(picks: DataFrame, rows: DataFrame) -> DataFrame:
+    """picks (symbol, date) with the last row of rows (symbol, date, datetime, ...) on that date."""
+    fields = [c for c in rows.columns if c not in ("symbol", "date")]
+    last_of_day = rows.groupBy("symbol", "date").agg(F.max_by(F.struct(*fields), "datetime").alias("r")).select("symbol", "date", "r.*")
+    return picks.join(last_of_day, ["symbol", "date"], "left")
+
+
 def signals(rows: DataFrame, up: float = 0.4, down: float = 0.4) -> DataFrame:
     """Rows (symbol, date, p_down, p_neutral, p_up, atr, close) -> the best symbol to buy on each date, if any.
 

@@ -619,6 +619,43 @@ def load_cursors(spark, d):
     return out.select("symbol", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "is_waiting", F.col("wait_seconds").cast("bigint").alias("wait_seconds"))
 
 
+@query(
+    f"""{HOURLY}, l AS (SELECT symbol, max(datetime) AS last FROM hourly WHERE {_AGED} GROUP BY symbol), w AS (SELECT symbol, epoch(last) + 3600 - epoch(TIMESTAMP '2024-01-05 00:00:00') AS s FROM l)
+    SELECT arg_min(symbol, row(s, symbol)) AS symbol, CAST(min(s) AS BIGINT) AS wait_seconds FROM w WHERE s > 0"""
+)
+def shortest_wait(spark, d):
+    bars = hourly(spark, d).where(F.expr(_AGED))
+    return provider.shortest_wait(provider.cursors(bars.select("symbol"), bars, "2024-01-05 00:00:00")).withColumn("wait_seconds", F.col("wait_seconds").cast("bigint"))
+
+
+@query(f"{HOURLY} SELECT symbol, coalesce(bool_or({_AGED} AND epoch(TIMESTAMP '2024-01-31') - epoch(datetime) <= 604800), FALSE) AS is_available FROM hourly GROUP BY symbol")
+def symbol_availability(spark, d):
+    bars = hourly(spark, d)
+    return provider.available(bars, bars.where(F.expr(_AGED)), "2024-01-31")
+
+
+@query(
+    """SELECT c_name AS symbol FROM customer c WHERE NOT (NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '5-LOW') AND (c_custkey % 5 = 0 OR trim(CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE c_name END) = ''))"""
+)
+def symbols_to_process(spark, d):
+    names = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", F.col("c_name").alias("symbol"), F.when(F.col("c_custkey") % 7 == 0, " ").otherwise(F.col("c_name")).alias("name"))
+    seen = spark.read.parquet(f"{d}/orders.parquet").where("o_orderpriority = '5-LOW'").join(names, F.col("o_custkey") == F.col("c_custkey")).select("symbol")
+    return provider.to_process(names.select("symbol", "name"), seen, names.where("c_custkey % 5 = 0")).select("symbol")
+
+
+@query(
+    """WITH a AS (SELECT DISTINCT o_custkey AS symbol FROM orders WHERE o_orderstatus = 'P'), b AS (SELECT DISTINCT o_custkey AS symbol FROM orders WHERE o_orderpriority = '5-LOW')
+    SELECT 'union' AS op, symbol FROM (SELECT * FROM a UNION SELECT * FROM b) UNION ALL SELECT 'difference', symbol FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'intersection', symbol FROM (SELECT * FROM a INTERSECT SELECT * FROM b)"""
+)
+def universe_sets(spark, d):
+    from .sources import universe
+
+    orders = spark.read.parquet(f"{d}/orders.parquet").withColumnRenamed("o_custkey", "symbol")
+    a, b = orders.where("o_orderstatus = 'P'"), orders.where("o_orderpriority = '5-LOW'")
+    named = lambda op, df: df.select(F.lit(op).alias("op"), "symbol")
+    return named("union", universe.combined(a, b)).union(named("difference", universe.without(a, b))).union(named("intersection", universe.common(a, b)))
+
+
 @query(
     """SELECT c_name AS symbol, coalesce(nullif(trim(CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_mktsegment END), ''), c_name) AS name, 'EQUITY' AS type, nullif(trim(lower(c_mktsegment)), '') AS sector,
     CAST(c_nationkey AS VARCHAR) AS industry, CASE WHEN c_custkey % 2 = 0 THEN 'EUR' ELSE 'USD' END AS currency, 'NMS' AS exchange FROM customer"""
@@ -791,6 +828,22 @@ def min_rows_per_key(spark, d):
     return trading.frequent_keys(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey"), "o_custkey", 12)
 
 
+@query(
+    f"""{DAILY}, {RETURNS} SELECT 'long' AS "column", (SELECT count(x) FROM (SELECT {full('avg', 'close', 1700)} AS x FROM daily)) AS n, (SELECT count(x) FROM (SELECT {full('avg', 'close', 1700)} AS x FROM daily)) >= 500 AS is_valid
+    UNION ALL SELECT 'short', (SELECT count(x) FROM (SELECT {full('avg', 'close', 20)} AS x FROM daily)), (SELECT count(x) FROM (SELECT {full('avg', 'close', 20)} AS x FROM daily)) >= 500"""
+)
+def feature_validity(spark, d):
+    rows = daily(spark, d).withColumns({"long": ind.full(F.avg, F.col("close"), 1700), "short": ind.full(F.avg, F.col("close"), 20)})
+    return trading.valid_features(rows, ["long", "short"])
+
+
+@query(f"{HOURLY} SELECT p.symbol, CAST(p.date AS VARCHAR) AS date, {r('close', 'close')} FROM (SELECT DISTINCT symbol, CAST(datetime AS DATE) AS date FROM hourly WHERE day(datetime) % 2 = 0) p LEFT JOIN (SELECT symbol, CAST(datetime AS DATE) AS date, arg_max(close, datetime) AS close FROM hourly GROUP BY ALL) c USING (symbol, date)")
+def outcome_lookup(spark, d):
+    rows = hourly(spark, d).withColumn("date", F.to_date("datetime"))
+    picks = rows.where("day(datetime) % 2 = 0").select("symbol", "date").distinct()
+    return trading.outcomes(picks, rows).select("symbol", F.col("date").cast("string").alias("date"), F.round("close", 6).alias("close"))
+
+
 # Chances made from the bars themselves, so that both engines have the same.
 CHANCES = f"""chances AS (SELECT symbol, datetime, CAST(datetime AS DATE) AS date, close, {full('avg', 'tr', 14)} AS atr, ((CAST(floor(close) AS BIGINT) * 7919) % 101) / 100 AS u,
     ((CAST(floor(open) AS BIGINT) * 104729) % 97) / 100 AS w FROM (SELECT *, {TRUE_RANGE} AS tr FROM daily)), probs AS (SELECT *, u * w AS p_down, (1 - u) * w AS p_neutral, 1 - w AS p_up FROM chances)"""
@@ -924,6 +977,16 @@ def ml_pipeline(spark, d):
     return model.transform(rows.where("datetime >= '2000-06-01'")).select("symbol", "datetime", "target", "prediction")
 
 
+@query(None)
+def train_and_evaluate(spark, d):
+    from .operators import learning
+
+    rows = plan.window_features(daily(spark, d), S).withColumn("target", trading.target(0.05).cast("double"))
+    names = ["intraday_return", "volatility", "williams_r", "rsi"]
+    rows = rows.dropna(subset=[*names, "target"]).select("symbol", "datetime", "target", *names)
+    return learning.train_and_evaluate(rows, "2000-06-01", names, numTrees=10)[1]
+
+
 @query(None)
 def stream_bars(spark, d):
     """Hourly bars of a stream that reads the table as files, run to its end."""

@@ -114,3 +114,24 @@ def next_bar(last: DataFrame, calendar: DataFrame, step_minutes: int) -> DataFra
     rows = last.select("symbol", F.timestamp_seconds(F.unix_seconds("last") + step_minutes * 60).alias("want"))
     found = rows.join(F.broadcast(calendar), F.col("close") > F.col("want"))
     return found.groupBy("symbol").agg(F.min(F.greatest("want", "open")).alias("next"))
+
+
+def shortest_wait(cursor_rows: DataFrame) -> DataFrame:
+    """(symbol, wait_seconds) of the symbol whose next bar comes first; none if nothing waits."""
+    first = F.min_by(F.struct("symbol", "wait_seconds"), F.struct("wait_seconds", "symbol")).alias("r")
+    return cursor_rows.where("is_waiting").agg(first).where("r is not null").select("r.*")
+
+
+def available(universe: DataFrame, bars: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """(symbol, is_available): whether a symbol has any bar in the last so many days."""
+    late = F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds("datetime") <= days * 86400
+    some = bars.where(late).select("symbol").distinct().withColumn("is_available", F.lit(True))
+    return universe.select("symbol").distinct().join(some, "symbol", "left").withColumn("is_available", F.coalesce("is_available", F.lit(False)))
+
+
+def to_process(universe: DataFrame, bars: DataFrame, invalid: DataFrame) -> DataFrame:
+    """Symbols (symbol, name) to load: all but those without history that are invalid or have no name."""
+    bare = universe.join(bars.select("symbol"), "symbol", "left_anti")
+    bad = bare.join(invalid.select("symbol").withColumn("__bad", F.lit(True)), "symbol", "left")
+    skipped = bad.where(F.col("__bad") | F.coalesce(F.trim("name"), F.lit("")).eqNullSafe("")).select("symbol")
+    return universe.join(skipped, "symbol", "left_anti")

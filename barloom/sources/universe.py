@@ -33,3 +33,19 @@ def market_calendar(spark: SparkSession, last_year: int, events: list[dt.date],
     """Holidays of the last so many years, and event dates, as (date) tables."""
     holidays = us_holidays(last_year - years + 1, last_year)
     return {name: spark.createDataFrame([(d,) for d in dates], "date date") for name, dates in (("holidays", holidays), ("events", events))}
+
+
+def combined(*lists: DataFrame) -> DataFrame:
+    """The distinct symbols of several lists."""
+    out = lists[0].select("symbol")
+    for other in lists[1:]:
+        out = out.union(other.select("symbol"))
+    return out.distinct()
+
+
+def without(symbols: DataFrame, invalid: DataFrame) -> DataFrame:
+    return symbols.select("symbol").distinct().join(invalid.select("symbol"), "symbol", "left_anti")
+
+
+def common(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.select("symbol").intersect(b.select("symbol"))
