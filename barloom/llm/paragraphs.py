@@ -2,8 +2,9 @@
 
 Equal paragraphs are one class from the start. Bands of few rows are tuned for recall (see BANDS): of pairs at the
 threshold 99.8 % collide, of more similar ones nearly all. Colliding classes are verified on their whole shingle sets.
-A passage in the midst of other text shares no paragraph, but whole sentences: runs of sentences that stand
-elsewhere too, word for word, are returned beside the paragraphs.
+A passage in the midst of other text shares no paragraph. Of every PASSAGE words in a row the place of the least
+GRAM-word hash is an anchor, so any passage of PASSAGE words or more that stands in two texts word for word has an anchor in
+common; runs of such anchors are returned beside the paragraphs.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .bytesnp import LOWER, WORD, mixed, powers, prefix_hash, slices, span_hash, text_column, word_bounds
+from .bytesnp import LOWER, WORD, mixed, powers, prefix_hash, slices, sliding_min, span_hash, text_column, word_bounds
 from .graph import components
 from .scratch import Scratch, with_ids
 
@@ -22,13 +23,11 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: 1 - (1 - 0.8^2)^6 = 0.998 of the pairs with Jaccard 0.8 collide in a band.
 BANDS, ROWS = 6, 2
-#: Fewer words repeat by chance, or are formulas such as license lines; paragraphs and passages have at least so many.
+#: Fewer words repeat by chance, or are formulas such as license lines; paragraphs have at least so many.
 MIN_WORDS = 20
-#: Sentences of fewer words belong to a passage only between longer ones that repeat.
-MIN_SENTENCE = 4
+#: Passages of PASSAGE words in a row are found wherever they begin and end, by common runs of GRAM words.
+PASSAGE, GRAM = 50, 20
 
-_END = np.zeros(256, bool)
-_END[[10, 33, 46, 63]] = True
 _LINE = np.zeros(256, bool)
 _LINE[10] = True
 _rng = np.random.default_rng(29)
@@ -145,7 +144,7 @@ def _compared(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 #: Members of one list that a task compares with as many others at once; of a longer list every pair of blocks is a task.
-BLOCK = 2048
+BLOCK = 512
 #: Up to so many, plain sets are quicker than a matrix.
 FEW = 24
 
@@ -247,22 +246,28 @@ def _families(r: float):
 _NODE = pa.struct([("rid", pa.int64()), ("para", pa.int32())])
 
 
-def _sentences(batches):
-    """Texts -> a row for each sentence of MIN_SENTENCE words or more."""
+def _anchors(batches):
+    """Texts -> a row for each anchor: its place in words, its bytes and the hash of its GRAM words."""
     for batch in batches:
         rid = batch["rid"].to_numpy()
         for lo, w in _slices_of(batch):
-            first, end, _ = w.units(_END)
-            if not len(first):
+            n = len(w.starts)
+            if n < PASSAGE:
                 continue
-            doc = w.doc[first]
-            order = np.arange(len(first)) - np.searchsorted(doc, doc, "left")
-            k = np.flatnonzero(end - first >= MIN_SENTENCE)
-            first, end, doc, order = first[k], end[k], doc[k], order[k]
+            place = np.arange(n - GRAM + 1)
+            h = w.digests(place, place + GRAM)
+            key = (h >> np.uint64(24) << np.uint64(24)) | place.astype(np.uint64)
+            least = sliding_min(key, PASSAGE - GRAM + 1)
+            least = least[w.doc[: len(least)] == w.doc[PASSAGE - 1 :]]  # windows of one text
+            if not len(least):
+                continue
+            at = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+            doc = w.doc[at]
             yield pa.record_batch(
                 {
-                    "rid": rid[lo + doc], "sentence": order.astype(np.int32), "start": w.starts[first] - w.bounds[doc],
-                    "end": w.ends[end - 1] - w.bounds[doc], "words": end - first, "digest": w.digests(first, end).view(np.int64),
+                    "rid": rid[lo + doc], "place": at - np.searchsorted(w.doc, doc, "left"), "start": w.starts[at] - w.bounds[doc],
+                    "end": w.ends[at + GRAM - 1] - w.bounds[doc], "gram": h[at].view(np.int64),
                 }
             )
 
@@ -319,10 +324,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     """Documents -> (doc_id, kind, start, end, n_words, component_id, component_start, n_members, kept).
 
     A row for each paragraph (kind "paragraph": a line) of min_words or more that is equal or similar to another, in
-    the same text or elsewhere, and for each run of sentences of min_words or more that all stand elsewhere word for
-    word (kind "passage"). start, end: bytes of the UTF-8 text. component_id, component_start: the least member, which
-    is the one that is kept; of a passage: where its first sentence stands first. n_members: paragraphs of the
-    component; of a passage: the fewest occurrences of one of its sentences. Null and empty texts have no rows, and
+    the same text or elsewhere, and for each stretch (kind "passage") of text in which every PASSAGE words hold GRAM words
+    that stand in another text too. start, end: bytes of the UTF-8 text. component_id, component_start: the least
+    member, which is the one that is kept; of a passage: where the first text with any of its common words has them.
+    n_members: paragraphs of the component; of a passage: the most occurrences that some of its common words have. Null and empty texts have no rows, and
     rows with a null id are left out. Of rows with equal ids and texts one is taken.
     """
     scratch = Scratch(docs.sparkSession, "paragraphs")
@@ -342,20 +347,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
         F.col("least.rid").alias("component_id"), F.col("least.start").alias("component_start"), F.col("members").alias("n_members"),
         ((F.col("rid") == F.col("least.rid")) & (F.col("start") == F.col("least.start"))).alias("kept"),
     )
-    return paragraphs.unionByName(_passages(base, min_words, scratch)).distinct()
-
-
-def _passages(base: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
-    rows = scratch.table(base.mapInArrow(_sentences, "rid long, sentence int, start long, end long, words long, digest long"))
-    full = rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start")).alias("least")).where("n > 1")
-    met = rows.join(full, "digest")
-    by = Window.partitionBy("rid").orderBy("sentence", "start")
-    # A short sentence is no row; one of them between two rows doesn't end a run.
-    new = (F.col("sentence") - F.lag("sentence").over(by) > 2) | F.lag("sentence").over(by).isNull()
+    return paragraphs.unionByName(_passages(base, scratch)).distinct()
+
+
+def _passages(base: DataFrame, scratch: Scratch) -> DataFrame:
+    rows = scratch.table(base.mapInArrow(_anchors, "rid long, place long, start long, end long, gram long"))
+    least = F.min(F.struct("rid", "start")).alias("least")
+    full = rows.groupBy("gram").agg(F.count("*").alias("n"), F.max("rid").alias("last"), least).where("last <> least.rid").drop("last")
+    met = rows.join(scratch.table(full), "gram")
+    by = Window.partitionBy("rid").orderBy("place", "start")
+    before = F.lag("place").over(by)
+    # Within a common passage one anchor follows the other within PASSAGE - GRAM + 1 words.
+    new = before.isNull() | (F.col("place") - before > PASSAGE - GRAM + 1)
     run = met.withColumn("run", F.sum(new.cast("int")).over(by))
-    least = F.min_by("least", "sentence").alias("least")
-    runs = run.groupBy("rid", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("n").alias("n_members"), least)
-    return runs.where(F.col("n_words") >= min_words).select(
+    runs = run.groupBy("rid", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
+        F.max("n").alias("n_members"), F.min("least").alias("least"),
+    )
+    return runs.select(
         F.col("rid").alias("doc_id"), F.lit("passage").alias("kind"), "start", "end", "n_words", F.col("least.rid").alias("component_id"),
-        F.col("least.start").alias("component_start"), "n_members", ((F.col("rid") == F.col("least.rid")) & (F.col("start") == F.col("least.start"))).alias("kept"),
+        F.col("least.start").alias("component_start"), "n_members", ((F.col("rid") == F.col("least.rid")) & F.col("least.start").between(F.col("start"), F.col("end"))).alias("kept"),
     )

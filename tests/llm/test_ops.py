@@ -253,11 +253,33 @@ def test_paragraphs(spark):
     assert sum(have[k] == want[k] for k in have) >= 0.97 * len(have)
 
 
-def test_passages_and_awkward_rows(spark):
-    passage = "the quick brown fox jumps over it. then it runs away from all of them. nobody knows where it went after that day. some people say that it lives far away in the woods now."
-    texts = [f"alpha beta {passage} gamma delta", f"other words here {passage} more of those", "nothing to see in this clean text at all", None, ""]
-    got = paragraphs.dedup(docs(spark, texts)).collect()
-    assert {g.doc_id for g in got} == {0, 1} and all(g.kind == "passage" and g.component_id == 0 for g in got)
+def test_every_common_passage_is_found(spark):
+    r = random.Random(17)
+    some = lambda n: " ".join(f"u{r.randrange(10**9)}" for _ in range(n))
+    shared = [some(r.randint(50, 90)) for _ in range(6)]
+    texts = [f"{some(r.randint(0, 70))} {shared[k % 6]}{r.choice([' ', '. ', chr(10)])}{some(r.randint(0, 70))}" for k in range(18)]
+    texts += [some(200), some(30), some(19) + " " + shared[0].rsplit(" ", 40)[0][:60], None, ""]
+    got = paragraphs.dedup(docs(spark, texts)).where("kind = 'passage'").collect()
+    assert {g.doc_id for g in got} == set(range(18))
+    for g in got:
+        inside = texts[g.doc_id].encode()[g.start : g.end].decode()
+        assert inside.replace("\n", " ") in shared[g.doc_id % 6] and g.n_words == len(inside.split()) and g.component_id == g.doc_id % 6 and g.n_members == 3
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_family_links(monkeypatch, few):
+    monkeypatch.setattr(paragraphs, "FEW", few)
+    r = random.Random(19)
+    whole = [set(r.sample(range(60), r.randint(20, 40))) for _ in range(40)]
+    whole += [w ^ set(r.sample(range(60), r.randint(0, 6))) for w in whole]
+    middle = whole[0]
+    members = [((k, 0), (k, 0), True, len(w), sorted(w ^ middle)) for k, w in enumerate(whole)]
+    links = paragraphs._family_links(members, members, 1 / 9)
+    similar = [(i, j) for i in range(80) for j in range(i) if len(whole[i] & whole[j]) >= 0.8 * len(whole[i] | whole[j])]
+    assert groups(80, links) == groups(80, similar) and len(links) <= 79
+
+
+def test_paragraphs_on_awkward_rows(spark):
     table = awkward(spark)
     assert {g.doc_id for g in paragraphs.dedup(table).collect()} == {5, 6}
     assert paragraphs.dedup(table.limit(0)).count() == 0
