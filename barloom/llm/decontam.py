@@ -216,8 +216,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """docs without the rows that hold a benchmark window. Columns as given."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    out = docs
+    scratch, out, n = Scratch(spark, "decontam"), docs, 0
     for index in _blocks(benchmark, item_col, item_text_col, block_windows):
+        out, n = scratch.table(out) if n else out, n + 1  # one index at a time in a worker
         hits = _hits(text_col, spark.sparkContext.broadcast(index))
         out = out.withColumn("__hits", hits).where("size(__hits.spans) = 0").drop("__hits")
     return out

@@ -14,7 +14,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -26,8 +26,8 @@ SIZE = 2048
 GROUPS = (4, 12)
 #: Lengths below size / SMALL are small: best fit puts them last.
 SMALL = 16
-#: Pieces of a length are ranked in so many buckets, however many they are.
-BUCKETS = 64
+#: Pieces of one length are ranked in buckets of about so many: a length that very many pieces have is no hot group.
+PER_BUCKET = 16_384
 
 _encoders: dict[str, Encoder] = {}
 
@@ -244,25 +244,22 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     cut = docs.select(F.col(id_col).alias("doc_id"), pieces_column(text_col, tokenizer or default_path(), size, end_id).alias("p"))
-    pieces = cut.select("doc_id", F.inline("p")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
-    pieces = scratch.table(pieces)
-    counts = [r for r in pieces.groupBy("length", "bucket").count().collect()]  # size x BUCKETS rows at most
-    histogram: Counter = Counter()
-    firsts = []
-    for r in sorted(counts, key=lambda r: (r["length"], r["bucket"])):
-        firsts.append((r["length"], r["bucket"], histogram[r["length"]]))
-        histogram[r["length"]] += r["count"]
-    places = _places(plan(dict(histogram), size, groups))
-    first = spark.createDataFrame(firsts, "length bigint, bucket int, first bigint")
-    place = spark.createDataFrame(places, "length bigint, lo bigint, hi bigint, sequence bigint, each bigint, at bigint")
-    from pyspark.sql import Window
-
+    pieces = scratch.table(cut.select("doc_id", F.inline("p")))
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `size` rows
+    places = _places(plan(histogram, size, groups))
+    place = spark.createDataFrame(places, "long bigint, lo bigint, hi bigint, sequence bigint, each bigint, at bigint")
+    buckets = spark.createDataFrame([(s, -(-n // PER_BUCKET)) for s, n in histogram.items()], "long bigint, buckets bigint")
+
+    pieces = pieces.join(F.broadcast(buckets), F.col("length") == F.col("long")).drop("long")
+    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("buckets"))
+    pieces = pieces.withColumn("bucket", bucket).drop("buckets")
+    counts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
+    first = scratch.table(counts.select("length", "bucket", before.alias("first")))
     row = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
-    ranked = pieces.withColumn("row", row).join(F.broadcast(first), ["length", "bucket"])
-    ranked = ranked.withColumn("rank", F.col("first") + F.col("row")).alias("r")
-    place = F.broadcast(place.withColumnRenamed("length", "long")).alias("p")
+    ranked = pieces.withColumn("row", row).join(first, ["length", "bucket"]).withColumn("rank", F.col("first") + F.col("row"))
     nth = F.col("rank") - F.col("lo")
-    return ranked.join(place, (F.col("length") == F.col("long")) & F.col("rank").between(F.col("lo"), F.col("hi"))).select(
+    return ranked.join(F.broadcast(place), (F.col("length") == F.col("long")) & F.col("rank").between(F.col("lo"), F.col("hi"))).select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         (F.col("sequence") + F.floor(nth / F.col("each"))).cast("bigint").alias("sequence_id"),
         (F.col("at") + (nth % F.col("each")) * F.col("length")).cast("bigint").alias("offset"),
