@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.bars import tick_order
+
 
 def stream_bars(ticks: DataFrame, width: str = "1 hour", lateness: str = "1 day") -> DataFrame:
     """Bars per symbol and epoch-aligned window from a stream of ticks (symbol, ts, price, id).
@@ -14,7 +16,7 @@ def stream_bars(ticks: DataFrame, width: str = "1 hour", lateness: str = "1 day"
     """
     seen = ticks.withWatermark("ts", lateness)
     seen = seen.dropDuplicatesWithinWatermark(["symbol", "id"]) if ticks.isStreaming else seen.dropDuplicates(["symbol", "id"])
-    order = F.struct("ts", "id")
+    order = tick_order()
     bars = seen.groupBy("symbol", F.window("ts", width).alias("w")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"),
         F.sum(F.coalesce((F.col("id") % 3 != 0).cast("double"), F.lit(0.0))).alias("volume"),

@@ -217,3 +217,11 @@ def test_decisions(spark):
     assert [r[0] for r in rows.orderBy("k").select(trading.decision()).collect()] == [trading.UP, trading.DOWN, trading.UP]
     days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (4, 5, 6, 7)], "d date")
     assert [r[0].day for r in days.orderBy("d").select(trading.next_business_day("d")).collect()] == [5, 8, 8, 8]
+
+
+def test_first_and_last_ticks_of_equal_times(spark):
+    at = dt.datetime(2024, 1, 1, 10)
+    rows = [("a", at, 5.0, 9_000_000_000_000_000_003), ("a", at, 1.0, 7), ("a", at, 9.0, -9_000_000_000_000_000_003), ("a", dt.datetime(1960, 1, 1), 3.0, 1), ("a", dt.datetime(1960, 1, 1), 4.0, 2)]
+    bars = ops.from_ticks(spark.createDataFrame(rows, "symbol string, ts timestamp, price double, id long")).orderBy("datetime").collect()
+    assert [(b.open, b.close) for b in bars] == [(3.0, 4.0), (9.0, 5.0)]
+    assert "SortAggregate" not in ops.from_ticks(spark.createDataFrame(rows, "symbol string, ts timestamp, price double, id long"))._jdf.queryExecution().executedPlan().toString()
