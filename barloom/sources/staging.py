@@ -7,8 +7,28 @@ import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
+_written: list[str] = []
+
+
+def delete_at_exit(path: str) -> None:
+    """Delete a folder when this process ends: results that read it are of no use after it."""
+    if not _written:
+        atexit.register(_clear)
+    _written.append(path)
+
+
+def _clear() -> None:
+    jvm = SparkContext._jvm
+    for path in _written:
+        try:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+        except Exception:  # the JVM is gone: the folder is left to its owner
+            return
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet under spark.checkpoint.dir and read back: computed once, and safe when executors are lost."""
@@ -22,5 +42,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         folder = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    delete_at_exit(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
