@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import delete_at_exit
+
 #: Ids are broadcast up to this many (8 bytes each, and as much again for the hash table); beyond it both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -52,6 +54,7 @@ class Scratch:
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.made = 0
+        delete_at_exit(self.base)
 
     def table(self, df: DataFrame) -> DataFrame:
         """df, written as Parquet and read back; `path_of` tells where."""
