@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -987,17 +988,39 @@ def train_and_evaluate(spark, d):
     return learning.train_and_evaluate(rows, "2000-06-01", names, numTrees=10)[1]
 
 
-@query(None)
+@query(f"{HOURLY} SELECT {STAMP}, {_OHLCV} FROM hourly")
 def stream_bars(spark, d):
-    """Hourly bars of a stream that reads the table as files, run to its end."""
+    """Hourly bars of a stream that reads the table as files, run to its end; complete output, so that the last windows are there."""
     from .streaming.bars import stream_bars as bars_of
 
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     ticks = stream.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.col("event_id").alias("id"))
-    run = bars_of(ticks).writeStream.outputMode("append").format("memory").queryName("barloom_bars").trigger(availableNow=True).start()
+    name = f"bars_{uuid.uuid4().hex[:8]}"
+    run = bars_of(ticks).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
     run.awaitTermination(300)
-    return shown(spark.table("barloom_bars"), *_BAR)
+    return shown(spark.table(name), *_BAR)
+
+
+_EASE = "CASE WHEN a = b THEN 0 ELSE ({} - a) / (b - a) END"
+
+
+@query(
+    f"""{DAILY}, g AS (SELECT min(low) AS a, max(high) AS b, min(volume) AS va, max(volume) AS vb FROM daily),
+    sc AS (SELECT symbol, datetime, {', '.join(f'{_EASE.format(c)} AS {c}' for c in ('open', 'high', 'low', 'close'))},
+      CASE WHEN volume > 0 THEN CASE WHEN va = vb THEN 0 ELSE (volume - va) / (vb - va) END ELSE 0 END AS volume, close AS raw_close FROM daily, g),
+    x AS ({GAINS} sc), y AS ({GAINS.replace('gain', 'raw_gain').replace('loss', 'raw_loss').replace('close', 'raw_close')} x),
+    z AS (SELECT symbol, datetime, {r('close', 'close')}, {r('volume', 'volume')}, {r(rsi_sql(6), 'rsi')}, {r(rsi_sql(6).replace('gain', 'raw_gain').replace('loss', 'raw_loss'), 'raw_rsi')}, {r('raw_close', 'raw_close')},
+      {r(f"-100 * ({full('max', 'high', 14)} - close) / nullif({full('max', 'high', 14)} - {full('min', 'low', 14)}, 0)", 'williams_r')},
+      {r('CASE WHEN close > open THEN 1 WHEN close < open THEN 0 ELSE 0.5 END', 'open_close_result')}, {r(_YEAR, 'time_of_year')} FROM y),
+    kept AS (SELECT * FROM z WHERE isodow(datetime) <= 5 AND CAST(datetime AS DATE) NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)})),
+    f AS (SELECT max(m) AS start FROM (SELECT min(datetime) AS m FROM kept GROUP BY symbol))
+    SELECT * REPLACE (strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime) FROM kept WHERE datetime >= (SELECT start FROM f)"""
+)
+def enrich_untrimmed(spark, d):
+    out = plan.enrich(daily(spark, d), temporal.dates_table(spark, HOLIDAYS), temporal.dates_table(spark, EVENTS), trim=False)
+    out = out.withColumns({"raw_close": F.col("raw.close"), "raw_rsi": F.col("raw.rsi")})
+    return shown(out, "close", "volume", "rsi", "raw_rsi", "raw_close", "williams_r", "open_close_result", "time_of_year")
 
 
 @query(None)
