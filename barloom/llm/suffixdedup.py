@@ -24,6 +24,8 @@ WINDOW = 200
 GRAM = 32
 #: Classes of one anchor hash that are sorted in one task; of more, the windows themselves are counted.
 LARGE = 20_000
+#: Classes that are sorted at once; a larger group of one hash is taken whole.
+AT_ONCE = 4096
 #: Neighbours in the order that are looked at one by one; what is open after them is settled by counting windows.
 STEPS = 64
 _PLACE = 24
@@ -63,7 +65,7 @@ def _scan(window: int, gram: int):
     def run(batches):
         for batch in batches:
             offsets, whole = text_column(batch["text"])
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, 1 << 18):
                 data, bounds = whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 if len(data) > 2 * _SEGMENT:  # one very long text, in overlapping parts
                     parts = [rows(data[s : s + _SEGMENT + window - 1], np.array([0, min(_SEGMENT + window - 1, len(data) - s)])) for s in range(0, len(data), _SEGMENT)]
@@ -253,11 +255,11 @@ def _sort(window: int):
     def run(batches):
         held: dict[str, list] = {k: [] for k in ("h", "ctx", "n", "ll", "around")}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
+            for lo in range(0, batch.num_rows, AT_ONCE // 2):
+                part = batch.slice(lo, AT_ONCE // 2)
                 for k in held:
                     held[k] += part[k].to_pylist()
-                if len(held["h"]) >= 8192:  # all but the last group, which may go on
+                if len(held["h"]) >= AT_ONCE:  # all but the last group, which may go on
                     cut = next((k for k in range(len(held["h"]) - 1, 0, -1) if held["h"][k] != held["h"][k - 1]), 0)
                     if cut:
                         yield settle({k: v[:cut] for k, v in held.items()})
@@ -280,7 +282,7 @@ def _cut_contexts(batches):
                     out[k].append(w[k])
                 out["ll"].append(ll)
                 out["around"].append(raw.slice(place - ll, ll + rl).to_pybytes())
-            if len(out["h"]) >= 8192:
+            if len(out["h"]) >= AT_ONCE:
                 yield pa.record_batch({k: pa.array(v, pa.binary() if k == "around" else pa.int64()) for k, v in out.items()})
                 out = {k: [] for k in out}
         yield pa.record_batch({k: pa.array(v, pa.binary() if k == "around" else pa.int64()) for k, v in out.items()})
