@@ -27,7 +27,7 @@ GROUPS = (4, 12)
 #: Lengths below size / SMALL are small: best fit puts them last.
 SMALL = 16
 #: Pieces of one length are ranked in buckets of about so many: a length that very many pieces have is no hot group.
-PER_BUCKET = 16_384
+PER_BUCKET = 2048
 
 _encoders: dict[str, Encoder] = {}
 
