@@ -334,7 +334,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram
     classes = met.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "packed")).alias("one"))
     classes = scratch.table(classes.select("h", "ctx", "n", "one.*"))
     sizes = classes.groupBy("h").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
-    compared = scratch.table(classes.join(sizes, "h").drop("least"))
+    compared = scratch.table(classes.join(scratch.table(sizes.drop("least")), "h"))
 
     wanted = compared.groupBy("rid").agg(F.collect_list(F.struct("h", "ctx", "n", "packed")).alias("wanted"))
     texts = with_ids(docs, "rid", scratch.table(compared.select("rid").distinct()), "rid").dropDuplicates(["rid"])
