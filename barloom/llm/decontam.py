@@ -93,11 +93,12 @@ def _scan(index: Index, column: pa.Array) -> tuple[np.ndarray, list[list[tuple[i
                     found[int(doc[i])] |= got
                     cover[i] += 1
                     cover[i + n] -= 1
+        total = np.cumsum(cover)  # over the whole slice: a window's end may stand on the first word of the next text
         for d, got in found.items():
             items[lo + d] = sorted(got)
             hit = np.zeros(counts[d] + 2, bool)
             a, b = first[d], first[d + 1]
-            hit[1:-1] = np.cumsum(cover[a:b]) > 0
+            hit[1:-1] = total[a:b] > 0
             edges = np.flatnonzero(hit[1:] != hit[:-1])
             spans[lo + d] = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
     return n_words, spans, items
