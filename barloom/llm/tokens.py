@@ -28,9 +28,9 @@ _LETTER, _NUMBER, _OTHER, _SPACE, _WHITE, _STRANGE = range(1, 7)
 
 
 def _kinds() -> np.ndarray:
-    """Kinds of the code points below U+0250, by Unicode category; rare white space and controls are strange."""
-    out = np.full(0x250, _OTHER, np.uint8)
-    for c in range(0x250):
+    """Kinds of the code points of the lead bytes C2 to C9 (below U+0280), by Unicode category; rare white space and controls are strange."""
+    out = np.full(0x280, _OTHER, np.uint8)
+    for c in range(0x280):
         category = unicodedata.category(chr(c))
         if category[0] == "L":
             out[c] = _LETTER

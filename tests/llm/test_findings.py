@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 
-from barloom.llm import decontam
+from barloom.llm import decontam, tokens
 
 
 def test_hits_of_a_text_after_a_hit_at_the_end():
@@ -14,3 +14,10 @@ def test_hits_of_a_text_after_a_hit_at_the_end():
     n_words, spans, items = decontam._scan(index, pa.array([item, "", item, longer, longer + " other", None, "x y z", "x y z", "q x y z"]))
     assert spans == [[(0, 10)], [], [(0, 10)], [(0, 13)], [(0, 13)], [], [(0, 3)], [(0, 3)], [(1, 4)]]
     assert items == [["a"], [], ["a"], ["b"], ["b"], [], ["c"], ["c"], ["c"]] and n_words.tolist() == [10, 0, 10, 13, 14, 0, 3, 3, 4]
+
+
+def test_tokens_of_every_character_of_two_bytes():
+    e = tokens.Encoder(tokens.default_path())
+    texts = [f"a{chr(c)} {chr(c)}b1{chr(c)}{chr(c)}.{chr(c)}" for c in range(0x80, 0x800)] + ["gəlir ˈɪŋɡlɪʃ ʿ"]
+    for t, ids in zip(texts, e.encode(pa.array(texts)), strict=True):
+        assert e.tokenizer.encode(t, add_special_tokens=False).ids == ids.tolist(), t
