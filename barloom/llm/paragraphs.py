@@ -326,7 +326,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     A row for each paragraph (kind "paragraph": a line) of min_words or more that is equal or similar to another, in
     the same text or elsewhere, and for each stretch (kind "passage") of text in which every PASSAGE words hold GRAM words
     that stand in another text too. start, end: bytes of the UTF-8 text. component_id, component_start: the least
-    member, which is the one that is kept; of a passage: where the first text with any of its common words has them.
+    member, which is the one that is kept; of a passage: where the first text with its common words has them. A passage ends
+    where that text changes; up to PASSAGE - 2 * GRAM + 1 words between two such passages may be in neither, and stay.
     n_members: paragraphs of the component; of a passage: the most occurrences that some of its common words have. Null and empty texts have no rows, and
     rows with a null id are left out. Of rows with equal ids and texts one is taken.
     """
@@ -359,12 +360,15 @@ def _passages(base: DataFrame, scratch: Scratch) -> DataFrame:
     before = F.lag("place").over(by)
     # Within a common passage one anchor follows the other within PASSAGE - GRAM + 1 words.
     new = before.isNull() | (F.col("place") - before > PASSAGE - GRAM + 1)
+    # A run has one owner, so that the anchors of a text that isn't kept all stand in an earlier text, or earlier in this one.
+    new |= (F.lag("least.rid").over(by) != F.col("least.rid")) | (F.lag("own").over(by) != F.col("own"))
+    met = met.withColumn("own", (F.col("rid") == F.col("least.rid")) & (F.col("start") == F.col("least.start")))
     run = met.withColumn("run", F.sum(new.cast("int")).over(by))
     runs = run.groupBy("rid", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
-        F.max("n").alias("n_members"), F.min("least").alias("least"),
+        F.max("n").alias("n_members"), F.min("least").alias("least"), F.bool_and("own").alias("kept"),
     )
     return runs.select(
         F.col("rid").alias("doc_id"), F.lit("passage").alias("kind"), "start", "end", "n_words", F.col("least.rid").alias("component_id"),
-        F.col("least.start").alias("component_start"), "n_members", ((F.col("rid") == F.col("least.rid")) & F.col("least.start").between(F.col("start"), F.col("end"))).alias("kept"),
+        F.col("least.start").alias("component_start"), "n_members", "kept",
     )
