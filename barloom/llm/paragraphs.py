@@ -23,8 +23,6 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: 1 - (1 - 0.8^2)^6 = 0.998 of the pairs with Jaccard 0.8 collide in a band.
 BANDS, ROWS = 6, 2
-#: Fewer words repeat by chance, or are formulas such as license lines; paragraphs have at least so many.
-MIN_WORDS = 20
 #: Passages of PASSAGE words in a row are found wherever they begin and end, by common runs of GRAM words.
 PASSAGE, GRAM = 50, 20
 
@@ -74,7 +72,10 @@ def _slices_of(batch):
 
 
 def _paragraphs(min_words: int):
-    """Texts -> a row for each paragraph of min_words or more: place, words, two digests and the bands' keys."""
+    """Texts -> a row for each paragraph of min_words or more: place, words, two digests and the bands' keys.
+
+    A paragraph of fewer than SHINGLE_WORDS words is its only shingle, similar to equal ones alone: it has no keys.
+    """
 
     def run(batches):
         for batch in batches:
@@ -93,13 +94,14 @@ def _paragraphs(min_words: int):
                         v = sh * _FACTORS[k] + _SHIFTS[k]
                         key = mixed(key + np.minimum.reduceat((v ^ (v >> np.uint64(32))) * _FACTORS[k - 1], at))
                     keys.append(key.view(np.int64))
+                banded = end - first >= SHINGLE_WORDS
                 doc = w.doc[first]
                 start = w.starts[first] - w.bounds[doc]
                 yield pa.record_batch(
                     {
                         "rid": rid[lo + doc], "para": number.astype(np.int32), "start": start, "end": w.ends[end - 1] - w.bounds[doc], "words": end - first,
                         "d1": w.digests(first, end).view(np.int64), "d2": mixed(np.add.reduceat(mixed(sh), at)).view(np.int64),
-                        "bands": pa.ListArray.from_arrays(np.arange(0, BANDS * len(first) + 1, BANDS, dtype=np.int32), np.stack(keys, 1).ravel()),
+                        "bands": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(BANDS * banded)]).astype(np.int32), np.stack(keys, 1)[banded].ravel()),
                     }
                 )
 
@@ -320,7 +322,7 @@ def _links(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scrat
     return first.union(scratch.table(again))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = 1) -> DataFrame:
     """Documents -> (doc_id, kind, start, end, n_words, component_id, component_start, n_members, kept).
 
     A row for each paragraph (kind "paragraph": a line) of min_words or more that is equal or similar to another, in
@@ -336,7 +338,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     paras = base.mapInArrow(_paragraphs(min_words), "rid long, para int, start long, end long, words long, d1 long, d2 long, bands array<long>")
     paras = scratch.table(paras)
     one = F.min(F.struct("rid", "para", "start")).alias("one")
-    classes = paras.groupBy("d1", "d2").agg(one, F.first("bands").alias("bands"), F.count("*").alias("n"))
+    classes = paras.groupBy("d1", "d2").agg(one, F.first("bands").alias("bands"), F.count_distinct(F.struct("rid", "para", "start")).alias("n"))
     classes = scratch.table(classes.select("d1", "d2", "one.*", "bands", "n"))
     found = components(_links(classes, base, threshold, scratch), scratch)
     here = F.struct("rid", "para")

@@ -39,3 +39,13 @@ def test_every_common_word_of_a_chain_is_kept_once(spark):
         left |= set(data.decode().split())
     assert left >= {w for t in texts.values() for w in t.split()}
     assert {g.doc_id for g in got if not g.kept} == {2, 3, 4, 5} and {2, 4} <= {g.doc_id for g in got if g.kept}
+
+
+def test_short_paragraphs_have_rows(spark):
+    nine = "a line of nine words that stands here again"
+    texts = ["ab\n" + nine + "\nfoo one", "ab\n" + nine, "x\n" + nine + " too", "seven words that stand in one text", "ab"]
+    got = paragraphs.dedup(spark.createDataFrame([*enumerate(texts), (4, "ab"), (5, "foo")], "doc_id long, text string")).collect()
+    have = {(g.doc_id, g.start, g.n_words, g.component_id, g.component_start, g.n_members, g.kept) for g in got}
+    want = {(0, 0, 1, 0, 0, 3, True), (1, 0, 1, 0, 0, 3, False), (4, 0, 1, 0, 0, 3, False)}
+    want |= {(0, 3, 9, 0, 3, 3, True), (1, 3, 9, 0, 3, 3, False), (2, 2, 10, 0, 3, 3, False)}
+    assert have == want and len(got) == len(want)
