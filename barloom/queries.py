@@ -998,7 +998,7 @@ def stream_bars(spark, d):
     ticks = stream.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.col("event_id").alias("id"))
     name = f"bars_{uuid.uuid4().hex[:8]}"
     run = bars_of(ticks).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination(300)
+    run.awaitTermination()
     return shown(spark.table(name), *_BAR)
 
 
