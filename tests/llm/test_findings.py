@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import random
-
 import pyarrow as pa
 
 from barloom.llm import decontam, paragraphs, tokens
@@ -25,22 +23,6 @@ def test_tokens_of_every_character_of_two_bytes():
         assert e.tokenizer.encode(t, add_special_tokens=False).ids == ids.tolist(), t
 
 
-def test_every_common_word_of_a_chain_is_kept_once(spark):
-    r = random.Random(23)
-    x, y, z, v = (" ".join(f"{c}{r.randrange(10**9)}" for _ in range(120)) for c in "xyzv")
-    texts = {1: f"{x} {y}", 2: f"{x} {y} {z}", 3: f"{y} {z}", 4: f"{v} {y} {z} {v}", 5: v}
-    got = paragraphs.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).where("kind = 'passage'").collect()
-    left = set()
-    for d, t in texts.items():
-        data = bytearray(t.encode())
-        for g in got:
-            if g.doc_id == d and not g.kept:
-                data[g.start : g.end] = b" " * (g.end - g.start)
-        left |= set(data.decode().split())
-    assert left >= {w for t in texts.values() for w in t.split()}
-    assert {g.doc_id for g in got if not g.kept} == {2, 3, 4, 5} and {2, 4} <= {g.doc_id for g in got if g.kept}
-
-
 def test_short_paragraphs_have_rows(spark):
     nine = "a line of nine words that stands here again"
     texts = ["ab\n" + nine + "\nfoo one", "ab\n" + nine, "x\n" + nine + " too", "seven words that stand in one text", "ab"]
