@@ -1,8 +1,10 @@
 """Best-fit packing of token pieces by linear grouping.
 
 Piece lengths are at most `size`, so the corpus is described by `size` counts. The whole plan is made from that
-histogram on the driver, in runs (so many sequences alike), and its size depends on `size` and `groups` only,
-not on the corpus. Pieces then get their places by their rank among the pieces of their length.
+histogram on the driver, in runs (so many sequences alike): large lengths are rounded up within groups of equal
+cardinality, configurations of those few sizes are optimised, actual lengths take their places, and best fit adds the
+small ones. A run ends when a length or a configuration is used up, so the plan's size depends on `size` and `groups`
+only, not on the corpus. Pieces then get their places by their rank among the pieces of their length.
 """
 
 from __future__ import annotations
@@ -22,12 +24,17 @@ from .scratch import Scratch
 from .tokens import Encoder, default_path
 
 SIZE = 2048
-#: Numbers of groups that are tried; the plan of the fewest sequences is taken.
-GROUPS = (4, 12)
+#: Numbers of groups, and of places that are filled freely, that are tried; the plan of the fewest sequences is taken.
+GROUPS = ((16, 2), (8, 2))
+#: So many different large lengths, at most, are also tried without rounding.
+FEW = 64
+#: Part of the optimised configurations that is carried out before the rest is grouped and optimised anew.
+SHARE = 0.2
 #: Lengths below size / SMALL are small: best fit puts them last.
-SMALL = 16
-#: Pieces of one length are ranked in buckets of about so many: a length that very many pieces have is no hot group.
-PER_BUCKET = 2048
+SMALL = 8
+#: Pieces of one length are ranked in buckets of about so many, and buckets in runs of so many: a length that very many
+#: pieces have is no hot group.
+PER_BUCKET, PER_RUN = 256, 1024
 
 _encoders: dict[str, Encoder] = {}
 
@@ -59,136 +66,184 @@ def pieces_column(text: str, path: str, size: int = SIZE, end_id: int = 0):
     return arrow_udf(cut, "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>").asNondeterministic()(F.col(text))
 
 
-def _best_shapes(sizes: list[int], prices: np.ndarray, size: int) -> list[list[int]]:
-    """For each size, the most valuable sequence (counts by size) that holds at least one of it: a knapsack by length."""
-    value, last = np.zeros(size + 1), np.full(size + 1, -1)
-    for room in range(1, size + 1):
-        value[room] = value[room - 1]
-        for g, s in enumerate(sizes):
-            if s <= room and value[room - s] + prices[g] > value[room] + 1e-12:
-                value[room], last[room] = value[room - s] + prices[g], g
-    shapes = []
-    for g, s in enumerate(sizes):
-        counts, room = [0] * len(sizes), size - s
-        counts[g] = 1
-        while room > 0:
-            if last[room] < 0:
-                room -= 1
-            else:
-                counts[last[room]] += 1
-                room -= sizes[last[room]]
-        shapes.append(counts)
-    return shapes
-
-
-def _configurations(sizes: list[int], demand: list[int], size: int, rounds: int = 40) -> list[tuple[list[int], int]]:
-    """(counts by size, so many sequences) that hold the demand: columns priced by multiplicative weights, then taken greedily.
-
-    Prices rise for sizes that the shapes so far serve badly; each round adds the shapes that are worth most.
-    Taking always the fullest shape that the rest still fills, a whole multiple at a time, ends after at most
-    one run for each shape and size.
+def _grouped(stock: np.ndarray, groups: int) -> tuple[list[int], list[int]]:
+    """(longest length, pieces) of about `groups` groups of equal cardinality, longest first; a length is never split."""
+    total, seen, last = int(stock.sum()), 0, -1
+    tops: list[int] = []
+    demand: list[int] = []
+    for s in np.flatnonzero(stock)[::-1].tolist():
+        g = seen * groups // total
+        if g != last:
+            tops.append(s)
+            demand.append(0)
+            last = g
+        demand[-1] += int(stock[s])
+        seen += int(stock[s])
+    return tops, demand
+
+
+def _best_shape(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[float, np.ndarray]:
+    """The most valuable sequence (counts by size): a knapsack by length."""
+    value, last = np.zeros(room + 1), np.full(room + 1, -1)
+    for at in range(1, room + 1):
+        value[at] = value[at - 1]
+        worth = np.where(sizes <= at, value[np.maximum(at - sizes, 0)] + prices, -1.0)
+        g = int(worth.argmax())
+        if worth[g] > value[at] + 1e-12:
+            value[at], last[at] = worth[g], g
+    counts, at = np.zeros(len(sizes)), room
+    while at > 0:
+        if last[at] < 0:
+            at -= 1
+        else:
+            counts[last[at]] += 1
+            at -= sizes[last[at]]
+    return float(value[room]), counts
+
+
+def _configurations(sizes: np.ndarray, demand: np.ndarray, room: int) -> list[tuple[np.ndarray, float]]:
+    """(counts by size, so many sequences) that hold the demand in the fewest sequences, fractions allowed.
+
+    The linear programme by column generation: duals of the basis price the sizes, the knapsack finds the sequence
+    that is worth most, and it enters the basis until none is worth more than itself. A basis has as many shapes
+    as there are sizes, so the plan stays small at any demand.
     """
-    prices = np.array([s / size for s in sizes])
-    pool: dict[tuple[int, ...], None] = {}
-    for _ in range(rounds):
-        used = np.zeros(len(sizes))
-        for shape in _best_shapes(sizes, prices, size):
-            pool.setdefault(tuple(shape))
-            full = sum(c * s for c, s in zip(shape, sizes)) / size
-            used += np.array(shape) * full**8
-        served = used / np.maximum(np.array(demand), 1)
-        prices *= np.where(served > np.median(served), 0.97, 1.03)
-    shapes = sorted(pool, key=lambda c: (-sum(x * s for x, s in zip(c, sizes)), sum(c), c))
-    left, out = list(demand), []
-    while any(left):
-        best = None
-        for c in shapes:
-            if all(x <= y for x, y in zip(c, left)):
-                best = c
+    m = len(sizes)
+    basis, cost = np.diag((room // sizes).astype(float)), np.ones(m)
+    amount = demand / np.diag(basis)
+    for _ in range(40 * m):
+        prices = np.linalg.solve(basis.T, cost)
+        worst = int(prices.argmin())
+        if prices[worst] < -1e-9:  # more of this size than demanded does no harm
+            column, c = np.zeros(m), 0.0
+            column[worst] = -1
+        else:
+            worth, column = _best_shape(sizes, np.maximum(prices, 0), room)
+            c = 1.0
+            if worth <= 1 + 1e-7:
                 break
-        if best is None:  # what is left fills no shape: the largest first, then whatever fits
-            room, best = size, [0] * len(sizes)
-            for g in sorted(range(len(sizes)), key=lambda g: -sizes[g]):
-                best[g] = min(left[g], room // sizes[g])
-                room -= best[g] * sizes[g]
-        times = min(y // x for x, y in zip(best, left) if x)
-        out.append((list(best), times))
-        left = [y - x * times for x, y in zip(best, left)]
-    return out
-
+        move = np.linalg.solve(basis, column)
+        steps = np.where(move > 1e-9, amount / np.where(move > 1e-9, move, 1), np.inf)
+        k = int(steps.argmin())
+        if not np.isfinite(steps[k]):
+            break
+        amount = np.maximum(amount - steps[k] * move, 0)
+        amount[k], basis[:, k], cost[k] = steps[k], column, c
+    return [(basis[:, k].astype(int), float(amount[k])) for k in range(m) if cost[k] == 1 and amount[k] > 1e-9]
+
+
+def _substituted(stock: np.ndarray, shape: np.ndarray, tops: list[int], size: int, free: int) -> Counter | None:
+    """Actual lengths for the places of a shape, taken from the stock; none if a group has run out.
+
+    All but the `free` last places take the longest of their group. As these are shorter than what they were rounded up to,
+    the last one takes the longest of all in stock that fits, or the last two the fullest pair, so that the sequence is
+    full or nearly so. With no free place every one takes its own, as is right where groups are single lengths.
+    """
+    places = [g for g, c in enumerate(shape) for _ in range(c)]
+    take: Counter = Counter()
+    room, lows = size, [*tops[1:], 0]
+    for g in places[: len(places) - free]:
+        some = np.flatnonzero(stock[lows[g] + 1 : min(tops[g], room) + 1])
+        if not len(some):
+            break
+        s = int(some[-1]) + lows[g] + 1
+        take[s] += 1
+        stock[s] -= 1
+        room -= s
+    else:
+        if not free:
+            return take
+        lengths = np.flatnonzero(stock[: room + 1])
+        if min(free, len(places)) == 1 and len(lengths):
+            s = int(lengths[-1])
+            take[s] += 1
+            stock[s] -= 1
+            return take
+        if min(free, len(places)) == 2 and len(lengths):
+            partner = np.searchsorted(lengths, room - lengths, "right") - 1
+            itself = (partner >= 0) & (lengths[np.maximum(partner, 0)] == lengths) & (stock[lengths] < 2)
+            partner = np.where(itself, partner - 1, partner)
+            both = np.where(partner >= 0, lengths + lengths[np.maximum(partner, 0)], 0)
+            if both.max() > 0:
+                k = int(np.flatnonzero(both == both.max())[-1])
+                for s in (int(lengths[k]), int(lengths[partner[k]])):
+                    take[s] += 1
+                    stock[s] -= 1
+                return take
+    for s, c in take.items():
+        stock[s] += c
+    return None
+
+
+def _large_runs(stock: np.ndarray, size: int, groups: int, free: int) -> list[tuple[int, Counter]]:
+    """Runs of sequences of large pieces by configurations; what is left stays in the stock (a few pieces for each group).
+
+    Each round groups what is in stock, optimises the configurations and carries out a SHARE of each, at most: what
+    substitution changes in the demand is then seen by the next round.
+    """
+    runs: list[tuple[int, Counter]] = []
+    while stock.sum() > 2 * groups:
+        exact = np.count_nonzero(stock) <= groups
+        unit = 1 if exact else max(1, size // 256)
+        tops, demand = _grouped(stock, groups) if not exact else (np.flatnonzero(stock)[::-1].tolist(), stock[stock > 0][::-1].tolist())
+        sizes = np.array([-(-s // unit) for s in tops])
+        shapes = _configurations(sizes, np.array(demand, float), size // unit)
+        shapes.sort(key=lambda x: (-int((x[0] * sizes).sum()), x[0].tolist()))
+        before = len(runs)
+        for shape, amount in shapes:
+            times = int(amount if exact else amount * SHARE) or int(amount > 0.99)
+            while times and (take := _substituted(stock, shape, tops, size, 0 if exact else free)):
+                often = 1 + min(times - 1, *(int(stock[s]) // c for s, c in take.items()))
+                for s, c in take.items():
+                    stock[s] -= c * (often - 1)
+                runs.append((often, take))
+                times -= often
+        if len(runs) == before:
+            break
+    return runs
 
-def plan(histogram: dict[int, int], size: int = SIZE, groups: tuple[int, ...] = GROUPS) -> list[tuple[int, Counter]]:
-    """Counts by length -> runs (number of sequences, pieces by length in each of them); every piece is placed once."""
-    return min((_plan(histogram, size, g) for g in groups), key=lambda runs: sum(n for n, _ in runs))
 
+def plan(histogram: dict[int, int], size: int = SIZE, groups: tuple[tuple[int, int], ...] = GROUPS) -> list[tuple[int, Counter]]:
+    """Counts by length -> runs (number of sequences, pieces by length in each of them); every piece is placed once.
 
-def _plan(histogram: dict[int, int], size: int, groups: int) -> list[tuple[int, Counter]]:
-    large = sorted(((s, n) for s, n in histogram.items() if n and size // SMALL <= s < size), reverse=True)
-    small = sorted(((s, n) for s, n in histogram.items() if n and s < size // SMALL), reverse=True)
+    Of all that is tried the plan of the fewest sequences is taken; none can have fewer than the tokens fill. Where
+    there are up to FEW large lengths, each may also be a group of its own.
+    """
+    least = -(-sum(s * n for s, n in histogram.items()) // size)
+    kinds = sum(size // SMALL <= s < size and n > 0 for s, n in histogram.items())
+    groups = ((kinds, 0), *groups) if 0 < kinds <= FEW else groups
+    best = None
+    for count, free in groups:
+        runs, _ = grouped_plan(histogram, size, count, free)
+        if best is None or sum(n for n, _ in runs) < sum(n for n, _ in best):
+            best = runs
+        if sum(n for n, _ in best) == least:
+            break
+    return best or []
+
+
+def grouped_plan(histogram: dict[int, int], size: int, groups: int, free: int) -> tuple[list[tuple[int, Counter]], int]:
+    """(runs, large pieces that no configuration placed) for one number of groups and of free places.
+
+    Best fit then places what is left, longest first: the rest of the large pieces, and the small ones. Nothing that a
+    configuration placed is moved.
+    """
+    stock = np.zeros(size + 1, np.int64)
+    for s, n in histogram.items():
+        if size // SMALL <= s < size:
+            stock[s] = n
     runs: list[tuple[int, Counter]] = [(histogram[size], Counter({size: 1}))] if histogram.get(size) else []
-
-    # Groups of about equal cardinality, in order of length; each is rounded up to its longest. A length is never split.
-    total, bounds, seen = sum(n for _, n in large), [], 0
-    for s, n in large:
-        g = min(groups - 1, seen * groups // max(total, 1))
-        if not bounds or bounds[-1][0] != g:
-            bounds.append((g, []))
-        bounds[-1][1].append([s, n])
-        seen += n
-    sizes, demand = [b[0][0] for _, b in bounds], [sum(n for _, n in b) for _, b in bounds]
-    for counts, times in _configurations(sizes, demand, size) if sizes else []:
-        while times:  # actual pieces take the places of a group in order of length, as long as all lengths last
-            take, often = Counter(), times
-            for g, c in enumerate(counts):
-                if not c:
-                    continue
-                stock = bounds[g][1]
-                if stock[0][1] >= c:
-                    take[stock[0][0]] += c
-                    often = min(often, stock[0][1] // c)
-                else:
-                    often, need = 1, c
-                    for s, n in stock:
-                        take[s] += min(n, need)
-                        need -= min(n, need)
-                        if not need:
-                            break
-            for g, c in enumerate(counts):
-                need = c * often
-                stock = bounds[g][1]
-                while need:
-                    used = min(need, stock[0][1])
-                    stock[0][1] -= used
-                    need -= used
-                    if not stock[0][1]:
-                        stock.pop(0)
-            runs.append((often, take))
-            times -= often
-
-    # Rounding up and the last shapes leave room: best fit, on runs. Sequences go by room; small pieces, longest first,
-    # go where least is left over. The emptiest runs are opened again and refilled the same way, large pieces first.
-    runs, opened = _reopened(runs, size)
-    for s, n in sorted((Counter(dict(small)) + opened).items(), reverse=True):
+    runs += _large_runs(stock, size, groups, free)
+    rest = {int(s): int(stock[s]) for s in np.flatnonzero(stock)} | {s: n for s, n in histogram.items() if n and s < size // SMALL}
+    for s, n in sorted(rest.items(), reverse=True):
         runs = _best_fit(runs, s, n, size)
-    return runs
+    return runs, int(stock.sum())
 
 
 def _room(run: tuple[int, Counter], size: int) -> int:
     return size - sum(s * c for s, c in run[1].items())
 
 
-def _reopened(runs: list[tuple[int, Counter]], size: int, least: float = 0.97) -> tuple[list, Counter]:
-    """Runs that are nearly full, and the pieces of the others."""
-    kept, opened = [], Counter()
-    for n, held in runs:
-        if _room((n, held), size) <= (1 - least) * size:
-            kept.append((n, held))
-        else:
-            for s, c in held.items():
-                opened[s] += c * n
-    return kept, opened
-
-
 def _best_fit(runs: list[tuple[int, Counter]], s: int, n: int, size: int) -> list[tuple[int, Counter]]:
     """n pieces of length s, each to the sequence with the least room that holds it; new sequences when none does.
 
@@ -235,11 +290,12 @@ def _places(runs: list[tuple[int, Counter]]) -> list[tuple[int, int, int, int, i
     return out
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, size: int = SIZE, groups: tuple[int, ...] = GROUPS, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, size: int = SIZE, groups: tuple[tuple[int, int], ...] = GROUPS, end_id: int = 0) -> DataFrame:
     """Documents -> (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row for each piece.
 
     Every token of every text has one place; no sequence is longer than `size`, and none has a gap. A null or empty
-    text is one piece, the end id alone. Rows with equal or null ids are documents of their own. No rows: no rows.
+    text is one piece, the end id alone; a very long one is cut into pieces of `size`. Rows with equal or null ids,
+    and repeated rows, are documents of their own; other columns are not read. No rows: no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
@@ -254,8 +310,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("buckets"))
     pieces = pieces.withColumn("bucket", bucket).drop("buckets")
     counts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
-    first = scratch.table(counts.select("length", "bucket", before.alias("first")))
+    counts = scratch.table(counts.withColumn("run", F.floor(F.col("bucket") / PER_RUN)))
+    runs = counts.groupBy("length", "run").agg(F.sum("n").alias("m"))
+    runs = runs.select("length", "run", (F.sum("m").over(Window.partitionBy("length").orderBy("run")) - F.col("m")).alias("upto"))
+    before = F.sum("n").over(Window.partitionBy("length", "run").orderBy("bucket")) - F.col("n")
+    first = scratch.table(counts.withColumn("before", before).join(runs, ["length", "run"]).select("length", "bucket", (F.col("before") + F.col("upto")).alias("first")))
     row = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1
     ranked = pieces.withColumn("row", row).join(first, ["length", "bucket"]).withColumn("rank", F.col("first") + F.col("row"))
     nth = F.col("rank") - F.col("lo")
