@@ -43,15 +43,23 @@ def slices(offsets: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int
         lo = hi
 
 
+#: Powers up to so many are kept for the worker's life; of longer data they are made anew.
+KEPT = 1 << 22
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of BASE and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for k, b in enumerate((BASE, _INVERSE)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            _powers[k] = np.multiply.accumulate(p)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    size = 1 << int(n - 1).bit_length() if n <= KEPT else n
+    out = []
+    for b in (BASE, _INVERSE):
+        p = np.full(size, b, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    if n <= KEPT:
+        _powers[:] = out
+    return out[0], out[1]
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:

@@ -7,8 +7,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import delete_at_exit
@@ -46,6 +47,14 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, upper and lower case taken as one."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Written tables of one operator call. They cut the lineage, so that a lost executor costs one step at most."""
 
@@ -74,17 +83,21 @@ class Scratch:
             where.getFileSystem(conf).delete(where, True)
 
 
-def _hinted(ids: DataFrame, id_name: str) -> DataFrame:
-    ids = ids.select(F.col(id_name).alias("__id"))
+def _hinted(df: DataFrame, id_cols: list[str], ids: DataFrame, id_names: list[str]) -> tuple[DataFrame, Column]:
+    names = [free_name(df, f"id_of_row_{k}") for k in range(len(id_names))]
+    ids = ids.select(*(F.col(c).alias(n) for c, n in zip(id_names, names, strict=True)))
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return F.broadcast(ids) if few else ids
+    equal = reduce(lambda a, b: a & b, [F.col(c) == F.col(n) for c, n in zip(id_cols, names, strict=True)])
+    return F.broadcast(ids) if few else ids, equal
 
 
-def without_ids(df: DataFrame, id_col: str, ids: DataFrame, id_name: str) -> DataFrame:
-    """Rows of df whose id is not among ids (a written table); rows with a null id stay."""
-    return df.join(_hinted(ids, id_name), F.col(id_col) == F.col("__id"), "left_anti")
+def without_ids(df: DataFrame, id_cols: list[str], ids: DataFrame, id_names: list[str]) -> DataFrame:
+    """Rows of df whose id (of one column or several) is not among ids (a written table); rows with a null id stay."""
+    ids, equal = _hinted(df, id_cols, ids, id_names)
+    return df.join(ids, equal, "left_anti")
 
 
-def with_ids(df: DataFrame, id_col: str, ids: DataFrame, id_name: str) -> DataFrame:
-    """Rows of df whose id is among ids (a written table)."""
-    return df.join(_hinted(ids, id_name), F.col(id_col) == F.col("__id"), "left_semi")
+def with_ids(df: DataFrame, id_cols: list[str], ids: DataFrame, id_names: list[str]) -> DataFrame:
+    """Rows of df whose id (of one column or several) is among ids (a written table)."""
+    ids, equal = _hinted(df, id_cols, ids, id_names)
+    return df.join(ids, equal, "left_semi")

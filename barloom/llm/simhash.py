@@ -104,8 +104,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Documents -> (doc_id, fingerprint, component_id).
 
     One row for each input row. fingerprint: 16 hex digits; component_id: the least id that links reach.
-    A null or empty text has fingerprint zero and is linked like any other; a null id takes part with its
-    text, and its row shows the component's least id that is not null. Repeated rows stay repeated.
+    A null or empty text has fingerprint zero and is linked like any other, a very long one is read whole; a null id takes
+    part with its text, and its row shows the component's least id that is not null. Repeated rows stay repeated, and
+    rows with equal ids have their own fingerprints. Ids may be of any orderable type; other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash")
@@ -128,7 +129,7 @@ def _joined(marked: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component, the one with the least id. Columns as given.
+    """docs with one row of each component, the one with the least id. Columns as given; no rows: no rows.
 
     Rows with a null id are kept. Of rows with equal ids any one is kept, if one of them is the least of its component.
     """
@@ -143,7 +144,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .where("last < id or n > 1")
     )
     per_id = scratch.table(per_id)
-    out = without_ids(docs, id_col, per_id.where("last < id"), "id")
+    out = without_ids(docs, [id_col], per_id.where("last < id"), ["id"])
     if per_id.where("last >= id").isEmpty():
         return out
     return out.where(F.col(id_col).isNull()).unionByName(out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
