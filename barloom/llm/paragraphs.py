@@ -3,8 +3,11 @@
 Equal paragraphs are one class from the start. Bands of few rows are tuned for recall (see BANDS): of pairs at the
 threshold 99.8 % collide, of more similar ones nearly all. Colliding classes are verified on their whole shingle sets.
 A passage in the midst of other text shares no paragraph. Of every PASSAGE words in a row the place of the least
-GRAM-word hash is an anchor, so any passage of PASSAGE words or more that stands in two texts word for word has an anchor in
+GRAM-word hash is an anchor, so any passage of PASSAGE words or more that stands in two places word for word has an anchor in
 common; runs of such anchors are returned beside the paragraphs.
+
+Rows are told apart by 128 bits of their id and text, whatever the id's type; classes of equal paragraphs have numbers
+of their own, so that all links and components are of plain longs.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import LOWER, WORD, mixed, powers, prefix_hash, slices, sliding_min, span_hash, text_column, word_bounds
@@ -71,6 +75,12 @@ def _slices_of(batch):
         yield lo, Words(whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
 
 
+def _named(batch, rows: np.ndarray) -> dict:
+    """Id and row identity of the rows."""
+    at = pa.array(rows)
+    return {k: batch[k].take(at) for k in ("id", "r1", "r2")}
+
+
 def _paragraphs(min_words: int):
     """Texts -> a row for each paragraph of min_words or more: place, words, two digests and the bands' keys.
 
@@ -79,7 +89,6 @@ def _paragraphs(min_words: int):
 
     def run(batches):
         for batch in batches:
-            rid = batch["rid"].to_numpy()
             for lo, w in _slices_of(batch):
                 first, end, number = w.units(_LINE)
                 long = np.flatnonzero(end - first >= min_words)
@@ -98,8 +107,8 @@ def _paragraphs(min_words: int):
                 doc = w.doc[first]
                 start = w.starts[first] - w.bounds[doc]
                 yield pa.record_batch(
-                    {
-                        "rid": rid[lo + doc], "para": number.astype(np.int32), "start": start, "end": w.ends[end - 1] - w.bounds[doc], "words": end - first,
+                    _named(batch, lo + doc) | {
+                        "para": number.astype(np.int64), "start": start, "end": w.ends[end - 1] - w.bounds[doc], "words": end - first,
                         "d1": w.digests(first, end).view(np.int64), "d2": mixed(np.add.reduceat(mixed(sh), at)).view(np.int64),
                         "bands": pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(BANDS * banded)]).astype(np.int32), np.stack(keys, 1)[banded].ravel()),
                     }
@@ -109,21 +118,21 @@ def _paragraphs(min_words: int):
 
 
 def _shingle_sets(batches):
-    """Texts with the paragraphs wanted in them -> the sorted distinct shingle hashes of each."""
+    """Texts with the paragraphs wanted in them, and their classes -> the sorted distinct shingle hashes of each class."""
     for batch in batches:
-        rid, wanted = batch["rid"].to_numpy(), batch["wanted"].to_pylist()
+        wanted = [{x["para"]: x["cid"] for x in row} for row in batch["wanted"].to_pylist()]
         for lo, w in _slices_of(batch):
             first, end, number = w.units(_LINE)
             doc = w.doc[first] if len(first) else first
-            keep = [k for k in range(len(first)) if int(number[k]) in wanted[lo + doc[k]]]
+            cids = [wanted[lo + d].get(k) for d, k in zip(doc.tolist(), number.tolist(), strict=True)]
+            keep = [k for k, c in enumerate(cids) if c is not None]
             if not keep:
                 continue
-            first, end, number, doc = (v[keep] for v in (first, end, number, doc))
-            sh, at = w.shingles(first, end)
+            sh, at = w.shingles(first[keep], end[keep])
             sets = [np.unique(s) for s in np.split(sh, at[1:])]
             size = np.array([len(x) for x in sets])
             listed = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), np.concatenate(sets).view(np.int64))
-            yield pa.record_batch({"rid": rid[lo + doc], "para": number.astype(np.int32), "set": listed, "size": size})
+            yield pa.record_batch({"u": pa.array([cids[k] for k in keep], pa.int64()), "set": listed, "size": size})
 
 
 def _compared(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -216,25 +225,22 @@ def _families(r: float):
         lo, hi = rows[0][1:3]
         left = [x[4:] for x in rows if x[3] == lo]
         right = left if lo == hi else [x[4:] for x in rows if x[3] == hi]
-        return [(left[i][0], right[j][0]) for i, j in _family_links(left, right, r)]
+        return [(left[i][1], right[j][1]) for i, j in _family_links(left, right, r)]
 
     def given(links: list[tuple]):
-        ends = [pa.array([dict(zip(("rid", "para"), link[k], strict=True)) for link in links], _NODE) for k in (0, 1)]
-        return pa.record_batch({"u": ends[0], "v": ends[1]})
+        return pa.record_batch({k: pa.array([link[i] for link in links], pa.int64()) for i, k in enumerate("uv")})
 
     def run(batches):
         held: list[tuple] = []
         links: list[tuple] = []
-        node = lambda x: (x["rid"], x["para"])
         for batch in batches:
             apart, upto = batch["apart"].flatten().to_numpy(), batch["apart"].offsets.to_numpy()
             cols = [batch[c].to_pylist() for c in ("v", "lo", "hi", "block", "u", "part", "is_rest", "nu")]
-            for k, (v, lo, hi, block, u, part, rest, nu) in enumerate(zip(*cols, strict=True)):
-                key = (node(v), lo, hi)
-                if held and held[0][:3] != key:
+            for k, row in enumerate(zip(*cols, strict=True)):
+                if held and held[0][:3] != row[:3]:
                     links += settle(held)
                     held = []
-                held.append((*key, block, node(u), node(part), rest, nu, apart[upto[k] - upto[0] : upto[k + 1] - upto[0]].tolist()))
+                held.append((*row, apart[upto[k] - upto[0] : upto[k + 1] - upto[0]].tolist()))
             if len(links) >= 4096:
                 yield given(links)
                 links = []
@@ -245,37 +251,43 @@ def _families(r: float):
     return run
 
 
-_NODE = pa.struct([("rid", pa.int64()), ("para", pa.int32())])
+#: Places of anchors are numbered in parts of so many words, of _PLACE bits: a text of any length fits.
+_PLACE = 24
+_SEGMENT = 1 << 23
+
+
+def _anchor_places(w: Words) -> np.ndarray:
+    """First words of the anchors of all windows of PASSAGE words inside one text."""
+    n, low = len(w.starts), np.uint64((1 << _PLACE) - 1)
+    found = []
+    for s in range(0, n - PASSAGE + 1, _SEGMENT):
+        e = min(n, s + _SEGMENT + PASSAGE - 1)
+        place = np.arange(s, e - GRAM + 1)
+        key = (w.digests(place, place + GRAM) & ~low) | (place - s).astype(np.uint64)
+        least = sliding_min(key, PASSAGE - GRAM + 1)
+        least = least[w.doc[s : s + len(least)] == w.doc[s + PASSAGE - 1 : s + PASSAGE - 1 + len(least)]]
+        found.append((least & low).astype(np.int64) + s)
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def _anchors(batches):
     """Texts -> a row for each anchor: its place in words, its bytes and the hash of its GRAM words."""
     for batch in batches:
-        rid = batch["rid"].to_numpy()
         for lo, w in _slices_of(batch):
-            n = len(w.starts)
-            if n < PASSAGE:
-                continue
-            place = np.arange(n - GRAM + 1)
-            h = w.digests(place, place + GRAM)
-            key = (h >> np.uint64(24) << np.uint64(24)) | place.astype(np.uint64)
-            least = sliding_min(key, PASSAGE - GRAM + 1)
-            least = least[w.doc[: len(least)] == w.doc[PASSAGE - 1 :]]  # windows of one text
-            if not len(least):
+            at = _anchor_places(w)
+            if not len(at):
                 continue
-            at = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-            at = at[np.concatenate([[True], at[1:] != at[:-1]])]
             doc = w.doc[at]
             yield pa.record_batch(
-                {
-                    "rid": rid[lo + doc], "place": at - np.searchsorted(w.doc, doc, "left"), "start": w.starts[at] - w.bounds[doc],
-                    "end": w.ends[at + GRAM - 1] - w.bounds[doc], "gram": h[at].view(np.int64),
+                _named(batch, lo + doc) | {
+                    "place": at - np.searchsorted(w.doc, doc, "left"), "start": w.starts[at] - w.bounds[doc],
+                    "end": w.ends[at + GRAM - 1] - w.bounds[doc], "gram": w.digests(at, at + GRAM).view(np.int64),
                 }
             )
 
 
-def _links(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """Classes (rid, para, bands) -> links (u, v) between similar ones, u and v being structs of (rid, para).
+def _components(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Classes (cid, r1, r2, para, bands) -> (cid, root) of those that hang together with others.
 
     Each class of a list is verified against the list's middle m: the class that shares the most with others, by the
     sizes of its lists. What is linked with it needs no further comparison; the rest, and only the rest, is compared
@@ -283,29 +295,29 @@ def _links(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scrat
     two components, so a list of many near copies gives a row for each member, not for each pair, and no link
     between separate parts is lost. Long lists are compared in blocks, each pair of blocks a task.
     """
-    rows = classes.select("rid", "para", F.explode("bands").alias("key"))
+    rows = classes.select("cid", F.explode("bands").alias("key"))
     full = scratch.table(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     met = scratch.table(rows.join(full, "key"))
-    score = met.groupBy("rid", "para").agg(F.sum("n").alias("score"))
-    met = scratch.table(met.join(scratch.table(score), ["rid", "para"]))
-    middle = scratch.table(met.groupBy("key").agg(F.max(F.struct("score", "rid", "para")).alias("m")))
-
-    wanted = met.groupBy("rid").agg(F.collect_set("para").alias("wanted"))
-    texts = with_ids(base, "rid", scratch.table(met.select("rid").distinct()), "rid").dropDuplicates(["rid"])
-    sets = texts.join(wanted, "rid").mapInArrow(_shingle_sets, "rid long, para int, set array<long>, size long")
-    sets = scratch.table(sets.select(F.struct("rid", "para").alias("u"), "set", "size"))
+    score = met.groupBy("cid").agg(F.sum("n").alias("score"))
+    met = scratch.table(met.join(scratch.table(score), "cid"))
+    order = F.col("score").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col("cid")
+    middle = scratch.table(met.groupBy("key").agg(F.max_by("cid", order).alias("v")))
+
+    some = classes.join(scratch.table(met.select("cid").distinct()), "cid", "left_semi")
+    wanted = scratch.table(some.groupBy("r1", "r2").agg(F.collect_list(F.struct("para", "cid")).alias("wanted")))
+    texts = with_ids(base, ["r1", "r2"], wanted, ["r1", "r2"]).join(wanted, ["r1", "r2"])
+    sets = scratch.table(texts.select("text", "wanted").mapInArrow(_shingle_sets, "u long, set array<long>, size long"))
     compare = arrow_udf(_compared, "struct<both:bigint,apart:array<bigint>>").asNondeterministic()
 
     a = sets.select("u", F.col("set").alias("a"), F.col("size").alias("nu"))
     b = sets.select(F.col("u").alias("v"), F.col("set").alias("b"), F.col("size").alias("nv"))
-    star = met.join(middle, "key").select(F.struct("rid", "para").alias("u"), F.struct("m.rid", "m.para").alias("v")).where("u <> v").distinct()
+    star = met.join(middle, "key").select(F.col("cid").alias("u"), "v").where("u <> v").distinct()
     star = star.join(a, "u").join(b, "v").select("u", "v", "nu", "nv", compare("a", "b").alias("r"))
     similar = F.col("r.both") >= threshold * (F.col("nu") + F.col("nv") - F.col("r.both"))
     star = scratch.table(star.select("u", "v", "nu", "r.apart", similar.alias("similar")))
-    first = star.where("similar").select("u", "v")
 
     # Lists by their middle v in which some member hangs together with others than v; `part`: the component so far.
-    parts = scratch.table(components(first, scratch).select(F.col("node").alias("u"), F.col("component").alias("part")))
+    parts = scratch.table(components(star.where("similar").select("u", "v"), scratch).select(F.col("node").alias("u"), F.col("component").alias("part")))
     middles = scratch.table(star.select(F.col("v").alias("u")).distinct())
     main = middles.join(parts, "u", "left").select(F.col("u").alias("v"), F.coalesce("part", "u").alias("main"))
     rows = star.join(parts, "u", "left").select("u", "v", "nu", "apart", F.coalesce("part", "u").alias("part"))
@@ -317,9 +329,12 @@ def _links(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scrat
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
     rows = rows.select("v", "lo", "hi", "block", "u", "part", "is_rest", "nu", "apart").repartition("v", "lo", "hi").sortWithinPartitions("v", "lo", "hi")
-    kind = "struct<rid:bigint,para:int>"
-    again = rows.mapInArrow(_families((1 - threshold) / (1 + threshold)), f"u {kind}, v {kind}")
-    return first.union(scratch.table(again))
+    again = scratch.table(rows.mapInArrow(_families((1 - threshold) / (1 + threshold)), "u long, v long"))
+    # The links found last are between components: few, and only they go through components again.
+    joined = components(again, scratch).select(F.col("node").alias("part"), "component")
+    alone = again.select(F.explode(F.array("u", "v")).alias("part")).distinct().join(parts.select("part"), "part", "left_anti")
+    every = parts.union(alone.select("part", "part"))
+    return every.join(scratch.table(joined), "part", "left").select(F.col("u").alias("cid"), F.coalesce("component", "part").alias("root"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, min_words: int = 1) -> DataFrame:
@@ -327,46 +342,56 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
 
     A row for each paragraph (kind "paragraph": a line) of min_words or more that is equal or similar to another, in
     the same text or elsewhere, and for each stretch (kind "passage") of text in which every PASSAGE words hold GRAM words
-    that stand in another text too. start, end: bytes of the UTF-8 text. component_id, component_start: the least
-    member, which is the one that is kept; of a passage: where the first text with any of its common words has them.
-    n_members: paragraphs of the component; of a passage: the most occurrences that some of its common words have. Null and empty texts have no rows, and
-    rows with a null id are left out. Of rows with equal ids and texts one is taken.
+    that stand elsewhere too. start, end: bytes of the UTF-8 text. component_id, component_start: the least
+    member, which is the one that is kept; of a passage: where the first place with any of its common words has them.
+    n_members: paragraphs of the component; of a passage: the most occurrences that some of its common words have. kept of a passage:
+    whether any of its common words stand here first, so that what is shared in a chain of passages always stays somewhere.
+
+    Ids may be of any orderable type. Null and empty texts have no rows; very long ones are taken whole; rows with a
+    null id are left out. Rows with equal ids and other texts are texts of their own; of rows with equal ids and
+    texts one is taken. Other columns are not read. No rows: no rows.
     """
     scratch = Scratch(docs.sparkSession, "paragraphs")
-    base = docs.select(F.col(id_col).cast("long").alias("rid"), F.col(text_col).cast("string").alias("text")).where("rid is not null and text is not null")
-    paras = base.mapInArrow(_paragraphs(min_words), "rid long, para int, start long, end long, words long, d1 long, d2 long, bands array<long>")
-    paras = scratch.table(paras)
-    one = F.min(F.struct("rid", "para", "start")).alias("one")
-    classes = paras.groupBy("d1", "d2").agg(one, F.first("bands").alias("bands"), F.count_distinct(F.struct("rid", "para", "start")).alias("n"))
-    classes = scratch.table(classes.select("d1", "d2", "one.*", "bands", "n"))
-    found = components(_links(classes, base, threshold, scratch), scratch)
-    here = F.struct("rid", "para")
-    named = classes.withColumn("node", here).join(found, "node", "left").withColumn("root", F.coalesce("component", "node"))
-    sizes = named.groupBy("root").agg(F.sum("n").alias("members"), F.min(F.struct("rid", "para", "start")).alias("least")).where("members > 1")
-    grouped = scratch.table(named.join(sizes, "root").select("d1", "d2", "members", "least"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
+    base = base.select("id", F.xxhash64("id", "text").alias("r1"), F.xxhash64(F.lit(29), "text", "id").alias("r2"), "text")
+    if not base.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        base = scratch.table(base.dropDuplicates(["r1", "r2"]))
+    name = [base.schema["id"], T.StructField("r1", T.LongType()), T.StructField("r2", T.LongType())]
+    numbers = lambda *names: [T.StructField(c, T.LongType()) for c in names]
+    kind = T.StructType([*name, *numbers("para", "start", "end", "words", "d1", "d2"), T.StructField("bands", T.ArrayType(T.LongType()))])
+    paras = scratch.table(base.mapInArrow(_paragraphs(min_words), kind))
+    least = F.min(F.struct("id", "start", "r1", "r2", "para")).alias("least")
+    classes = paras.groupBy("d1", "d2").agg(least, F.first("bands").alias("bands"), F.count("*").alias("n"))
+    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("cid"), "d1", "d2", "least", "least.r1", "least.r2", "least.para", "bands", "n"))
+    found = _components(classes.where("size(bands) > 0"), base, threshold, scratch)
+    named = classes.select("cid", "d1", "d2", "least", "n").join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    sizes = named.groupBy("root").agg(F.sum("n").alias("members"), F.min("least").alias("least")).where("members > 1")
+    grouped = scratch.table(named.select("d1", "d2", "root").join(sizes, "root").select("d1", "d2", "members", "least"))
+    here = (F.col("r1") == F.col("least.r1")) & (F.col("r2") == F.col("least.r2"))
     paragraphs = paras.join(grouped, ["d1", "d2"]).select(
-        F.col("rid").alias("doc_id"), F.lit("paragraph").alias("kind"), "start", "end", F.col("words").alias("n_words"),
-        F.col("least.rid").alias("component_id"), F.col("least.start").alias("component_start"), F.col("members").alias("n_members"),
-        ((F.col("rid") == F.col("least.rid")) & (F.col("start") == F.col("least.start"))).alias("kept"),
+        F.col("id").alias("doc_id"), F.lit("paragraph").alias("kind"), "start", "end", F.col("words").alias("n_words"),
+        F.col("least.id").alias("component_id"), F.col("least.start").alias("component_start"), F.col("members").alias("n_members"),
+        (here & (F.col("start") == F.col("least.start"))).alias("kept"),
     )
-    return paragraphs.unionByName(_passages(base, scratch)).distinct()
+    return paragraphs.unionByName(_passages(base, T.StructType([*name, *numbers("place", "start", "end", "gram")]), scratch))
 
 
-def _passages(base: DataFrame, scratch: Scratch) -> DataFrame:
-    rows = scratch.table(base.mapInArrow(_anchors, "rid long, place long, start long, end long, gram long"))
-    least = F.min(F.struct("rid", "start")).alias("least")
-    full = rows.groupBy("gram").agg(F.count("*").alias("n"), F.max("rid").alias("last"), least).where("last <> least.rid").drop("last")
-    met = rows.join(scratch.table(full), "gram")
-    by = Window.partitionBy("rid").orderBy("place", "start")
+def _passages(base: DataFrame, kind: T.StructType, scratch: Scratch) -> DataFrame:
+    rows = scratch.table(base.mapInArrow(_anchors, kind))
+    least = F.min(F.struct("id", "start", "r1", "r2")).alias("least")
+    full = scratch.table(rows.groupBy("gram").agg(F.count("*").alias("n"), least).where("n > 1"))
+    own = (F.col("r1") == F.col("least.r1")) & (F.col("r2") == F.col("least.r2")) & (F.col("start") == F.col("least.start"))
+    met = rows.join(full, "gram").withColumn("own", own)
+    by = Window.partitionBy("r1", "r2").orderBy("place")
     before = F.lag("place").over(by)
     # Within a common passage one anchor follows the other within PASSAGE - GRAM + 1 words.
     new = before.isNull() | (F.col("place") - before > PASSAGE - GRAM + 1)
     run = met.withColumn("run", F.sum(new.cast("int")).over(by))
-    runs = run.groupBy("rid", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
-        F.max("n").alias("n_members"), F.min("least").alias("least"),
+    runs = run.groupBy("r1", "r2", "run").agg(
+        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
+        F.max("n").alias("n_members"), F.min("least").alias("least"), F.bool_or("own").alias("kept"),
     )
     return runs.select(
-        F.col("rid").alias("doc_id"), F.lit("passage").alias("kind"), "start", "end", "n_words", F.col("least.rid").alias("component_id"),
-        F.col("least.start").alias("component_start"), "n_members", ((F.col("rid") == F.col("least.rid")) & F.col("least.start").between(F.col("start"), F.col("end"))).alias("kept"),
+        F.col("id").alias("doc_id"), F.lit("passage").alias("kind"), "start", "end", "n_words", F.col("least.id").alias("component_id"),
+        F.col("least.start").alias("component_start"), "n_members", "kept",
     )
