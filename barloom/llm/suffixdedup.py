@@ -4,7 +4,9 @@ Every window of WINDOW bytes has an anchor, the place of its least GRAM-byte has
 anchors at the same place in them. Only the suffixes at anchors that share a hash with another are sorted, forwards
 and, reversed, backwards: a mergesort whose comparisons find the common extension by binary search over prefix
 polynomial hashes. An anchor's best extensions to both sides give the repeated bytes around it; they are verified
-byte by byte. Anchors with equal surroundings are one class from the start, so a text of many copies is sorted once.
+byte by byte. Anchors with equal surroundings are one class from the start, so a text of many copies is sorted once:
+they are told by a cryptographic digest (BLAKE2b, 128 bits) of the surrounding bytes, which two different strings
+don't share even if someone tries, so that no polynomial hash is trusted unverified. Rows have 128 bits of identity.
 """
 
 from __future__ import annotations
@@ -54,7 +56,7 @@ def _anchors(data: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tu
 
 
 def _scan(window: int, gram: int):
-    """Texts -> a row for each anchor: hash, hash of its surroundings, text, and (place, bytes to the left, to the right) packed."""
+    """Texts -> a row for each anchor: hash, digest of its surroundings, text, and (place, bytes to the left, to the right) packed."""
     reach = window - gram
 
     def rows(data: np.ndarray, bounds: np.ndarray):
@@ -78,10 +80,16 @@ def _scan(window: int, gram: int):
                     continue
                 left = np.maximum(bounds[doc], place - reach)
                 right = np.minimum(bounds[doc + 1], place + window)
-                around = span_hash(prefix_hash(data), left, right) ^ ((place - left).astype(np.uint64) << np.uint64(9)) ^ (right - place).astype(np.uint64)
-                packed = ((place - bounds[doc]) << 20) | ((place - left) << 10) | (right - place)
-                rid = batch["rid"].to_numpy()[lo:hi][doc]
-                yield pa.record_batch({"h": hashes.view(np.int64), "ctx": around.view(np.int64), "rid": rid, "packed": packed})
+                raw, digest = memoryview(data), hashlib.blake2b
+                around = b"".join([digest(raw[s:e], digest_size=16).digest() for s, e in zip(left.tolist(), right.tolist(), strict=True)])
+                around = np.frombuffer(around, "<i8").reshape(-1, 2)
+                # Equal bytes with the anchor at another place in them are another class.
+                at = ((place - left) << 10) | (right - place)
+                packed = ((place - bounds[doc]) << 20) | at
+                ids = pa.array(lo + doc)
+                yield pa.record_batch(
+                    {"h": hashes.view(np.int64), "c1": around[:, 0] ^ at, "c2": around[:, 1].copy(), "r1": batch["r1"].take(ids), "r2": batch["r2"].take(ids), "packed": packed}
+                )
 
     return run
 
@@ -240,7 +248,7 @@ def extensions(lefts: list[bytes], rights: list[bytes], size: np.ndarray, single
 
 
 def _sort(window: int):
-    """Contexts ordered by anchor hash -> (h, ctx, left, right) of the classes of one anchor that repeat something."""
+    """Contexts ordered by anchor hash -> (h, c1, c2, left, right) of the classes of one anchor that repeat something."""
 
     def settle(held: dict[str, list]):
         h = np.array(held["h"])
@@ -250,10 +258,10 @@ def _sort(window: int):
         rights = [c[k:] for c, k in zip(held["around"], held["ll"], strict=True)]
         left, right = extensions(lefts, rights, size, np.array(held["n"]) == 1, window)
         hit = np.flatnonzero(left + right > 0)
-        return pa.record_batch({"h": h[hit], "ctx": np.array(held["ctx"])[hit], "left": left[hit].astype(np.int64), "right": right[hit].astype(np.int64)})
+        return pa.record_batch({"h": h[hit], "c1": np.array(held["c1"])[hit], "c2": np.array(held["c2"])[hit], "left": left[hit].astype(np.int64), "right": right[hit].astype(np.int64)})
 
     def run(batches):
-        held: dict[str, list] = {k: [] for k in ("h", "ctx", "n", "ll", "around")}
+        held: dict[str, list] = {k: [] for k in ("h", "c1", "c2", "n", "ll", "around")}
         for batch in batches:
             for lo in range(0, batch.num_rows, AT_ONCE // 2):
                 part = batch.slice(lo, AT_ONCE // 2)
@@ -273,12 +281,12 @@ def _sort(window: int):
 def _cut_contexts(batches):
     """Texts with the anchors wanted in them -> the bytes around each."""
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("h", "ctx", "n", "ll", "around")}
+        out: dict[str, list] = {k: [] for k in ("h", "c1", "c2", "n", "ll", "around")}
         for text, wanted in zip(batch["text"], batch["wanted"], strict=True):
             raw = text.as_buffer()
             for w in wanted.as_py():
                 place, ll, rl = w["packed"] >> 20, (w["packed"] >> 10) & 1023, w["packed"] & 1023
-                for k in ("h", "ctx", "n"):
+                for k in ("h", "c1", "c2", "n"):
                     out[k].append(w[k])
                 out["ll"].append(ll)
                 out["around"].append(raw.slice(place - ll, ll + rl).to_pybytes())
@@ -293,12 +301,12 @@ def _windows(window: int):
 
     def run(batches):
         for batch in batches:
-            for h, ctx, ll, around in zip(*(batch[k].to_pylist() for k in ("h", "ctx", "ll", "around")), strict=True):
+            for h, c1, c2, ll, around in zip(*(batch[k].to_pylist() for k in ("h", "c1", "c2", "ll", "around")), strict=True):
                 data = np.frombuffer(around, np.uint8)
                 s = np.arange(0, min(ll, len(data) - window) + 1)
                 w = span_hash(prefix_hash(data), s, s + window).view(np.int64)
-                same = np.full(len(s), h), np.full(len(s), ctx)
-                yield pa.record_batch({"h": same[0], "ctx": same[1], "x": (ll - s).astype(np.int64), "w": w})
+                same = {k: np.full(len(s), v) for k, v in (("h", h), ("c1", c1), ("c2", c2))}
+                yield pa.record_batch(same | {"x": (ll - s).astype(np.int64), "w": w})
 
     return run
 
@@ -324,58 +332,62 @@ def _cut_out(text: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["n_removed", "n_spans", "kept_sha256"])
 
 
+_CLASS = ["h", "c1", "c2"]
+_ROW = ["r1", "r2"]
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM, large: int = LARGE) -> DataFrame:
-    """(rid, text) -> (rid, spans): the byte spans [s, e) of repeated windows, not merged; texts without any are left out."""
-    anchors = scratch.table(docs.mapInArrow(_scan(window, gram), "h long, ctx long, rid long, packed long"))
+    """(r1, r2, text) -> (r1, r2, spans): the byte spans [s, e) of repeated windows, not merged; texts without any are left out."""
+    anchors = scratch.table(docs.mapInArrow(_scan(window, gram), "h long, c1 long, c2 long, r1 long, r2 long, packed long"))
     # Written, so that the join below exchanges both sides and adaptive execution can split a hash that very many anchors have.
     shared = scratch.table(anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
     met = scratch.table(anchors.join(shared, "h"))
     scratch.drop(anchors)
-    classes = met.groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "packed")).alias("one"))
-    classes = scratch.table(classes.select("h", "ctx", "n", "one.*"))
+    classes = met.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(F.struct(*_ROW, "packed")).alias("one"))
+    classes = scratch.table(classes.select(*_CLASS, "n", "one.*"))
     sizes = classes.groupBy("h").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
     compared = scratch.table(classes.join(scratch.table(sizes.drop("least")), "h"))
 
-    wanted = compared.groupBy("rid").agg(F.collect_list(F.struct("h", "ctx", "n", "packed")).alias("wanted"))
-    texts = with_ids(docs, "rid", scratch.table(compared.select("rid").distinct()), "rid").dropDuplicates(["rid"])
-    contexts = texts.join(wanted, "rid").select("text", "wanted")
-    contexts = contexts.mapInArrow(_cut_contexts, "h long, ctx long, n long, ll long, around binary")
+    wanted = compared.groupBy(*_ROW).agg(F.collect_list(F.struct(*_CLASS, "n", "packed")).alias("wanted"))
+    texts = with_ids(docs, _ROW, scratch.table(compared.select(*_ROW).distinct()), _ROW).dropDuplicates(_ROW)
+    contexts = texts.join(wanted, _ROW).select("text", "wanted")
+    contexts = contexts.mapInArrow(_cut_contexts, "h long, c1 long, c2 long, n long, ll long, around binary")
+    sort = lambda rows: rows.repartition("h").sortWithinPartitions("h").mapInArrow(_sort(window), "h long, c1 long, c2 long, left long, right long")
     big = compared.where(F.col("classes") > large).select("h").distinct()
     if big.isEmpty():
-        found = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_sort(window), "h long, ctx long, left long, right long")
+        found = sort(contexts)
     else:
         contexts, big = scratch.table(contexts), scratch.table(big)
-        few = contexts.join(big, "h", "left_anti")
-        found = few.repartition("h").sortWithinPartitions("h").mapInArrow(_sort(window), "h long, ctx long, left long, right long")
-        every = scratch.table(contexts.join(big, "h", "left_semi").mapInArrow(_windows(window), "h long, ctx long, x long, w long"))
+        every = scratch.table(contexts.join(big, "h", "left_semi").mapInArrow(_windows(window), "h long, c1 long, c2 long, x long, w long"))
         twice = every.groupBy("h", "x", "w").agg(F.count("*").alias("k")).where("k > 1").drop("k")
-        hits = every.join(twice, ["h", "x", "w"]).groupBy("h", "ctx").agg(F.max("x").alias("left"), (F.lit(window) - F.min("x")).alias("right"))
-        found = found.union(hits)
+        hits = every.join(twice, ["h", "x", "w"]).groupBy(*_CLASS).agg(F.max("x").alias("left"), (F.lit(window) - F.min("x")).alias("right"))
+        found = sort(contexts.join(big, "h", "left_anti")).union(hits)
     found = scratch.table(found)
     copies = classes.where("n > 1").select(
-        "h", "ctx", F.shiftright("packed", 10).bitwiseAND(F.lit(1023)).alias("left"), F.col("packed").bitwiseAND(F.lit(1023)).alias("right")
+        *_CLASS, F.shiftright("packed", 10).bitwiseAND(F.lit(1023)).alias("left"), F.col("packed").bitwiseAND(F.lit(1023)).alias("right")
     )
-    once = found.join(copies.select("h", "ctx"), ["h", "ctx"], "left_anti") if not big.isEmpty() else found
+    once = found.join(copies.select(*_CLASS), _CLASS, "left_anti") if not big.isEmpty() else found
     place = F.shiftright("packed", 20)
-    spans = met.join(copies.union(once), ["h", "ctx"]).select("rid", (place - F.col("left")).alias("s"), (place + F.col("right")).alias("e"))
-    return scratch.table(spans.groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    spans = met.join(copies.union(once), _CLASS).select(*_ROW, (place - F.col("left")).alias("s"), (place + F.col("right")).alias("e"))
+    return scratch.table(spans.groupBy(*_ROW).agg(F.collect_list(F.struct("s", "e")).alias("spans")))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, large: int = LARGE) -> DataFrame:
     """Documents -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each row.
 
     Removed is each byte of a `window`-byte string that starts anywhere else too. A null text is empty; texts shorter
-    than the window keep all. Rows with equal ids and texts are copies of each other, like rows with other ids.
+    than the window keep all; very long ones are read whole, in overlapping parts. Rows with equal ids and texts are
+    copies of each other, like rows with other ids; ids may be null and of any type. Other columns are not read. No rows: no rows.
     """
     scratch = Scratch(docs.sparkSession, "suffix")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    base = base.withColumn("rid", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(base.select("rid", "text"), scratch, window, gram, large)
-    ids = scratch.table(spans.select("rid"))
+    base = base.withColumns({"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit(8), "text", "doc_id")})
+    spans = repeated_spans(base.select(*_ROW, "text"), scratch, window, gram, large)
+    ids = scratch.table(spans.select(*_ROW))
     n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
     zero = F.lit(0).cast("long")
-    clean = without_ids(base, "rid", ids, "rid").select("doc_id", n_bytes, zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    clean = without_ids(base, _ROW, ids, _ROW).select("doc_id", n_bytes, zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
     cut = arrow_udf(_cut_out, "struct<n_removed:bigint,n_spans:bigint,kept_sha256:string>").asNondeterministic()
-    touched = with_ids(base, "rid", ids, "rid").join(spans, "rid").select("doc_id", n_bytes, cut("text", "spans").alias("r"))
+    touched = with_ids(base, _ROW, ids, _ROW).join(spans, _ROW).select("doc_id", n_bytes, cut("text", "spans").alias("r"))
     return clean.union(touched.select("doc_id", "n_bytes", "r.*"))
