@@ -1,8 +1,11 @@
-"""Embedding near-dedup through an inverted multi-index with multi-sequence traversal."""
+"""Embedding near-dedup through an inverted multi-index with multi-sequence traversal.
+
+Both halves of the vectors have a codebook; pairs of centroids are the cells of a grid. A vector stands in one cell and
+visits others by growing distance to their borders, as far as the target recall needs; what it meets there is verified.
+"""
 
 from __future__ import annotations
 
-import heapq
 import math
 from dataclasses import dataclass
 
@@ -11,17 +14,20 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from .graph import components
 from .scratch import Scratch
 
 THRESHOLD = 0.9
 #: Share of the partners at exactly the threshold whose cell is visited; nearer partners are found likelier still.
+#: 1: all cells are visited that can hold a partner, and no link is lost, at many times the cost.
 RECALL = 0.999
 #: Vectors that the codebooks and the visiting radius are fitted on, at most.
 SAMPLE = 8192
-#: Vectors for each cell of the grid, about, and the most centroids of a half.
-PER_CELL, MOST_CENTROIDS = 800, 64
+#: Vectors for each cell of the grid, about, and the fewest and most centroids of a half.
+PER_CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 800, 4, 512
 #: Rows of either side that one task compares at once; fuller cells are dealt over several.
 BLOCK = 2048
 
@@ -45,29 +51,30 @@ class Index:
             out.append((own, np.maximum(m, 0) ** 2))
         return out
 
-    def cells(self, x: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
-        """Own cell of each vector, and the cells of lower number that its traversal visits."""
+    def cells(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Own cell of each vector, and (row, cell) of the cells of lower number that its traversal visits.
+
+        The halves' margins, each sorted, span a grid whose sums grow along both sequences: for one place in the first
+        the places in the second up to the radius are a prefix, which only shrinks from one place to the next. All
+        vectors go down that staircase together.
+        """
         (a, ma), (b, mb) = self.margins(x)
         k = len(self.books[1])
         own = a * k + b
         oa, ob = np.argsort(ma, 1, kind="stable"), np.argsort(mb, 1, kind="stable")
-        visited = []
-        for r in range(len(x)):
-            visited.append([c for c in self._traverse(ma[r], mb[r], oa[r], ob[r], k) if c < own[r]])
-        return own, visited
-
-    def _traverse(self, ma, mb, oa, ob, k: int):
-        """Cells by growing sum of the halves' margins: a heap over the grid of sorted lists, until the radius."""
-        heap, seen = [(0.0, 0, 0)], {(0, 0)}
-        while heap:
-            at, i, j = heapq.heappop(heap)
-            if at > self.radius:
-                return
-            yield int(oa[i] * k + ob[j])
-            for i2, j2 in ((i + 1, j), (i, j + 1)):
-                if i2 < len(oa) and j2 < len(ob) and (i2, j2) not in seen:
-                    seen.add((i2, j2))
-                    heapq.heappush(heap, (float(ma[oa[i2]] + mb[ob[j2]]), i2, j2))
+        sa, sb = np.take_along_axis(ma, oa, 1), np.take_along_axis(mb, ob, 1)
+        rows, cells = [], []
+        for i in range(sa.shape[1]):
+            go = np.flatnonzero(sa[:, i] <= self.radius)
+            if not len(go):
+                break
+            r, j = np.nonzero(sb[go] <= (self.radius - sa[go, i])[:, None])
+            r = go[r]
+            cell = oa[r, i] * k + ob[r, j]
+            lower = cell < own[r]
+            rows.append(r[lower])
+            cells.append(cell[lower])
+        return own, np.concatenate(rows), np.concatenate(cells)
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -80,81 +87,101 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -
     return book
 
 
+def _partners(x: np.ndarray, threshold: float, rng: np.random.Generator) -> list[np.ndarray]:
+    """Partners at the threshold in several directions: any, within either half, along one axis, towards another vector."""
+    cut, dim = x.shape[1] // 2, x.shape[1]
+    any_ = rng.normal(size=x.shape)
+    first, second, axis = any_.copy(), any_.copy(), np.zeros_like(x)
+    first[:, cut:], second[:, :cut] = 0, 0
+    axis[np.arange(len(x)), rng.integers(0, dim, len(x))] = 1
+    out = []
+    for noise in (any_, first, second, axis, x[rng.permutation(len(x))]):
+        noise = noise - (noise * x).sum(1)[:, None] * x
+        length = np.linalg.norm(noise, axis=1)[:, None]
+        out.append(np.where(length > 1e-6, threshold * x + math.sqrt(1 - threshold**2) * noise / np.maximum(length, 1e-6), x))
+    return out
+
+
 def fit(sample: np.ndarray, total: int, threshold: float, recall: float, per_cell: int, seed: int = 5) -> Index:
-    """Codebooks from a sample of unit vectors; the radius from partners made at the threshold, in random directions."""
+    """Codebooks from a sample of unit vectors; the radius from partners made at the threshold, of the direction that needs most.
+
+    A partner on the other side of a border is at least as far away as the border, in each half; with recall 1 the radius
+    is the squared distance at the threshold, so that no partner's cell can lie beyond it.
+    """
     rng = np.random.default_rng(seed)
-    k = int(min(MOST_CENTROIDS, max(1, round(math.sqrt(total / per_cell))), len(sample)))
+    k = int(min(MOST_CENTROIDS, max(LEAST_CENTROIDS, round(math.sqrt(total / per_cell))), len(sample)))
     cut = sample.shape[1] // 2
     books = [_kmeans(sample[:, :cut], k, rng), _kmeans(sample[:, cut:], k, rng)]
     apart = [np.sqrt(((b[:, None] - b[None]) ** 2).sum(2)) for b in books]
-    index = Index(books, apart, 0.0)
-    x = sample[: min(len(sample), 4096)]
-    noise = rng.normal(size=x.shape)
-    noise -= (noise * x).sum(1)[:, None] * x
-    length = np.linalg.norm(noise, axis=1)
-    x, noise = x[length > 1e-9], noise[length > 1e-9] / length[length > 1e-9][:, None]
-    if len(x):
-        partner = threshold * x + math.sqrt(1 - threshold**2) * noise
+    index = Index(books, apart, 2 - 2 * threshold + 1e-9)
+    if recall < 1:
+        x = sample[: min(len(sample), 4096)]
         (_, ma), (_, mb) = index.margins(x)
-        (a, _), (b, _) = index.margins(partner)
-        r = np.arange(len(x))
-        index.radius = float(np.quantile(ma[r, a] + mb[r, b], recall))
+        r, needed = np.arange(len(x)), []
+        for partner in _partners(x, threshold, rng):
+            (a, _), (b, _) = index.margins(partner)
+            needed.append(float(np.quantile(ma[r, a] + mb[r, b], recall)))
+        index.radius = min(index.radius, max(needed))
     return index
 
 
-def _unit(raw: list[bytes], dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(-1, dim)
+def _unit(raw: list[bytes], kind: str, dim: int) -> np.ndarray:
+    """Unit vectors in doubles; scaled by their largest component first, so that no square overflows or vanishes."""
+    x = np.frombuffer(b"".join(raw), kind).reshape(-1, dim).astype(float)
+    x = x / np.abs(x).max(1, initial=0)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _assign(index: Index, dim: int, blocks: dict[int, tuple[int, int]] | None):
-    """Rows for mapInArrow: without blocks, cell and role only; with them, each vector for each block it is needed in."""
+def _dealt(cell: np.ndarray, probe: np.ndarray, mix: np.ndarray, members: np.ndarray, probes: np.ndarray):
+    """For each (vector, cell) the block pairs it is needed in: (row, first block, second block, whether on the second's side).
+
+    A cell's members are in `members` blocks and those that visit it in `probes`. Members meet members (pairs m <= p)
+    and every block of visitors; visitors meet every block of members.
+    """
+    m, p = members[cell], probes[cell]
+    n = np.where(probe, m, m + p)
+    row = np.repeat(np.arange(len(cell)), n)
+    j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    own = mix[row] % np.maximum(np.where(probe, p, m), 1)[row]
+    own = own.astype(np.int64)
+    visits, m = probe[row], m[row]
+    low = visits | (j < m) & (j < own)
+    return row, np.where(visits, j, np.where(low, j, own)), np.where(visits, m + own, np.where(low, own, j)), low
+
+
+def _assign(index: Index, kind: str, dim: int, blocks: tuple[np.ndarray, np.ndarray] | None):
+    """Rows for mapInArrow: without blocks, cell and role only; with them, each vector for each block pair it is needed in."""
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 part = batch.slice(lo, 4096)
-                raw = part["vector"].to_pylist()
-                own, visited = index.cells(_unit(raw, dim))
-                cell = np.concatenate([own, np.array([c for v in visited for c in v], np.int64)])
-                row = np.concatenate([np.arange(len(own)), np.repeat(np.arange(len(own)), [len(v) for v in visited])])
-                role = np.arange(len(cell)) >= len(own)
+                own, row, cell = index.cells(_unit(part["vector"].to_pylist(), kind, dim))
+                cell, row = np.concatenate([own, cell]), np.concatenate([np.arange(len(own)), row])
+                probe = np.arange(len(cell)) >= len(own)
                 if blocks is None:
-                    key, n = np.unique(cell * 2 + role, return_counts=True)
+                    key, n = np.unique(cell * 2 + probe, return_counts=True)
                     yield pa.record_batch({"cell": key // 2, "probe": (key % 2).astype(bool), "n": n})
                     continue
-                ids, sizes = part["id"].to_numpy(), part["copies"].to_numpy()
-                mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-                out = []
-                for r, c, probe in zip(row, cell, role, strict=True):
-                    members, probes = blocks[int(c)]
-                    if probe:
-                        own_block = int(mixed[r]) % probes
-                        out += [(r, c, m, members + own_block, True) for m in range(members)]
-                    else:  # also compared with the other members: block pairs m <= p, and every block of probes
-                        own_block = int(mixed[r]) % members
-                        out += [(r, c, own_block, p, False) for p in range(own_block, members)]
-                        out += [(r, c, m, own_block, True) for m in range(own_block)]
-                        out += [(r, c, own_block, members + p, False) for p in range(probes)]
-                for at in range(0, len(out), 8192):
-                    r, c, m, p, probe = (np.array(v) for v in zip(*out[at : at + 8192]))
+                mix = (part["cid"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                k, m, p, side = _dealt(cell, probe, mix[row], *blocks)
+                for at in range(0, len(k), 8192):
+                    some = slice(at, at + 8192)
+                    r = pa.array(row[k[some]])
                     yield pa.record_batch(
-                        {
-                            "cell": c.astype(np.int64), "members": m.astype(np.int64), "probes": p.astype(np.int64), "probe": probe.astype(bool),
-                            "id": ids[r], "copies": sizes[r], "vector": pa.array([raw[k] for k in r], pa.binary()),
-                        }
-                    )
+                        {"cell": cell[k[some]], "members": m[some], "probes": p[some], "probe": side[some], "cid": part["cid"].take(r), "copies": part["copies"].take(r), "vector": part["vector"].take(r)}
+                    )
 
     return run
 
 
-def _compare(dim: int, threshold: float):
+def _compare(kind: str, dim: int, threshold: float):
     """One block pair -> for each vector that has links there: how many, and the least vector they reach in the pair."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         probe = g["probe"].to_numpy()
-        ids, copies = g["id"].to_numpy(), g["copies"].to_numpy()
-        x = _unit(g["vector"].tolist(), dim)
+        ids, copies = g["cid"].to_numpy(), g["copies"].to_numpy()
+        x = _unit(g["vector"].tolist(), kind, dim)
         left = np.flatnonzero(~probe)
         within = g["members"].iat[0] == g["probes"].iat[0]  # a block of members against itself
         right = left if within else np.flatnonzero(probe)
@@ -174,7 +201,7 @@ def _compare(dim: int, threshold: float):
                 break
             label = after
         has = count > 0
-        return pd.DataFrame({"id": ids[has], "n": count[has].astype(np.int64), "least": label[has]})
+        return pd.DataFrame({"cid": ids[has], "n": count[has].astype(np.int64), "least": label[has]})
 
     return run
 
@@ -184,33 +211,35 @@ def near_duplicates(
 ) -> DataFrame:
     """Vectors -> (vec_id, n_links, component_id, kept), a row for each row.
 
-    Equal vectors are one class, searched once; all copies link to each other. Codebooks are fitted on at most
-    `sample` classes, least hash first; every class is indexed. Vectors that are null, empty, zero or not finite, and
-    rows with a null id, link with nothing: n_links 0, component_id their own id, kept true. Vectors of another length
-    than the longest valid one in the sample link with nothing but their copies. No rows: no rows.
+    Equal vectors are one class, searched once; all copies link to each other, also rows with equal ids. Codebooks are
+    fitted on at most `sample` classes, least hash first; every class is indexed. Vectors that are null, empty, zero or
+    hold nulls or values that are not finite, and rows with a null id, link with nothing: n_links 0, component_id their own id, kept
+    true. Vectors of another length than the longest valid one in the sample link with nothing but their copies. Ids may
+    be of any orderable type; other columns are not read. No rows: no rows.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embedindex")
-    v = F.col(vector_col).cast("array<double>")
-    norm = F.aggregate(v, F.lit(0.0), lambda a, e: a + e * e)
-    rows = vectors.select(F.col(id_col).alias("id"), v.alias("v"), norm.alias("norm"))
-    valid = F.coalesce(F.col("id").isNotNull() & (F.col("norm") > 0) & (F.col("norm") < float("inf")), F.lit(False))
+    v = F.col(vector_col)
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType)
+    v = v if single else v.cast("array<double>")
+    largest = F.array_max(F.transform(v, F.abs))  # not a number is more than any
+    rows = vectors.select(F.col(id_col).alias("id"), v.alias("v"), largest.alias("most"), F.exists(v, F.isnull).alias("gap"))
+    valid = F.coalesce(F.col("id").isNotNull() & ~F.col("gap") & (F.col("most") > 0) & (F.col("most") < float("inf")), F.lit(False))
     keys = [F.when(valid, F.xxhash64(F.lit(s), "v")).alias(f"k{s}") for s in (1, 2)]
     rows = scratch.table(rows.select("id", *keys, F.when(valid, F.col("v")).alias("v")))
     good = rows.where("k1 is not null")
     classes = good.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v"))
-    classes = scratch.table(classes)
+    classes = scratch.table(classes.withColumn("cid", F.monotonically_increasing_id()))
     total = classes.count()
-    dim = classes.orderBy(F.xxhash64("id")).limit(sample).agg(F.max(F.size("v"))).first()[0] if total else None
+    dim = classes.orderBy("k1", "k2").limit(sample).agg(F.max(F.size("v"))).first()[0] if total else None
     if dim is None:
-        linked = spark.createDataFrame([], "id bigint, n bigint, component_id bigint")
+        linked = spark.createDataFrame([], "cid bigint, n bigint, root bigint")
     else:
-        linked = _links(classes.where(F.size("v") == dim), int(dim), total, threshold, recall, sample, per_cell, block, scratch)
-    named = classes.join(linked, "id", "left").select(
-        "k1", "k2",
-        (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "id").alias("component_id"),
-    )
+        linked = _links(classes.where(F.size("v") == dim), "<f4" if single else "<f8", int(dim), total, threshold, recall, sample, per_cell, block, scratch)
+    named = classes.select("k1", "k2", "id", "copies", "cid").join(linked, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    named = scratch.table(named)
+    least = scratch.table(named.groupBy("root").agg(F.min("id").alias("component_id")))
+    named = named.join(least, "root").select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"), "component_id")
     out = rows.join(scratch.table(named), ["k1", "k2"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(
@@ -221,30 +250,27 @@ def near_duplicates(
     )
 
 
-def _links(classes: DataFrame, dim: int, total: int, threshold, recall, sample, per_cell, block, scratch: Scratch) -> DataFrame:
-    """Classes (id, copies, v) -> (id, n, component_id) of those that link with another class."""
-    spark = classes.sparkSession
-    got = classes.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).toArrow().sort_by("id")
-    x = np.array(got["v"].to_pylist(), float).reshape(-1, dim)
-    index = fit(x / np.linalg.norm(x, axis=1)[:, None], total, threshold, recall, per_cell)
+def _links(classes: DataFrame, kind: str, dim: int, total: int, threshold, recall, sample, per_cell, block, scratch: Scratch) -> DataFrame:
+    """Classes (cid, copies, v) -> (cid, n, root) of those that link with another class."""
 
     def packed(column: pa.Array) -> pa.Array:
-        flat = np.asarray(column.flatten(), "<f8").tobytes()
-        return pa.array([flat[k : k + 8 * dim] for k in range(0, len(flat), 8 * dim)], pa.binary())
-
-    from pyspark.sql.functions import arrow_udf
-
-    flat = scratch.table(classes.select("id", "copies", arrow_udf(packed, "binary").asNondeterministic()("v").alias("vector")))
-    sizes = flat.mapInArrow(_assign(index, dim, None), "cell long, probe boolean, n long").groupBy("cell", "probe").agg(F.sum("n").alias("n"))
-    blocks: dict[int, list[int]] = {}
+        flat, width = np.asarray(column.flatten(), kind).tobytes(), dim * int(kind[-1])
+        return pa.array([flat[k : k + width] for k in range(0, len(flat), width)], pa.binary())
+
+    vector = arrow_udf(packed, "binary").asNondeterministic()("v").alias("vector")
+    flat = scratch.table(classes.select("k1", "k2", "cid", "copies", vector))
+    got = flat.select("k1", "k2", "vector").orderBy("k1", "k2").limit(sample).toArrow().sort_by([("k1", "ascending"), ("k2", "ascending")])
+    index = fit(_unit(got["vector"].to_pylist(), kind, dim), total, threshold, recall, per_cell)
+
+    flat = flat.select("cid", "copies", "vector")
+    sizes = flat.mapInArrow(_assign(index, kind, dim, None), "cell long, probe boolean, n long").groupBy("cell", "probe").agg(F.sum("n").alias("n"))
+    cells = len(index.books[0]) * len(index.books[1])
+    blocks = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
     for cell, probe, n in sizes.collect():  # at most two rows for each cell of the grid
-        blocks.setdefault(cell, [0, 0])[probe] = -(-n // block)
-    rows = flat.mapInArrow(
-        _assign(index, dim, {c: (m, p) for c, (m, p) in blocks.items()}),
-        "cell long, members long, probes long, probe boolean, id long, copies long, vector binary",
-    )
-    found = rows.groupBy("cell", "members", "probes").applyInPandas(_compare(dim, threshold), "id long, n long, least long")
+        blocks[int(probe)][cell] = -(-n // block)
+    rows = flat.mapInArrow(_assign(index, kind, dim, blocks), "cell long, members long, probes long, probe boolean, cid long, copies long, vector binary")
+    found = rows.groupBy("cell", "members", "probes").applyInPandas(_compare(kind, dim, threshold), "cid long, n long, least long")
     found = scratch.table(found)
-    named = components(found.select(F.col("id").alias("u"), F.col("least").alias("v")), scratch)
-    counts = found.groupBy("id").agg(F.sum("n").alias("n"))
-    return counts.join(named.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.col("component").alias("component_id"))
+    named = components(found.select(F.col("cid").alias("u"), F.col("least").alias("v")), scratch)
+    counts = found.groupBy("cid").agg(F.sum("n").alias("n"))
+    return counts.join(named.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "n", F.col("component").alias("root"))
