@@ -1,10 +1,17 @@
-"""Secret scan: high-recall candidates, then a random forest that removes false positives."""
+"""Secret scan: high-recall candidates, then a random forest that removes false positives.
+
+Candidates, the longer kind first where they overlap: the bodies of private key blocks; values that are assigned to a
+credential's name, or stand as the password of a URL, whole, whatever they are made of; runs of token characters
+with a digit or with the published prefix of a credential.
+"""
 
 from __future__ import annotations
 
 import random
 import re
 import string
+from bisect import bisect_left
+from collections import defaultdict
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -15,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import slices, text_column, word_bounds
-from .scratch import small_batches
+from .scratch import free_name, small_batches
 
-#: Shortest candidate. A candidate is a run of these bytes with a digit, or the inside of a private key block.
-SHORTEST = 8
+#: Shortest run of token characters, and shortest assigned value, that is a candidate.
+SHORTEST, SHORTEST_VALUE = 8, 4
 #: Bytes of context on each side from which neighbouring words are taken.
 CONTEXT = 48
 THRESHOLD = 0.5
@@ -39,18 +46,30 @@ DICTIONARY = (
     "system table template test text theme this time title token tool type update user value version view week width "
     "window with word work world write year your"
 ).split()
-CREDENTIAL = "password passwd pwd pass secret token apikey api_key key auth authorization bearer credential credentials access_key private login aws".split()
+CREDENTIAL = "password passwd pwd pass passphrase passcode secret token apikey api_key key auth authorization bearer credential credentials access_key private login aws".split()
 HARMLESS = "sha sha1 sha256 md5 commit checksum digest hash uuid guid id isbn phone tel call fax card order invoice version build revision serial etag integrity".split()
 SAMPLE_PATH = "test tests example examples sample demo doc docs mock fixture fixtures spec template".split()
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "glpat-", "SG.", "npm_")
-FILLER = "example sample changeme placeholder dummy your xxxx 12345 abcd test fake todo none".split()
+FILLER = "example sample changeme placeholder dummy your xxxx 12345 abcd test fake todo none null undefined redacted hidden insert replace true false".split()
 
 _RUN = np.zeros(256, bool)
 _RUN[[ord(c) for c in string.ascii_letters + string.digits + "_+/-"]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_WORDS = re.compile(rb"[A-Za-z][A-Za-z0-9_]*")
-_KEY_BLOCK = re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(.*?)(?:-----END|\Z)", re.S)
+_PREFIXES = tuple(p.encode() for p in PREFIXES)
+_KEY_MARK = re.compile(rb"-----(?:(BEGIN) (?:[A-Z0-9]+ ){0,4}PRIVATE KEY(?: BLOCK)?|END [A-Z0-9 ]{1,40})-----")
+#: The body of a key block without an end mark: its lines of key characters.
+_KEY_LINES = re.compile(rb"(?:\s{0,4}[A-Za-z0-9+/=]{40,}+)+\s{0,4}[A-Za-z0-9+/=]*+")
+#: Read on texts in lower case (the bytes' places stay). Texts without any of _NAMES have no such value.
+_NAMES = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential", b"bearer", b"://")
+_VALUE = re.compile(
+    rb"(?:passw(?:or)?d|passphrase|passcode|pwd|pass|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth(?:orization)?|credentials?)"
+    rb"[a-z0-9_.-]{0,40}+[\"'`\])]?[ \t]*+(?::=|=>|={1,2}|:)[ \t]*+(?:(?:bearer|basic|token)[ \t]++)?"
+    rb"(?:\"([^\"\r\n]{1,4096}+)\"|'([^'\r\n]{1,4096}+)'|`([^`\r\n]{1,4096}+)`|[\"'`]?((?:[^\s\"'`&]|&(?![a-z_][a-z0-9_]{0,40}+=))+))"
+    rb"|://[^\s:/@\"'<>]{1,80}+:([^\s@/\"'<>]{1,200}+)@|\bbearer[ \t]++([a-z0-9_.~+/-]{8,}+)"
+)
+#: What ends an unquoted value but isn't part of it.
+_AFTER = b",;)]}>"
 _PARTS = re.compile("|".join(sorted((w for w in DICTIONARY if len(w) > 3), key=len, reverse=True)))
 
 
@@ -66,27 +85,39 @@ def _transitions() -> np.ndarray:
 _LOG = _transitions()
 
 
+_KIND = np.full(128, 3)
+_KIND[48:58], _KIND[65:91], _KIND[97:123] = 0, 1, 2
+_HEX = np.zeros(128, bool)
+_HEX[[ord(c) for c in string.hexdigits]] = True
+_CODE = np.zeros(128, bool)
+_CODE[[ord(c) for c in "()[]{}<>$%"]] = True
+_BLOCK_MARK = re.compile(r"PRIVATE KEY(?: BLOCK)?-----\s*\Z")
+
+
 def features(candidate: str, left: str, right: str, path: str | None) -> list[float]:
     """Length, kinds of characters and their transitions, dictionary coverage, neighbouring words and path of a candidate."""
-    n, low = len(candidate), candidate.lower()
-    codes = np.frombuffer(low.encode("ascii", "replace"), np.uint8)
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in candidate]
-    p = np.bincount(codes, minlength=128) / max(n, 1)
+    low = candidate.lower()
+    codes = np.frombuffer(candidate.encode("ascii", "replace"), np.uint8)
+    small = np.frombuffer(low.encode("ascii", "replace"), np.uint8)
+    n, kinds = max(len(codes), 1), _KIND[codes]
+    share = np.bincount(kinds, minlength=4) / n
+    p = np.bincount(small, minlength=128) / max(len(small), 1)
     p = p[p > 0]
     before = [w.lower() for w in re.findall(r"[A-Za-z][A-Za-z0-9_]*", left)][-2:]
     after = [w.lower() for w in re.findall(r"[A-Za-z][A-Za-z0-9_]*", right)][:1]
-    gap = re.search(r"[^A-Za-z0-9_]*\Z", left).group()
-    covered = sum(len(w) for w in _PARTS.findall(low))
+    gap = re.search(r"[^A-Za-z0-9_]*\Z", left[-CONTEXT:]).group()
+    covered = sum(map(len, _PARTS.findall(low)))
     words = {q for w in before for q in (w, *w.split("_"))}
     where = set(re.findall(r"[a-z]+", (path or "").lower()))
+    quoted = gap[-1:] in ('"', "'", "`") and right[:1] == gap[-1:]
     return [
         n,
-        kinds.count("d") / n, kinds.count("u") / n, kinds.count("l") / n, kinds.count("s") / n,
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / n,
-        float(_LOG[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0,
+        *share.tolist(),
+        float((kinds[1:] != kinds[:-1]).sum()) / n,
+        float(_LOG[small[:-1], small[1:]].mean()) if len(small) > 1 else 0.0,
         float(-(p * np.log2(p)).sum()),
         covered / n,
-        float(all(c in string.hexdigits for c in candidate)),
+        float(_HEX[codes].all()),
         float(candidate.startswith(PREFIXES)),
         float(any(w in low for w in FILLER)),
         float(bool(words & set(CREDENTIAL))),
@@ -94,6 +125,12 @@ def features(candidate: str, left: str, right: str, path: str | None) -> list[fl
         float("=" in gap or ":" in gap),
         float('"' in gap or "'" in gap or "`" in gap),
         float(bool(where & set(SAMPLE_PATH))),
+        float(quoted),
+        float(bool(_BLOCK_MARK.search(left))),
+        float(_CODE[codes].sum()) / n,
+        float(" " in candidate.strip()),
+        len(p) / min(n, 64),
+        float("." in candidate and not any(c.isdigit() for c in candidate)),
     ]
 
 
@@ -149,52 +186,93 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 9, leaf: in
     return Forest(out)
 
 
-def made_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, str, str, str, int]]:
+def made_findings(n: int = 6000, seed: int = 11) -> list[tuple[str, str, str, str, int]]:
     """Labelled findings (candidate, left, right, path, label) by rule, for use where no reviewed ones are given.
 
-    Secrets: keys with a published prefix, random strings assigned to a credential's name. Others: digests and ids
-    beside the words that go with them, phone and card numbers, placeholders, identifiers made of words, long numbers.
+    Secrets: keys with a published prefix, random strings, passwords and passphrases assigned to a credential's name, key
+    blocks. Others: digests and ids beside the words that go with them, phone and card numbers, placeholders and code
+    where a credential is expected, identifiers made of words, long numbers, prose after a colon.
     """
     r = random.Random(seed)
     some = lambda a, k: "".join(r.choice(a) for _ in range(k))
     hexa, alnum = "0123456789abcdef", string.ascii_letters + string.digits
     syllables = [a + b for a in "bcdfghlmnprstvw" for b in ("a", "e", "i", "o", "an", "er", "ion", "th")]
     prose = lambda: " ".join(some(syllables, r.randint(1, 4)) for _ in range(6))
-    key = lambda: r.choice(["password", "passwd", "secret", "token", "api_key", "auth_token", "access_key", "client_secret", "pwd"])
-    sign = lambda: r.choice(["=", " = ", ": ", '="', ' = "', ': "', "='"])
+    word = lambda: r.choice([r.choice(DICTIONARY), some(syllables, r.randint(2, 3))])
+    name = lambda: r.choice(["password", "passwd", "db_password", "secret", "token", "api_key", "auth_token", "access_key", "client_secret", "pwd", "pass", "DB_PASS", "SECRET_KEY", "admin.password"])
     paths = ["src3", "src0", "src12", "config/app.env", "deploy/run.sh", "web/index.js"]
+
+    def assigned(before: str, value: str, quotes: float = 0.6) -> tuple[str, str, str]:
+        """(value, left, right) with a credential's name and sign before it, mostly in quotes."""
+        q = r.choice("\"'") if r.random() < quotes else ""
+        sign = r.choice(["=", " = ", ": ", ":", " := ", " => "])
+        return value, f"{before}{name()}{sign}{q}", q + r.choice([" ", "\n", ", ", ""])
+
+    def password() -> str:
+        kind = r.randrange(4)
+        if kind == 0:  # words with digits and signs
+            return "".join(r.choice([w, w.capitalize()]) for w in (word(), word())[: r.randint(1, 2)]) + some("0123456789", r.randint(0, 4)) + some("!@#$*&?.", r.randint(0, 2))
+        if kind == 1:  # letters exchanged for digits and signs
+            return "".join(dict(zip("aeiost", "@31057")).get(c, c) if r.random() < 0.6 else c for c in word() + word()) + some("!@#$%&0123456789", r.randint(1, 4))
+        if kind == 2:
+            return some(alnum + "!@#$%^&*-_+?.", r.randint(8, 20))
+        return "".join(word() for _ in range(r.randint(2, 4)))
+
+    def placeholder() -> str:
+        return r.choice(
+            ["changeme", "your_token", "your-password-here", "example", "password", "xxxxxxxx", "dummy", "<password>", "<your token>", "${DB_PASSWORD}", "$TOKEN", "{{ token }}", "%s", "%(password)s",
+             "********", "....", "null", "None", "undefined", "true", "false", "os.environ[", "process.env.SECRET", "request.token", "self.password", "settings.SECRET_KEY", "getpass.getpass(",
+             "get_token(user", "config.get(", "REDACTED", "[redacted]", "hidden", "insert here", "string", "String", "required", "optional", "test", "INSERT_KEY_HERE", "YOUR_API_KEY"]
+        ) + (some(string.digits, r.randint(1, 3)) if r.random() < 0.2 else "")
+
     out = []
     while len(out) < n:
         left, right, path = prose() + " ", " " + prose(), r.choice(paths)
-        kind = r.randrange(14)
+        kind = r.randrange(22)
         if kind == 0:
-            c, y = "AKIA" + some(string.ascii_uppercase + "234567", 16), 1
+            c, y = r.choice(["AKIA", "ASIA"]) + some(string.ascii_uppercase + "234567", 16), 1
         elif kind == 1:
-            c, y = r.choice(["ghp_", "sk_live_", "AIza", "npm_", "glpat-"]) + some(alnum, r.randint(20, 40)), 1
+            c, y = r.choice(["ghp_", "sk_live_", "AIza", "npm_", "glpat-"]) + some(r.choice([alnum, string.ascii_letters]), r.randint(20, 40)), 1
         elif kind in (2, 3):
-            c, left, y = some(hexa, r.choice([12, 16, 18, 20, 32, 40, 64])), left + key() + sign(), 1
+            (c, left, right), y = assigned(left, some(hexa, r.choice([12, 16, 18, 20, 32, 40, 64]))), 1
         elif kind in (4, 5):
-            c, left, y = some(alnum + "+/_-", r.randint(10, 44)), left + key() + sign(), 1
-        elif kind == 6:
+            (c, left, right), y = assigned(left, some(alnum + "+/_-", r.randint(10, 44))), 1
+        elif kind in (6, 7, 8):
+            (c, left, right), y = assigned(left, password(), 0.75), 1
+        elif kind == 9:
+            (c, left, right), y = assigned(left, " ".join(word() for _ in range(r.randint(3, 6))), 1), 1
+        elif kind == 10:
+            c, left, right, y = password(), f"{left}postgres://{word()}:", f"@{word()}.example.com/db", 1
+        elif kind == 11:
+            mark = r.choice(["RSA ", "EC ", "OPENSSH ", ""]) + "PRIVATE KEY"
+            body = "\n".join(some(alnum + "+/", 64) for _ in range(r.randint(1, 26))) + "\n" + some(alnum + "+/", r.randint(4, 60)) + r.choice(["", "=", "=="])
+            c, y = "\n" + body + "\n", 1
+            if r.random() < 0.3:
+                c, y = r.choice(["\n...\n", "\n<key here>\n", "\nYOUR PRIVATE KEY\n", "\n" + prose() + "\n", " and ends with "]), 0
+            left, right = f"{left}-----BEGIN {mark}-----", f"-----END {mark}-----"
+        elif kind == 12:
             c, left, y = some(hexa, r.choice([7, 32, 40, 64]) + 1), left + r.choice(["commit ", "sha256 ", "sha1: ", "md5 = ", "checksum: ", "etag "]), 0
-        elif kind == 7:
+        elif kind == 13:
             c, left, y = some(string.digits, r.choice([10, 11, 13, 16, 16])), left + r.choice(["", "", "card ", "order ", "id=", "phone: "]), 0
-        elif kind == 8:
+        elif kind == 14:
             c, y = f"{some(string.digits, 3)}-{some(string.digits, 4)}", 0
-        elif kind == 9:
+        elif kind == 15:
             c, y = "-".join(some(hexa, k) for k in (8, 4, 4, 4, 12)), 0
             left += r.choice(["id=", "uuid ", "request ", ""])
-        elif kind == 10:
-            c, left, y = r.choice(["changeme", "your_token", "example", "password", "test", "xxxxxxxx", "dummy"]) + some(string.digits, r.randint(1, 4)), left + key() + sign(), 0
-        elif kind == 11:
+        elif kind in (16, 17):
+            (c, left, right), y = assigned(left, placeholder()), 0
+        elif kind == 18:  # prose after a colon or sign
+            (c, left, right), y = assigned(left, word() + r.choice(["", "", ",", "."]), 0), 0
+            right = " " + prose()
+        elif kind == 19:
             c, y = "_".join(r.sample(DICTIONARY, r.randint(2, 4))) + some(string.digits, r.randint(1, 3)), 0
-        elif kind == 12:
+        elif kind == 20:
             c, y = some(syllables, r.randint(2, 5)) + some(string.digits, r.randint(1, 4)), 0
         else:
-            c, left, y = "AKIA" + some(string.ascii_uppercase, 9) + "EXAMPLE", left, 0
+            c, y = r.choice(["AKIA" + some(string.ascii_uppercase, 9) + "EXAMPLE", r.choice(["eyJ", "SG.", "npm_"]) + some(syllables, 4) + " "]), 0
         if r.random() < 0.06:  # the same finding in a sample's folder is no leak
             path, y = r.choice(["tests/fixtures/a.txt", "docs/example.md"]), 0
-        if len(c) >= SHORTEST:
+        if len(c) >= SHORTEST_VALUE:
             out.append((c, left[-CONTEXT:], right[:CONTEXT], path, y))
     return out
 
@@ -205,34 +283,75 @@ def fit(findings: list[tuple[str, str, str, str, int]] | None = None) -> Forest:
     return grow(np.array([features(*f[:4]) for f in findings]), np.array([f[4] for f in findings], float))
 
 
+def _key_blocks(raw: bytes) -> list[tuple[int, int]]:
+    """Bodies of private key blocks: up to the next mark if it ends them, else the lines of key characters that follow."""
+    out, marks = [], list(_KEY_MARK.finditer(raw))
+    for m, after in zip(marks, [*marks[1:], None]):
+        if not m[1]:
+            continue
+        if after is not None and not after[1]:
+            span = m.end(), after.start()
+        else:
+            body = _KEY_LINES.match(raw, m.end())
+            span = body.span() if body else (0, 0)
+        if raw[span[0] : span[1]].strip():
+            out.append(span)
+    return out
+
+
+def _values(raw: bytes) -> list[tuple[int, int]]:
+    """Values of SHORTEST_VALUE bytes or more that are assigned to a credential's name or stand in a URL."""
+    out, low = [], raw.lower()
+    if not any(name in low for name in _NAMES):
+        return out
+    for m in _VALUE.finditer(low):
+        s, e = m.span(m.lastindex)
+        if m.lastindex == 4:
+            while e > s and raw[e - 1] in _AFTER:
+                e -= 1
+            if raw[e - 1 : e] == b".":
+                e -= 1
+        if e - s >= SHORTEST_VALUE:
+            out.append((s, e))
+    return out
+
+
 def candidates(column: pa.Array) -> list[list[tuple[int, int]]]:
-    """For each text the (first byte, end byte) of its candidates, in order."""
+    """For each text the (first byte, end byte) of its candidates, in order; none overlaps another."""
     offsets, whole = text_column(column)
     out: list[list[tuple[int, int]]] = [[] for _ in range(len(column))]
     for lo, hi in slices(offsets):
         data = whole[offsets[lo] : offsets[hi]]
         at = offsets[lo : hi + 1] - offsets[lo]
+        runs: dict[int, list[tuple[int, int]]] = defaultdict(list)
         starts, ends, doc = word_bounds(data, at, _RUN)
         long = np.flatnonzero(ends - starts >= SHORTEST)
         starts, ends, doc = starts[long], ends[long], doc[long]
-        if not len(starts):
-            continue
+        raw = data.tobytes()
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
-        for k in np.flatnonzero(digits[ends] > digits[starts]):
+        known = np.isin(data[starts], sorted({ord(p[0]) for p in PREFIXES} | set(b"+/-")))
+        for k in np.flatnonzero((digits[ends] > digits[starts]) | known):
             s, e = int(starts[k]), int(ends[k])
             while s < e and data[s] in b"+/-":
                 s += 1
             while e > s and data[e - 1] in b"+/-":
                 e -= 1
-            if e - s >= SHORTEST:
-                out[lo + doc[k]].append((s - int(at[doc[k]]), e - int(at[doc[k]])))
-        raw = data.tobytes()
-        if b"PRIVATE KEY-----" in raw:
-            for d in range(hi - lo):
-                blocks = [m.span(1) for m in _KEY_BLOCK.finditer(raw[at[d] : at[d + 1]])]
-                if blocks:
-                    rest = [c for c in out[lo + d] if not any(a <= c[0] < b for a, b in blocks)]
-                    out[lo + d] = sorted(rest + [b for b in blocks if b[1] > b[0]])
+            if e - s >= SHORTEST and (digits[e] > digits[s] or raw[s : s + 16].startswith(_PREFIXES)):
+                runs[int(doc[k])].append((s - int(at[doc[k]]), e - int(at[doc[k]])))
+        low = raw.lower()
+        sign = any(name in low for name in _NAMES)
+        for d in range(hi - lo) if sign or b"-----" in raw else runs:
+            text = raw[at[d] : at[d + 1]]
+            taken: list[tuple[int, int]] = []
+            for kind in (_key_blocks(text) if b"-----" in text else [], _values(text) if sign else [], runs.get(d, [])):
+                begins = [s for s, _ in taken]
+                free = []
+                for s, e in kind:
+                    k = bisect_left(begins, e)
+                    if not (k and taken[k - 1][1] > s) and not (free and free[-1][1] > s):
+                        free.append((s, e))
+                taken = sorted(taken + free)
+            out[lo + d] = taken
     return out
 
 
@@ -250,8 +369,7 @@ def _found(column: pa.Array, paths: pa.Array, model: Forest) -> tuple[list[list[
         for s, e in found:
             c, left, right = (b.decode("utf-8", "replace") for b in (raw[s:e], raw[max(0, s - CONTEXT) : s], raw[e : e + CONTEXT]))
             words.append(c)
-            block = left.endswith("PRIVATE KEY-----")
-            x.append(features("AKIA" + c[:60] if block else c, "secret=" if block else left, right, where))
+            x.append(features(c, left, right, where))
     return spans, words, model.predict(np.array(x)) if x else np.zeros(0)
 
 
@@ -297,7 +415,8 @@ def masked_column(text: str, path: str | None, model, threshold: float, mask: st
 def scan(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
     """Documents -> (doc_id, start, end, finding, score, is_secret): a row for each candidate, by bytes of the UTF-8 text.
 
-    Null and empty texts have none. Repeated rows and rows with equal or null ids are scanned each for itself.
+    Null and empty texts have none; very long ones are scanned whole. Repeated rows and rows with equal or null ids are
+    scanned each for itself; other columns are not read. No rows: no rows.
     """
     small_batches(docs.sparkSession)
     found = findings_column(text_col, path_col, docs.sparkSession.sparkContext.broadcast(model))
@@ -306,11 +425,15 @@ def scan(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str =
 
 
 def redact(docs: DataFrame, model: Forest, text_col: str = "text", path_col: str | None = "source", chars_col: str | None = "n_chars", threshold: float = THRESHOLD, mask: str = MASK) -> DataFrame:
-    """docs with every secret replaced by `mask`, and chars_col counted anew where a text changes. Columns as given."""
+    """docs with every secret replaced by `mask`, and chars_col counted anew where a text changes. Columns and rows as given.
+
+    Null and empty texts stay as they are; repeated rows are masked each for itself. No rows: no rows.
+    """
     small_batches(docs.sparkSession)
     masked = masked_column(text_col, path_col, docs.sparkSession.sparkContext.broadcast(model), threshold, mask)
-    out = docs.withColumn("__masked", masked)
+    name = free_name(docs, "masked")
+    out = docs.withColumn(name, masked)
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.col("__masked").isNull(), F.col(chars_col)).otherwise(F.length("__masked").cast(kind)))
-    return out.withColumn(text_col, F.coalesce("__masked", text_col)).drop("__masked")
+        out = out.withColumn(chars_col, F.when(F.col(name).isNull(), F.col(chars_col)).otherwise(F.length(name).cast(kind)))
+    return out.withColumn(text_col, F.coalesce(name, text_col)).drop(name)
