@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -18,26 +19,43 @@ from pyspark.sql.functions import arrow_udf
 
 from .scratch import small_batches
 
-# Fixed values of the HTML standard: elements without text of the page, void elements, elements inside a line,
-# and elements that their next sibling closes.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "object", "canvas", "xmp", "math"}
+# Fixed values of the HTML standard: elements whose content is text up to their end tag, elements whose content is not
+# shown as text, void elements, elements inside a line, elements that their next sibling closes, elements that end an
+# open paragraph, and elements that end an open drawing or formula.
+RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noframes"}
+UNSEEN = {"noscript", "template", "select", "object", "canvas", "svg", "math"}
+FOREIGN = {"svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
     "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "br", "nobr",
 }
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Elements that end an open paragraph.
 ENDS_P = {
     "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
     "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul",
 }
 
+BREAKS_OUT = {
+    "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "i",
+    "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var",
+}
+HTML_INSIDE = {"foreignobject", "desc", "title", "annotation-xml"}
+
+#: Elements deeper than this are not nested any further (browsers have such a limit too); of a deep path the labeller
+#: sees the outermost and innermost elements, of an element with very many names the first. No text depends on it.
+DEPTH, OUTER, INNER, NAMES = 256, 16, 48, 16
 PATH_DIM, WORD_DIM, MORE = 512, 64, 6
 REST = WORD_DIM + MORE
 HIDDEN = 24
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S)
+#: Comments and the like, or a tag: end mark, name, attributes. No part of it can be read in two ways, so that a page is
+#: read once, however broken: a tag that never ends goes to the page's end.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</(?![a-zA-Z])[^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)",
+    re.S,
+)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
 _SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -50,96 +68,171 @@ class Block:
     linked: int
 
 
-@lru_cache(maxsize=20_000)
-def _marks(tag: str, attributes: str) -> tuple[str, ...]:
+def _read_marks(tag: str, attributes: str) -> tuple[str, ...]:
     """The element's name, and the parts of its class, id and role."""
     parts = [tag]
     for m in _NAMED.finditer(attributes):
         value = html.unescape(m[2] or m[3] or m[4] or "")
         parts += [f".{p}" for p in _NAME_PARTS.findall(_SPLIT_CASE.sub(" ", value).lower())]
-    return tuple(parts)
-
+    return tuple(parts[: NAMES + 1])
 
-def blocks(page: str) -> list[Block]:
-    """Leaf blocks of a page in order: text that no block element interrupts, with the path of elements around it."""
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    text: list[str] = []
-    linked = [0]
 
-    def flush() -> None:
-        joined = " ".join(html.unescape("".join(text)).split())
-        if joined:
-            out.append(Block(tuple(m for t, marks in stack if t not in INLINE for m in marks), joined, linked[0]))
-        text.clear()
-        linked[0] = 0
-
-    def close(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return
+_kept_marks = lru_cache(maxsize=20_000)(_read_marks)
 
-    def add(piece: str) -> None:
-        text.append(piece)
-        if any(t == "a" for t, _ in stack):
-            linked[0] += len(piece)
 
+def _marks(tag: str, attributes: str) -> tuple[str, ...]:
+    return _kept_marks(tag, attributes) if len(attributes) < 256 else _read_marks(tag, attributes)
+
+
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag's last slash ends the element: it does unless it belongs to a value without quotes."""
+    if not attributes.endswith("/"):
+        return False
+    tail = attributes.rsplit(None, 1)[-1]
+    before, sign, value = tail.partition("=")
+    if sign:
+        return value[:1] in ('"', "'")
+    return not attributes[: -len(tail)].rstrip().endswith("=")
+
+
+class _Page:
+    """What is open at a place in a page, and the blocks so far."""
+
+    def __init__(self, page: str):
+        self.page, self.out = page, []
+        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.count: Counter[str] = Counter()  # open elements by name
+        self.over: Counter[str] = Counter()  # elements that were too deep to be nested
+        self.link = -1  # elements that were open when the open link began
+        self.text: list[str] = []
+        self.linked = 0
+        self.path: tuple[str, ...] | None = None
+        self.last: dict[str, int] = {}
+
+    def flush(self) -> None:
+        joined = " ".join("".join(self.text).split())
+        if joined:
+            if self.path is None:
+                some = self.open if len(self.open) <= OUTER + INNER else self.open[:OUTER] + self.open[-INNER:]
+                self.path = tuple(m for _, marks in some for m in marks)
+            self.out.append(Block(self.path, joined, self.linked))
+        self.text.clear()
+        self.linked = 0
+
+    def add(self, piece: str) -> None:
+        self.text.append(html.unescape(piece))
+        if self.link >= 0:
+            self.linked += len(piece)
+
+    def push(self, tag: str, attributes: str) -> None:
+        if len(self.open) >= DEPTH:
+            self.over[tag] += 1
+            return
+        self.open.append((tag, _marks(tag, attributes)))
+        self.count[tag] += 1
+        self.path = None
+
+    def pop(self) -> str:
+        tag, _ = self.open.pop()
+        self.count[tag] -= 1
+        self.path = None
+        if len(self.open) < self.link:
+            self.link = -1
+        return tag
+
+    def close(self, tag: str) -> None:
+        if self.over[tag]:
+            self.over[tag] -= 1
+        elif self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+    def last_end(self, tag: str) -> int:
+        """Where the page's last end tag of this name begins; -1: nowhere."""
+        if tag not in self.last:
+            self.last[tag] = max((m.start() for m in _end_tag(tag).finditer(self.page)), default=-1)
+        return self.last[tag]
+
+
+@lru_cache(maxsize=64)
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.I)
+
+
+def blocks(page: str, passed: frozenset[str] = frozenset()) -> list[Block]:
+    """Leaf blocks of a page in order: text that no block element interrupts, with the path of elements around it.
+
+    One pass, linear in the page's length however broken it is. An element that is not shown and has no end tag is
+    passed over alone, so that it hides nothing of the page; `passed`: names of such that one pass has shown.
+    """
+    s = _Page(page)
+    hidden, nested, inside = "", 0, 0  # the unseen element that is open, how often, and HTML parts open in a drawing
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
+        start = n if m is None else m.start()
+        if start > at and not hidden:
+            s.add(page[at:start])
         if m is None:
-            add(page[at:])
             break
-        if m.start() > at:
-            add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag in INLINE:
-                if any(t == tag for t, _ in stack):  # an inline end tag closes no block
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == tag:
-                            del stack[k]
-                            break
-            else:
-                flush()
-                close(tag)
+        tag, is_end = m[2].lower(), bool(m[1])
+        closed = not is_end and _self_closed(m[3])
+        foreign = hidden in FOREIGN
+        if tag in RAW and not is_end and not (foreign and (closed or tag == "title")):
+            if at <= s.last_end(tag):
+                at = _end_tag(tag).search(page, at).end()
+            elif not closed:
+                break
+            continue
+        if hidden:
+            if tag == hidden:
+                nested += 0 if closed else -1 if is_end else 1
+                if nested == 0 or start >= s.last_end(tag):
+                    hidden = ""
+                continue
+            if not foreign:
+                continue
+            if tag in HTML_INSIDE:
+                inside = max(0, inside + (0 if closed else -1 if is_end else 1))
+                continue
+            if inside or is_end or tag not in BREAKS_OUT:
+                continue
+            hidden = ""
+        if tag in UNSEEN:
+            if not is_end and not closed and at <= s.last_end(tag) and tag not in passed:
+                hidden, nested, inside = tag, 1, 0
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+        if tag in INLINE:
+            if tag == "br":
+                s.text.append(" ")
+            elif tag == "a":
+                s.link = -1 if is_end or closed else len(s.open)
             continue
-        if tag == "br":
-            text.append(" ")
+        s.flush()
+        if is_end:
+            s.close(tag)
             continue
         if tag in VOID:
-            if tag not in INLINE:
-                flush()
             continue
-        if tag not in INLINE:
-            flush()
-            if tag in ENDS_P and any(t == "p" for t, _ in stack):
-                close("p")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in CLOSES.get(tag, ()):
-                    del stack[k:]
-                    break
-                if stack[k][0] not in INLINE and tag in CLOSES:
-                    break
-        if not m[3].rstrip().endswith("/"):
-            stack.append((tag, _marks(tag, m[3])))
-    flush()
-    return out
+        if tag in ENDS_P and s.count["p"]:
+            while s.pop() != "p":
+                pass
+        while s.open and s.open[-1][0] in CLOSES.get(tag, ()):
+            s.pop()
+        if not closed:
+            s.push(tag, m[3])
+    s.flush()
+    return blocks(page, passed | {hidden}) if hidden else s.out
 
 
 def _hash(x: str) -> int:
     return zlib.crc32(x.encode("utf-8", "replace")) % PATH_DIM
 
 
-@lru_cache(maxsize=20_000)
+@lru_cache(maxsize=5_000)
 def _path_vector(path: tuple[str, ...]) -> tuple[int, ...]:
     last = next((m for m in reversed(path) if m[0] != "."), "")
     return tuple({_hash(m) for m in path} | {_hash(f"last:{last}")})
@@ -201,11 +294,11 @@ class Labeller:
             self.p[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1.0
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def _run(self, d: str, b: Batch, keep: bool):
-        """Hidden states of one direction; where there is no block the state stays as it is."""
+    def _run(self, d: str, b: Batch, keep: bool, state: tuple[np.ndarray, np.ndarray] | None = None):
+        """(hidden states, what gradients need, last state) of one direction; where there is no block the state stays as it is."""
         n, t = b.which.shape
         z = (b.paths @ self.p[f"t{d}"])[b.which] + b.rest @ self.p[f"w{d}"] + self.p[f"c{d}"]
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        h, c = state or (np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32))
         hs, cache = np.zeros((n, t, HIDDEN), np.float32), []
         for k in range(t) if d == "f" else range(t - 1, -1, -1):
             g = z[:, k] + h @ self.p[f"u{d}"]
@@ -220,12 +313,23 @@ class Labeller:
                 cache.append((k, h, c, i, f, o, a, tc, m))
             h, c = h2, c2
             hs[:, k] = h
-        return hs, cache
+        return hs, cache, (h, c)
 
     def predict(self, b: Batch) -> np.ndarray:
         hs = np.concatenate([self._run(d, b, False)[0] for d in "fb"], axis=2)
         return _sigmoid(hs @ self.p["out"] + self.p["bias"])
 
+    def predict_long(self, page_blocks: list[Block], step: int = 2048) -> np.ndarray:
+        """As predict, for one page of any length: its blocks go through in parts, the state from each to the next."""
+        z = np.full(len(page_blocks), self.p["bias"][0], np.float32)
+        for j, d in enumerate("fb"):
+            state, out = None, self.p["out"][j * HIDDEN : (j + 1) * HIDDEN]
+            starts = range(0, len(page_blocks), step)
+            for lo in starts if d == "f" else reversed(starts):
+                hs, _, state = self._run(d, batch([vectors(page_blocks[lo : lo + step])]), False, state)
+                z[lo : lo + step] += hs[0] @ out
+        return _sigmoid(z)
+
     def gradients(self, b: Batch, y: np.ndarray) -> dict[str, np.ndarray]:
         runs = {d: self._run(d, b, True) for d in "fb"}
         hs = np.concatenate([runs[d][0] for d in "fb"], axis=2)
@@ -364,6 +468,9 @@ def extract_texts(model: Labeller, pages: list[str], cells: int = 8_000) -> list
     parsed = [blocks(p) for p in pages]
     out = [""] * len(pages)
     order = sorted((k for k, b in enumerate(parsed) if b), key=lambda k: len(parsed[k]))
+    while order and len(parsed[order[-1]]) > cells:
+        k = order.pop()
+        out[k] = " ".join(b.text for b, q in zip(parsed[k], model.predict_long(parsed[k]), strict=True) if q >= 0.5)
     lo = 0
     while lo < len(order):
         hi = lo + 1
@@ -377,7 +484,11 @@ def extract_texts(model: Labeller, pages: list[str], cells: int = 8_000) -> list
 
 
 def extract(pages: DataFrame, model: Labeller | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Pages -> (page_id, url, text, n_chars), a row for each row. A null or empty page, and one without an article, has an empty text."""
+    """Pages -> (page_id, url, text, n_chars), a row for each row, whatever its id: repeated rows have theirs each.
+
+    A null or empty page, and one without an article, has an empty text. A page of any length is read whole, in one
+    pass; a broken one as browsers do. Other columns are not read. No rows: no rows.
+    """
     small_batches(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(model or train())
 
