@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
@@ -13,14 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import LOWER, WORD, mixed, prefix_hash, slices, sliding_min, span_hash, text_column, word_bounds
-from .scratch import Scratch, small_batches
+from .scratch import Scratch, free_name, small_batches
 
 #: Words of a window; any shared run of this many words is found.
 WINDOW = 10
 #: Words of a k-gram. WINDOW - GRAM + 1 k-grams make a window, and the least of their hashes is its fingerprint.
 GRAM = 5
-#: Windows of one broadcast index (about 300 bytes each); a larger benchmark is taken in blocks.
+#: Windows of one broadcast index (about 300 bytes each, if words are of usual length); a larger benchmark is taken in blocks.
 BLOCK_WINDOWS = 200_000
+_WORDS = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
 def _grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -136,7 +138,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> I
     for item, text in benchmark.select(F.col(item_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator():
         if item is None:
             continue
-        n = max(1, len((text or "").split()))
+        n = max(1, len(_WORDS.findall((text or "").encode("utf-8", "replace"))))
         if block and size + n > limit:
             yield Index(block)
             block, size = [], 0
@@ -168,15 +170,16 @@ def decontaminate(
 ) -> DataFrame:
     """Documents -> (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans, items), a row for each row.
 
-    hit_spans: [lo, hi) in words, merged and in order. A null or empty text has no words and no hits. Items with a
-    null id or without words occur nowhere; items that repeat an id count as one. An empty benchmark hits nothing.
+    hit_spans: [lo, hi) in words, merged and in order. A null or empty text has no words and no hits; a very long one is
+    read whole. Rows that repeat, or have equal or null ids, have results each. Items with a null id or without words
+    occur nowhere; items that repeat an id count as one. An empty benchmark hits nothing. Other columns are not read.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
     blocks = _blocks(benchmark, item_col, item_text_col, block_windows)
     index, more = next(blocks), next(blocks, None)
-    found = base.select("doc_id", _hits("__text", spark.sparkContext.broadcast(index)).alias("r"))
+    found = base.select("doc_id", _hits("body", spark.sparkContext.broadcast(index)).alias("r"))
     if more is None:
         found = found.select("doc_id", "r.n_words", F.col("r.spans").alias("hit_spans"), "r.items")
     else:  # beyond one block: a pass for each, and the hits of a row meet again by its number
@@ -185,7 +188,7 @@ def decontaminate(
         passes = [index, more]
         hits = None
         while passes:
-            part = base.select("row", _hits("__text", spark.sparkContext.broadcast(passes.pop(0))).alias("r"))
+            part = base.select("row", _hits("body", spark.sparkContext.broadcast(passes.pop(0))).alias("r"))
             part = scratch.table(part.select("row", "r.*").where("size(spans) > 0 or n_words > 0"))
             hits = part if hits is None else hits.union(part)
             if not passes and (more := next(blocks, None)) is not None:
@@ -214,12 +217,12 @@ def decontaminate(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """docs without the rows that hold a benchmark window. Columns as given."""
+    """docs without the rows that hold a benchmark window. Columns and rows as given; no rows: no rows."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    scratch, out, n = Scratch(spark, "decontam"), docs, 0
+    scratch, out, n, name = Scratch(spark, "decontam"), docs, 0, free_name(docs, "hits")
     for index in _blocks(benchmark, item_col, item_text_col, block_windows):
         out, n = scratch.table(out) if n else out, n + 1  # one index at a time in a worker
         hits = _hits(text_col, spark.sparkContext.broadcast(index))
-        out = out.withColumn("__hits", hits).where("size(__hits.spans) = 0").drop("__hits")
+        out = out.withColumn(name, hits).where(F.size(f"{name}.spans") == 0).drop(name)
     return out

@@ -7,15 +7,15 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .bytesnp import LOWER, WORD, prefix_hash, slices, span_hash, text_column, word_bounds
-from .scratch import small_batches
+from .scratch import Scratch, free_name, small_batches
 
-#: Labelled documents that training takes at most, least hash of the id first.
-TRAIN_ROWS = 12_000
+#: Labelled documents, and bytes of them, that training takes at most, least hash of the id first.
+TRAIN_ROWS, TRAIN_BYTES = 12_000, 64 << 20
 THRESHOLD = 0.3
 #: A word counts as itself and by its first so many bytes.
 PREFIXES = (4, 5, 6)
@@ -201,26 +201,38 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    """A model from at most `rows` labelled documents that aren't held out. An id's label is 1 if any of its labels is."""
-    small_batches(docs.sparkSession)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> Model:
+    """A model from at most `rows` labelled documents of `size` bytes together that aren't held out.
+
+    An id's label is 1 if any of its labels is; of documents with equal ids the one with the least hash of its text is
+    taken, so that neither repeated rows nor repeated ids add to the sample. Labels other than 0 and 1, null ids and null
+    texts are left out. Without labels of both kinds every text scores the leak.
+    """
+    scratch = Scratch(docs.sparkSession, "toxicity")
     known = (
-        labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
-        .where(F.col("__label").isin(0, 1) & F.col("__id").isNotNull() & ~held_out("__id"))
-        .groupBy("__id")
-        .agg(F.max("__label").alias("__label"))
-        .orderBy(F.xxhash64("__id"), "__id")
+        labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label"))
+        .where(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out("key"))
+        .groupBy("key")
+        .agg(F.max("label").alias("label"))
+        .orderBy(F.xxhash64("key"), "key")
         .limit(rows)
     )
-    sample = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(known), F.col(id_col) == F.col("__id"))
-    got = sample.select("__id", "__label", F.col(text_col).alias("__text")).toArrow().sort_by([("__id", "ascending"), ("__text", "ascending")])
-    return train(got["__text"], got["__label"].to_numpy())
+    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    one = texts.join(F.broadcast(known), "key").groupBy("key", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    one = scratch.table(one.withColumn("size", F.octet_length("text").cast("long")))
+    # At most `rows` numbers in one window: those that fit into `size` together, an oversized one being passed over.
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("key"), "key").rowsBetween(Window.unboundedPreceding, 0))
+    some = one.select("key", "size").where(F.col("size") <= size).select("key", upto.alias("upto")).where(F.col("upto") <= size).select("key")
+    got = one.join(F.broadcast(some), "key", "left_semi").select("key", "label", "text").toArrow().sort_by([("key", "ascending")])
+    return train(got["text"], got["label"].to_numpy())
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Documents -> (doc_id, held_out, score, predicted, offending), a row for each row.
 
-    A null or empty text has no sentences and scores the leak. offending: byte spans of sentences with p over 0.5.
+    A null or empty text has no sentences and scores the leak; a very long one is scored whole. Repeated rows and rows
+    with equal ids are scored each for itself; a null id is not held out. offending: byte spans of sentences with p
+    over 0.5. Other columns are not read. No rows: no rows.
     """
     small_batches(docs.sparkSession)
     r = scores_column(text_col, docs.sparkSession.sparkContext.broadcast(model))
@@ -229,7 +241,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without those that score `threshold` or more. Columns as given."""
+    """docs without those that score `threshold` or more. Columns and rows as given; no rows: no rows."""
     small_batches(docs.sparkSession)
+    name = free_name(docs, "toxicity")
     r = scores_column(text_col, docs.sparkSession.sparkContext.broadcast(model))
-    return docs.withColumn("__tox", r).where(F.col("__tox.score") < threshold).drop("__tox")
+    return docs.withColumn(name, r).where(F.col(f"{name}.score") < threshold).drop(name)
