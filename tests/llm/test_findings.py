@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 import pyarrow as pa
+import pytest
 
-from barloom.llm import decontam, paragraphs, tokens
+from barloom.llm import decontam, licenses, paragraphs, suffixdedup, tokens
 
 
 def test_hits_of_a_text_after_a_hit_at_the_end():
@@ -31,3 +35,100 @@ def test_short_paragraphs_have_rows(spark):
     want = {(0, 0, 1, 0, 0, 3, True), (1, 0, 1, 0, 0, 3, False), (4, 0, 1, 0, 0, 3, False)}
     want |= {(0, 3, 9, 0, 3, 3, True), (1, 3, 9, 0, 3, 3, False), (2, 2, 10, 0, 3, 3, False)}
     assert have == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_rows_of_one_id_are_texts_of_their_own(spark, kind):
+    one = lambda k: k if kind == "long" else f"id{k}"
+    words = lambda c: " ".join(f"{c}{k}" for k in range(60))
+    rows = [(one(1), words("a")), (one(1), words("b")), (one(1), words("b")), (one(2), "x\n" + words("b")), (one(3), words("c")), (None, words("b"))]
+    got = paragraphs.dedup(spark.createDataFrame(rows, f"doc_id {kind}, text string")).collect()
+    size = len(words("b"))
+    have = sorted((g.kind, g.doc_id, g.start, g.end, g.component_id, g.component_start, g.n_members, g.kept) for g in got)
+    assert [h for h in have if h[0] == "paragraph"] == [("paragraph", one(1), 0, size, one(1), 0, 2, True), ("paragraph", one(2), 2, size + 2, one(1), 0, 2, False)]
+    assert {h[1] for h in have if h[0] == "passage"} == {one(1), one(2)} and len(have) == 4
+
+
+def test_every_word_of_a_chain_of_passages_stays_somewhere(spark):
+    some = lambda c: " ".join(f"{c}{k}" for k in range(120))
+    x, y, z = some("x"), some("y"), some("z")
+    texts = {1: f"p q {x} {y} r", 2: f"s {x} {y} {z} t", 3: f"u {y} {z} v", 4: f"w {x} w"}
+    got = paragraphs.dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).where("kind = 'passage'").collect()
+    assert {g.doc_id for g in got} == {1, 2, 3, 4} and not any(g.kept for g in got if g.doc_id in (3, 4))
+    left = ""
+    for d, t in texts.items():
+        raw = bytearray(t.encode())
+        for g in got:
+            if g.doc_id == d and not g.kept:
+                raw[g.start : g.end] = b" " * (g.end - g.start)
+        left += raw.decode() + " "
+    assert set(f"{x} {y} {z}".split()) <= set(left.split())
+
+
+def test_passages_repeated_in_one_text(spark):
+    part = " ".join(f"k{k}" for k in range(80))
+    got = paragraphs.dedup(spark.createDataFrame([(5, f"a {part} b {part} c")], "doc_id long, text string")).where("kind = 'passage'").collect()
+    assert len(got) >= 1 and all(g.doc_id == 5 and g.n_members == 2 for g in got)
+
+
+def test_anchors_of_a_text_of_many_parts(monkeypatch):
+    """Parts of any length give the anchors that the whole text has: every window has one."""
+    import numpy as np
+
+    text = pa.record_batch({"text": pa.array([" ".join(f"w{(k * k) % 911}" for k in range(3000))])})
+    (_, w), = paragraphs._slices_of(text)
+    whole = paragraphs._anchor_places(w)
+    for size in (1, 64, 1000):
+        monkeypatch.setattr(paragraphs, "_SEGMENT", size)
+        assert np.array_equal(paragraphs._anchor_places(w), whole)
+
+
+def test_copies_are_told_by_their_bytes(spark, monkeypatch):
+    """Even if all polynomial hashes of gram surroundings were alike, other bytes are another class."""
+    import random
+
+    r = random.Random(3)
+    some = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    gram = some(8)
+    texts = [some(40) + gram + some(40) for _ in range(6)]
+    texts += [texts[0], texts[1][:60] + some(28)]
+    got = suffixdedup.dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), window=40, gram=8).collect()
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - 39):
+            seen[t[i : i + 40]] = seen.get(t[i : i + 40], 0) + 1
+    for g in got:
+        t, hit = texts[g.doc_id], set()
+        for i in range(len(t) - 39):
+            if seen[t[i : i + 40]] > 1:
+                hit |= set(range(i, i + 40))
+        assert g.n_removed == len(hit)
+
+
+def test_known_licenses_are_read_as_documents_are(spark):
+    """Copyright lines, titles and rules in a known text count no more than in a document."""
+    text = "The X License\n" + "=" * 500 + "\nCopyright (c) 2020 Some Body\n\nAll rights of this software are given to\nyou."
+    known = [("X", text)]
+    rows = [(0, text), (1, text.replace("Some Body", "Another").replace("=", "-")), (2, text.replace("you", "them"))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known=known).collect()
+    assert sorted((g.doc_id, g.line, g.license) for g in got) == [(0, -1, "X"), (1, -1, "X")]
+
+
+FOLDER = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no published license texts here")
+def test_whole_published_licenses_are_found(spark):
+    files = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    rows = []
+    for k, f in enumerate(files):
+        with open(f"{FOLDER}/{f}", encoding="utf-8") as h:
+            text = h.read()
+        rows += [(k, text), (100 + k, "Copyright (C) 2019 Some Body\n\n" + text.upper().replace("\n", "\n   ")), (200 + k, text.replace("the", "a", 1))]
+    mit = next(t for n, t in licenses.KNOWN if n == "MIT" and len(t) > 500)
+    bsd = next(t for n, t in licenses.KNOWN if n == "BSD-3-Clause" and len(t) > 500)
+    rows += [(300, "The MIT License (MIT)\n\nCopyright (c) 2020 A B\n\n" + mit), (301, "MIT License\n\n" + re.sub(r"(.{50}\S*) ", r"\1\n", mit))]
+    rows += [(302, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + bsd.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("line = -1").collect()
+    want = {(k + d, n) for k, n in enumerate(files.values()) for d in (0, 100)} | {(300, "MIT"), (301, "MIT"), (302, "BSD-3-Clause")}
+    assert {(g.doc_id, g.license) for g in got} == want

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,13 +14,24 @@ import xxhash
 
 from barloom.llm import decontam, embedindex, htmltext, licenses, packing, paragraphs, scratch, secretscan, simhash, suffixdedup, tokens, toxicity
 
+def _names() -> list[str]:
+    """Every name that the operators' code mentions: all of them stand in the tables as columns of the user's own."""
+    folder = Path(decontam.__file__).parent
+    found = {n for f in folder.glob("*.py") for n in re.findall(r"""["']([a-z_][a-z_0-9]*)["']""", f.read_text(encoding="utf-8"))}
+    return sorted(found - {"doc_id", "text", "r", "source", "n_chars"})
+
+
 LONG = " ".join(f"w{k % 977}x{k % 31}" for k in range(60_000))
-CLASH = "doc_id long, text string, id long, fp long, rid long, h long, r string, lines string, score double, __x int"
+CLASH = _names()
+
 
+def docs(spark, texts, ids=None, kind="long"):
+    """A table of texts whose other columns have the names that the code uses."""
+    from pyspark.sql import functions as F
 
-def docs(spark, texts, ids=None):
     ids = range(len(texts)) if ids is None else ids
-    return spark.createDataFrame([(i, t, 1, 2, 3, 4, "r", "l", 0.5, 6) for i, t in zip(ids, texts, strict=True)], CLASH)
+    rows = spark.createDataFrame([(i, t, "r") for i, t in zip(ids, texts, strict=True)], f"doc_id {kind}, text string, r string")
+    return rows.select("*", *(F.lit(7).alias(n) for n in CLASH))
 
 
 def awkward(spark):
@@ -57,14 +69,14 @@ def vectors(seed=1, n=300, dim=16):
     return np.concatenate([base, near, base[:40], near[:10] * 3]).astype(np.float32)
 
 
-@pytest.mark.parametrize("block, per_cell", [(2048, 800), (16, 20)])
-def test_embeddings(spark, block, per_cell):
+@pytest.mark.parametrize("block, per_cell, recall", [(2048, 800, 1.0), (16, 20, 1.0), (64, 8, 0.999)])
+def test_embeddings(spark, block, per_cell, recall):
     x = vectors()
     rows = [(k, [float(v) for v in row], 1) for k, row in enumerate(x)]
     n = len(rows)
     rows += [(n, None, 1), (n + 1, [0.0] * 16, 1), (n + 2, [float("nan")] * 16, 1), (n + 3, [float("inf")] + [0.0] * 15, 1), (n + 4, [], 1), (None, rows[0][1], 1)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
-    got = {r.vec_id: r for r in embedindex.near_duplicates(table, block=block, per_cell=per_cell).collect()}
+    got = {r.vec_id: r for r in embedindex.near_duplicates(table, block=block, per_cell=per_cell, recall=recall).collect()}
     u = x.astype(float)
     u /= np.linalg.norm(u, axis=1)[:, None]
     near = u @ u.T >= 0.9
@@ -72,12 +84,56 @@ def test_embeddings(spark, block, per_cell):
     label = groups(n, zip(*np.nonzero(near)))
     links = sum(got[k].n_links for k in range(n))
     assert links >= 0.99 * near.sum() and all(got[k].n_links <= near[k].sum() for k in range(n))
-    if per_cell == 800:
+    if recall == 1:
         assert [got[k].n_links for k in range(n)] == near.sum(1).tolist()
         assert [got[k].component_id for k in range(n)] == label
     assert all((got[k].n_links, got[k].component_id, got[k].kept) == (0, k, True) for k in [*range(n, n + 5), None])
 
 
+def test_embeddings_of_extreme_size(spark):
+    """Squares that overflow or vanish, doubles and string ids: the cosine is what counts."""
+    rows = [("a", [1e200, 0.0]), ("b", [1e200, 1e199]), ("c", [3e-200, 0.0]), ("d", [-1.0, 0.0]), ("d", [0.0, 5e-324]), ("e", [1.0, None])]
+    got = embedindex.near_duplicates(spark.createDataFrame(rows, "vec_id string, embedding array<double>")).collect()
+    assert sorted((g.vec_id, g.n_links, g.component_id, g.kept) for g in got) == [("a", 2, "a", True), ("b", 2, "a", False), ("c", 2, "a", False), ("d", 0, "d", True), ("d", 0, "d", True), ("e", 0, "e", True)]
+
+
+def test_block_pairs():
+    """Every vector is dealt to the block pairs that it must meet others in, and to each once."""
+    r = np.random.default_rng(0)
+    members, probes = r.integers(1, 4, 5), r.integers(0, 4, 5)
+    cell = r.integers(0, 5, 60)
+    probe, mix = (r.random(60) < 0.5) & (probes[cell] > 0), r.integers(0, 1000, 60).astype(np.uint64)
+    want = []
+    for k in range(60):
+        m, p = int(members[cell[k]]), int(probes[cell[k]])
+        if probe[k]:
+            want += [(k, a, m + int(mix[k]) % p, True) for a in range(m)]
+        else:
+            own = int(mix[k]) % m
+            want += [(k, own, b, False) for b in range(own, m)] + [(k, b, own, True) for b in range(own)] + [(k, own, m + b, False) for b in range(p)]
+    got = list(zip(*(x.tolist() for x in embedindex._dealt(cell, probe, mix, members, probes)), strict=True))
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_partners_in_any_direction_are_visited(seed):
+    """Partners at the threshold, in directions other than those the radius was fitted on: nearly all of their cells are visited."""
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(20, 32))
+    x = centres[r.integers(0, 20, 3000)] + r.normal(size=(3000, 32)) * 0.6
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = embedindex.fit(x, len(x), 0.9, 0.999, 50)
+    assert len(index.books[0]) >= 4
+    towards = centres[r.integers(0, 20, 3000)] + r.normal(size=(3000, 32)) * 0.3
+    towards -= (towards * x).sum(1)[:, None] * x
+    y = 0.9 * x + 0.19**0.5 * towards / np.linalg.norm(towards, axis=1)[:, None]
+    own_x, rx, cx = index.cells(x)
+    own_y, ry, cy = index.cells(y)
+    met = {(a, b) for a, b in zip(rx.tolist(), cx.tolist(), strict=True)}, {(a, b) for a, b in zip(ry.tolist(), cy.tolist(), strict=True)}
+    found = [own_x[k] == own_y[k] or (k, own_y[k]) in met[0] or (k, own_x[k]) in met[1] for k in range(len(x))]
+    assert np.mean(found) >= 0.99
+
+
 def test_embeddings_empty(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedindex.near_duplicates(table).count() == 0
@@ -112,6 +168,39 @@ def test_plan_places_everything(seed):
         plain = packing._best_fit(plain, s, n, 256)
     assert sum(t for t, _ in runs) <= sum(t for t, _ in plain)
     assert packing.plan({}) == [] and packing.plan({256: 3}, size=256) == [(3, Counter({256: 1}))]
+    assert packing.plan({1: 5}, size=256) == [(1, Counter({1: 5}))] and sum(n for n, _ in packing.plan({200: 10**9, 56: 10**9}, size=256)) == 10**9
+
+
+@pytest.mark.parametrize("folder, most", [("sf0.001", 96), ("sf0.01", 481), ("sf0.1", 4936)])
+def test_configurations_place_the_large_pieces(folder, most):
+    """On the supplied texts the plan has as few sequences as the tokens fill, and its configurations hold what they placed."""
+    import pyarrow.parquet as pq
+
+    e, histogram = tokens.Encoder(tokens.default_path()), Counter()
+    for part in pq.ParquetFile(f"/root/testdata/{folder}/documents.parquet").iter_batches(2000, columns=["text"]):
+        for ids in e.encode(part["text"]):
+            n = len(ids) + 1
+            histogram[2048] += n // 2048
+            histogram[n % 2048] += n % 2048 > 0
+    histogram = {s: n for s, n in histogram.items() if n}
+    assert sum(n for n, _ in packing.plan(histogram)) == most == -(-sum(s * n for s, n in histogram.items()) // 2048)
+    large = sum(n for s, n in histogram.items() if 2048 // packing.SMALL <= s < 2048)
+    for groups, free in packing.GROUPS:
+        runs, left = packing.grouped_plan(histogram, 2048, groups, free)
+        assert left <= 2 * groups and left <= 0.2 * large
+
+
+def test_configurations_are_optimal():
+    """The linear programme's value against all configurations of a small case."""
+    import itertools
+
+    sizes, demand, room = np.array([7, 5, 3]), np.array([10.0, 10.0, 10.0]), 12
+    shapes = packing._configurations(sizes, demand, room)
+    value = sum(x for _, x in shapes)
+    assert all((c * sizes).sum() <= room for c, _ in shapes) and (sum(c * x for c, x in shapes) >= demand - 1e-6).all()
+    every = [c for c in itertools.product(range(2), range(3), range(5)) if sum(a * b for a, b in zip(c, sizes, strict=True)) <= room and any(c)]
+    duals = [p for p in itertools.product(*[np.arange(0, 1.01, 1 / 12)] * 3) if all(sum(a * b for a, b in zip(c, p, strict=True)) <= 1 + 1e-9 for c in every)]
+    assert abs(value - 12.5) < 1e-6 and value >= max(sum(a * b for a, b in zip(p, demand, strict=True)) for p in duals) - 1e-6
 
 
 def test_packing(spark):
@@ -313,6 +402,9 @@ def test_toxicity(spark):
     assert len(scored) == rows.count() and all(0 <= s.score <= 1 for s in scored)
     kept = toxicity.reject(table, model)
     assert kept.columns == table.columns and kept.count() == labels.count(0) and toxicity.reject(rows, model).count() == rows.count()
+    assert kept.first()[2:] == table.first()[2:]
+    few = toxicity.fit(table, known, size=2000)
+    assert len(few.keys) < len(model.keys) and len(toxicity.fit(table.union(table), known).keys) == len(model.keys)
     assert toxicity.score(rows.limit(0), model).count() == 0
     none = toxicity.fit(table, known.limit(0))
     assert toxicity.score(rows, none).where("predicted = 1").count() == 0
@@ -346,6 +438,7 @@ def test_secrets(spark):
     assert clean[0] == "pärt [SECRET] of it" and clean[2] == texts[2] and clean[4] is None and clean[5] == ""
     rows = awkward(spark)
     assert secretscan.redact(rows, forest, path_col="r").columns == rows.columns and secretscan.redact(rows, forest, path_col=None).count() == rows.count()
+    assert [c for c in secretscan.redact(table, forest, path_col=None).first()[2:]] == [c for c in table.first()[2:]]
     assert secretscan.scan(rows.limit(0), forest, path_col=None).count() == 0
 
 

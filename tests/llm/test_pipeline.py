@@ -51,6 +51,14 @@ def test_run_gives_the_last_stage(spark, data, stages):
     assert got.select(key).exceptAll(stages[-1][2].select(key)).isEmpty() and got.count() == stages[-1][2].count()
 
 
+def test_run_on_an_empty_table(spark, data, tmp_path):
+    import corpus_pipeline
+
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{data}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_rest_works_without_this_part(tmp_path):
     """With the folders and the pipeline deleted, the entry still imports and has the other queries."""
     import subprocess
