@@ -6,7 +6,7 @@ A passage in the midst of other text shares no paragraph. Of every PASSAGE words
 GRAM-word hash is an anchor, so any passage of PASSAGE words or more that stands in two places word for word has an anchor in
 common; runs of such anchors are returned beside the paragraphs.
 
-Rows are told apart by 128 bits of their id and text, whatever the id's type; classes of equal paragraphs have numbers
+Rows are told apart by their id, whatever its type, and a hash of their text; classes of equal paragraphs have numbers
 of their own, so that all links and components are of plain longs.
 """
 
@@ -75,10 +75,13 @@ def _slices_of(batch):
         yield lo, Words(whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
 
 
+_ROW = ["id", "r1"]
+
+
 def _named(batch, rows: np.ndarray) -> dict:
     """Id and row identity of the rows."""
     at = pa.array(rows)
-    return {k: batch[k].take(at) for k in ("id", "r1", "r2")}
+    return {k: batch[k].take(at) for k in _ROW}
 
 
 def _paragraphs(min_words: int):
@@ -287,7 +290,7 @@ def _anchors(batches):
 
 
 def _components(classes: DataFrame, base: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """Classes (cid, r1, r2, para, bands) -> (cid, root) of those that hang together with others.
+    """Classes (cid, id, r1, para, bands) -> (cid, root) of those that hang together with others.
 
     Each class of a list is verified against the list's middle m: the class that shares the most with others, by the
     sizes of its lists. What is linked with it needs no further comparison; the rest, and only the rest, is compared
@@ -304,8 +307,8 @@ def _components(classes: DataFrame, base: DataFrame, threshold: float, scratch:
     middle = scratch.table(met.groupBy("key").agg(F.max_by("cid", order).alias("v")))
 
     some = classes.join(scratch.table(met.select("cid").distinct()), "cid", "left_semi")
-    wanted = scratch.table(some.groupBy("r1", "r2").agg(F.collect_list(F.struct("para", "cid")).alias("wanted")))
-    texts = with_ids(base, ["r1", "r2"], wanted, ["r1", "r2"]).join(wanted, ["r1", "r2"])
+    wanted = scratch.table(some.groupBy(*_ROW).agg(F.collect_list(F.struct("para", "cid")).alias("wanted")))
+    texts = with_ids(base, _ROW, wanted, _ROW).join(wanted, _ROW)
     sets = scratch.table(texts.select("text", "wanted").mapInArrow(_shingle_sets, "u long, set array<long>, size long"))
     compare = arrow_udf(_compared, "struct<both:bigint,apart:array<bigint>>").asNondeterministic()
 
@@ -353,42 +356,42 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     """
     scratch = Scratch(docs.sparkSession, "paragraphs")
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    base = base.select("id", F.xxhash64("id", "text").alias("r1"), F.xxhash64(F.lit(29), "text", "id").alias("r2"), "text")
-    if not base.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        base = scratch.table(base.dropDuplicates(["r1", "r2"]))
-    name = [base.schema["id"], T.StructField("r1", T.LongType()), T.StructField("r2", T.LongType())]
+    base = base.select("id", F.xxhash64("text").alias("r1"), "text")
+    if not base.groupBy(*_ROW).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        base = scratch.table(base.dropDuplicates(_ROW))
+    name = [base.schema["id"], T.StructField("r1", T.LongType())]
     numbers = lambda *names: [T.StructField(c, T.LongType()) for c in names]
     kind = T.StructType([*name, *numbers("para", "start", "end", "words", "d1", "d2"), T.StructField("bands", T.ArrayType(T.LongType()))])
     paras = scratch.table(base.mapInArrow(_paragraphs(min_words), kind))
-    least = F.min(F.struct("id", "start", "r1", "r2", "para")).alias("least")
+    least = F.min(F.struct("id", "start", "r1", "para")).alias("least")
     classes = paras.groupBy("d1", "d2").agg(least, F.first("bands").alias("bands"), F.count("*").alias("n"))
-    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("cid"), "d1", "d2", "least", "least.r1", "least.r2", "least.para", "bands", "n"))
-    found = _components(classes.where("size(bands) > 0"), base, threshold, scratch)
-    named = classes.select("cid", "d1", "d2", "least", "n").join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    sizes = named.groupBy("root").agg(F.sum("n").alias("members"), F.min("least").alias("least")).where("members > 1")
+    classes = scratch.table(classes.select(F.monotonically_increasing_id().alias("cid"), "d1", "d2", "least.*", "bands", "n"))
+    found = _components(classes.where("size(bands) > 0").select("cid", "id", "r1", "para", "bands"), base, threshold, scratch)
+    named = classes.select("cid", "d1", "d2", "id", "start", "r1", "n").join(found, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    sizes = named.groupBy("root").agg(F.sum("n").alias("members"), F.min(F.struct("id", "start", "r1")).alias("least")).where("members > 1")
     grouped = scratch.table(named.select("d1", "d2", "root").join(sizes, "root").select("d1", "d2", "members", "least"))
-    here = (F.col("r1") == F.col("least.r1")) & (F.col("r2") == F.col("least.r2"))
-    paragraphs = paras.join(grouped, ["d1", "d2"]).select(
+    here = (F.col("id") == F.col("least.id")) & (F.col("r1") == F.col("least.r1")) & (F.col("start") == F.col("least.start"))
+    paragraphs = paras.drop("bands").join(grouped, ["d1", "d2"]).select(
         F.col("id").alias("doc_id"), F.lit("paragraph").alias("kind"), "start", "end", F.col("words").alias("n_words"),
-        F.col("least.id").alias("component_id"), F.col("least.start").alias("component_start"), F.col("members").alias("n_members"),
-        (here & (F.col("start") == F.col("least.start"))).alias("kept"),
+        F.col("least.id").alias("component_id"), F.col("least.start").alias("component_start"), F.col("members").alias("n_members"), here.alias("kept"),
     )
     return paragraphs.unionByName(_passages(base, T.StructType([*name, *numbers("place", "start", "end", "gram")]), scratch))
 
 
 def _passages(base: DataFrame, kind: T.StructType, scratch: Scratch) -> DataFrame:
     rows = scratch.table(base.mapInArrow(_anchors, kind))
-    least = F.min(F.struct("id", "start", "r1", "r2")).alias("least")
-    full = scratch.table(rows.groupBy("gram").agg(F.count("*").alias("n"), least).where("n > 1"))
-    own = (F.col("r1") == F.col("least.r1")) & (F.col("r2") == F.col("least.r2")) & (F.col("start") == F.col("least.start"))
-    met = rows.join(full, "gram").withColumn("own", own)
-    by = Window.partitionBy("r1", "r2").orderBy("place")
+    least = F.min(F.struct("id", "start")).alias("least")
+    full = rows.groupBy("gram").agg(F.count("*").alias("n"), least).where("n > 1")
+    # Of rows with one id that have the same words at one place, each counts as the first: both stay.
+    own = (F.col("id") == F.col("least.id")) & (F.col("start") == F.col("least.start"))
+    met = rows.join(scratch.table(full), "gram").withColumn("own", own).drop("gram")
+    by = Window.partitionBy(*_ROW).orderBy("place")
     before = F.lag("place").over(by)
     # Within a common passage one anchor follows the other within PASSAGE - GRAM + 1 words.
     new = before.isNull() | (F.col("place") - before > PASSAGE - GRAM + 1)
     run = met.withColumn("run", F.sum(new.cast("int")).over(by))
-    runs = run.groupBy("r1", "r2", "run").agg(
-        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
+    runs = run.groupBy(*_ROW, "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("place") - F.min("place") + GRAM).alias("n_words"),
         F.max("n").alias("n_members"), F.min("least").alias("least"), F.bool_or("own").alias("kept"),
     )
     return runs.select(
