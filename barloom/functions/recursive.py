@@ -1,119 +1,167 @@
-"""Exponential and Wilder smoothing: linear recurrences, scanned in blocks.
+"""Exponential and Wilder smoothing: linear recurrences, run over each symbol's bars in order.
 
-y = (1 - a) * y_before + a * x is an affine map of what came before, so a block of bars is summarised by its decay and
-its own contribution (a plain aggregate), the state at each block's start follows from those few rows, and all blocks
-then run in parallel. One symbol may hold any share of the bars.
+The bars are dealt by symbol and sorted, as the windows of all other indicators need them too, and go through in batches:
+what a recurrence keeps from one batch to the next are a few numbers, so a task's memory doesn't grow with a symbol's history,
+and recurrences of recurrences (MACD's signal, ADX) need no second pass. Inside a batch they are matrix products.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.staging import staged
 from .indicators import by_time, true_range, whole_days
 
+#: Bars that are smoothed at once.
 BLOCK = 4096
+_STEP = 128
+
+
+@lru_cache(maxsize=256)
+def _kernel(a: float) -> tuple[np.ndarray, np.ndarray]:
+    """What _STEP inputs add to the _STEP outputs after them, and how much of the state before is left in each."""
+    decay = (1 - a) ** np.arange(_STEP + 1)
+    i = np.arange(_STEP)
+    lag = i[:, None] - i
+    return np.where(lag >= 0, a * decay[np.maximum(lag, 0)], 0.0), decay[1:]
+
+
+def _smooth(x: np.ndarray, a: float, y: float) -> np.ndarray:
+    """y = (1 - a) * y + a * x, from the state y on."""
+    own, left = _kernel(a)
+    out = np.empty(len(x))
+    whole = len(x) // _STEP * _STEP
+    added = x[:whole].reshape(-1, _STEP) @ own.T
+    for k, row in enumerate(added):
+        out[k * _STEP : (k + 1) * _STEP] = row + left * y
+        y = out[(k + 1) * _STEP - 1]
+    rest = len(x) - whole
+    if rest:
+        out[whole:] = own[:rest, :rest] @ x[whole:] + left[:rest] * y
+    return out
+
+
+@dataclass
+class Mean:
+    """A running mean: it starts with the plain mean of the first `seed` values; missing ones leave it as it is."""
+
+    factor: float
+    seed: int = 1
+    seen: int = 0
+    total: float = 0.0
+    value: float = float("nan")
+
+    def add(self, x: np.ndarray) -> np.ndarray:
+        """The mean after each of x, in parts of any length; not a number: missing, or no mean yet."""
+        known = ~np.isnan(x)
+        values, start = x[known], self.value
+        y = np.full(len(values), np.nan)
+        k = min(max(0, self.seed - self.seen), len(values))
+        if k:
+            self.total += float(values[:k].sum())
+            self.seen += k
+            if self.seen == self.seed:
+                self.value = y[k - 1] = self.total / self.seed
+        if len(values) > k:
+            y[k:] = _smooth(values[k:], self.factor, self.value)
+            self.value = float(y[-1])
+        return np.concatenate([[start], y])[np.cumsum(known)]
+
+
+def _by_symbol(rows: DataFrame, names: list[str], make: Callable[[dict[str, np.ndarray]], Callable], inputs: list[str], block: int) -> DataFrame:
+    """rows with the columns `names`; make: a symbol's first inputs -> a function of inputs, batch after batch, to those columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, step, started = None, None, False
+        for whole in batches:
+            for lo in range(0, whole.num_rows, block):
+                batch = whole.slice(lo, block)
+                symbols = batch["symbol"].to_pylist()
+                cuts = [0, *(k for k in range(1, len(symbols)) if symbols[k] != symbols[k - 1]), len(symbols)]
+                values = {c: batch[c].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in inputs}
+                out: dict[str, list] = {c: [] for c in names}
+                for s, e in zip(cuts, cuts[1:]):
+                    part = {c: v[s:e] for c, v in values.items()}
+                    if not started or symbols[s] != now:
+                        now, step, started = symbols[s], make(part), True
+                    for c, y in step(part).items():
+                        out[c].append(y)
+                added = [np.concatenate(out[c]) for c in names]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(y, pa.float64(), mask=np.isnan(y)) for y in added)], [*batch.schema.names, *names])
+
+    result = T.StructType([*rows.schema.fields, *(T.StructField(c, T.DoubleType()) for c in names)])
+    return rows.repartition("symbol").sortWithinPartitions("symbol", "datetime").mapInArrow(run, result)
 
 
 def scan(bars: DataFrame, inputs: dict[str, tuple[str, Column]], block: int = BLOCK) -> DataFrame:
     """bars with a column for each of inputs: name -> (input column, factor a).
 
     A series starts at its first non-null input with that value; later nulls leave the value as it is. The factor
-    must be the same for all bars of a symbol. The numbered bars are written once and read for both steps.
+    must be the same for all bars of a symbol.
     """
-    whole = by_time().rowsBetween(Window.unboundedPreceding, 0)
-    in_block = Window.partitionBy("symbol", "__block")
-    rows = bars.withColumns(
-        {"__block": F.floor((F.row_number().over(by_time()) - 1) / block)}
-        | {f"__a_{k}": a.cast("double") for k, (_, a) in inputs.items()}
-        | {f"__n_{k}": F.count(x).over(whole) for k, (x, _) in inputs.items()}
-    )
-    rows = staged(rows.withColumns({f"__end_{k}": F.max(f"__n_{k}").over(in_block) for k in inputs}), "scan")
-    parts = []
-    for k, (x, _) in inputs.items():
-        keep = 1 - F.col(f"__a_{k}")
-        weight = F.when(F.col(f"__n_{k}") == 1, F.lit(1.0)).otherwise(F.col(f"__a_{k}"))
-        own = F.sum(weight * F.pow(keep, F.col(f"__end_{k}") - F.col(f"__n_{k}")) * F.col(x))
-        parts += [own.alias(f"own_{k}"), F.pow(F.first(keep), F.count(x)).alias(f"decay_{k}")]
-    summary = rows.groupBy("symbol", "__block").agg(*parts)
-    names = list(inputs)
-
-    def carry(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("__block")
-        out = {"symbol": g["symbol"], "__block": g["__block"]}
-        for k in names:
-            state, states = np.nan, []
-            for own, decay in zip(g[f"own_{k}"], g[f"decay_{k}"], strict=True):
-                states.append(state)
-                if own == own:
-                    state = own if state != state else decay * state + own
-            out[f"__carry_{k}"] = states
-        return pd.DataFrame(out)
-
-    kinds = ", ".join(f"__carry_{k} double" for k in names)
-    symbol = bars.schema["symbol"].dataType.simpleString()
-    carried = summary.groupBy("symbol").applyInPandas(carry, f"symbol {symbol}, __block long, {kinds}")
-    columns = bars.columns
+    rows = bars.withColumns({f"__a_{k}": a.cast("double") for k, (_, a) in inputs.items()})
     sources = {k: x for k, (x, _) in inputs.items()}
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("datetime")
-        out = g[columns].copy()
-        for k in names:
-            y, a = g[f"__carry_{k}"].iloc[0], g[f"__a_{k}"].to_numpy()
-            x, ys = g[sources[k]].to_numpy(float, na_value=np.nan), np.empty(len(g))
-            for i, v in enumerate(x):
-                if v == v:
-                    y = v if y != y else (1 - a[i]) * y + a[i] * v
-                ys[i] = y
-            out[k] = [None if v != v else v for v in ys]
-        return out
+    def make(first: dict[str, np.ndarray]):
+        means = {k: Mean(float(first[f"__a_{k}"][0])) for k in sources}
+        return lambda part: {k: means[k].add(part[x]) for k, x in sources.items()}
+
+    out = _by_symbol(rows, list(sources), make, sorted({*sources.values(), *(f"__a_{k}" for k in sources)}), block)
+    return out.drop(*(f"__a_{k}" for k in sources))
+
+
+@dataclass
+class Smoother:
+    """MACD's histogram, Wilder's mean true range and average directional index of one symbol, batch after batch."""
 
-    result = T.StructType([*bars.schema.fields, *(T.StructField(k, T.DoubleType()) for k in names)])
-    table = rows.drop(*(f"__{p}_{k}" for k in names for p in ("n", "end"))).join(carried, ["symbol", "__block"])
-    return table.groupBy("symbol", "__block").applyInPandas(run, result)
+    wanted: tuple[str, ...]
+    window: float
+    spans: tuple[int, int, int]
 
+    def __post_init__(self):
+        self.fast, self.slow, self.signal = (Mean(2 / (n + 1)) for n in self.spans)
+        n = int(self.window) if self.window >= 1 else 0  # not a number: no window, and no value
+        self.tr, self.up, self.down, self.dx = (Mean(1 / max(n, 1), n if n else 1 << 60) for _ in range(4))
 
-def _alpha(n: int) -> Column:
-    return F.lit(2 / (n + 1))
+    def __call__(self, part: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        out = {}
+        if "macd" in self.wanted:
+            line = self.fast.add(part["close"]) - self.slow.add(part["close"])
+            out["macd"] = line - self.signal.add(line)
+        if "atr_14d" in self.wanted or "adx_14d" in self.wanted:
+            atr = out["atr_14d"] = self.tr.add(part["__tr"])
+        if "adx_14d" in self.wanted:
+            ratio = lambda a, b: np.divide(a, b, out=np.full(len(a), np.nan), where=~np.isnan(b) & (b != 0))
+            plus, minus = 100 * ratio(self.up.add(part["__up"]), atr), 100 * ratio(self.down.add(part["__down"]), atr)
+            out["adx_14d"] = self.dx.add(100 * ratio(np.abs(plus - minus), plus + minus))
+        return {c: out[c] for c in self.wanted}
 
 
-def smoothed(bars: DataFrame, window: str, days: int = 14, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    """bars with "macd" (the histogram), "atr_14d" and "adx_14d" (over `window` bars, a column), in two scans for all.
+def smoothed(bars: DataFrame, window: str | None, days: int = 14, fast: int = 12, slow: int = 26, signal: int = 9, wanted: tuple[str, ...] = ("macd", "atr_14d", "adx_14d")) -> DataFrame:
+    """bars with "macd" (the histogram), "atr_14d" and "adx_14d" (over `window` bars, a column), or those wanted of them.
 
     Wilder's values are NULL for symbols that span fewer days than `days`.
     """
-    n = F.col(window).cast("double")
-    rows, inputs = _seeds(_moves(bars), {"atr_14d": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
-    out = scan(rows, {"__fast": ("close", _alpha(fast)), "__slow": ("close", _alpha(slow))} | inputs)
-    out = _direction(out).withColumn("__line", F.col("__fast") - F.col("__slow"))
-    rows, inputs = _seeds(out, {"adx_14d": "__dx"}, n)
-    out = scan(rows, {"__signal": ("__line", _alpha(signal))} | inputs)
-    long = whole_days() >= days
-    out = out.withColumns({"macd": F.col("__line") - F.col("__signal"), "atr_14d": F.when(long, F.col("atr_14d")), "adx_14d": F.when(long, F.col("adx_14d"))})
-    return out.drop(*(c for c in out.columns if c.startswith("__") and c not in bars.columns))
+    wilder = [c for c in wanted if c != "macd"]
+    rows = _moves(bars) if wilder else bars
+    rows = rows.withColumn("__long", whole_days() >= days) if wilder else rows
+    inputs = [*(["close"] if "macd" in wanted else []), *(["__tr", "__up", "__down", window] if wilder else [])]
+    spans = (fast, slow, signal)
+    out = _by_symbol(rows, list(wanted), lambda first: Smoother(wanted, float(first[window][0]) if wilder else 0.0, spans), inputs, BLOCK)
+    out = out.withColumns({c: F.when(F.col("__long"), F.col(c)) for c in wilder})
+    return out.drop("__tr", "__up", "__down", "__long")
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
     """bars with "macd": the histogram of MACD, from exponential means that start at the first value."""
-    line = scan(bars, {"__fast": ("close", _alpha(fast)), "__slow": ("close", _alpha(slow))})
-    line = line.withColumn("__line", F.col("__fast") - F.col("__slow"))
-    out = scan(line, {"__signal": ("__line", _alpha(signal))})
-    return out.withColumn("macd", F.col("__line") - F.col("__signal")).drop("__fast", "__slow", "__line", "__signal")
-
-
-def _seeds(bars: DataFrame, sources: dict[str, str], n: Column) -> tuple[DataFrame, dict[str, tuple[str, Column]]]:
-    """Inputs of Wilder means: the plain mean of the first n values at the n-th, NULL before, the value itself after it."""
-    run = by_time().rowsBetween(Window.unboundedPreceding, 0)
-    seen = {f"__seen_{k}": F.count(x).over(run) for k, x in sources.items()} | {f"__sum_{k}": F.sum(x).over(run) for k, x in sources.items()}
-    rows = bars.withColumns(seen)
-    at = {k: F.when(F.col(f"__seen_{k}") == n, F.col(f"__sum_{k}") / n).when(F.col(f"__seen_{k}") > n, F.col(x)) for k, x in sources.items()}
-    rows = rows.withColumns({f"__in_{k}": F.when(F.col(x).isNotNull(), at[k]) for k, x in sources.items()}).drop(*seen)
-    return rows, {k: (f"__in_{k}", 1 / n) for k in sources}
+    return smoothed(bars, None, fast=fast, slow=slow, signal=signal, wanted=("macd",))
 
 
 def _moves(bars: DataFrame) -> DataFrame:
@@ -128,24 +176,11 @@ def _moves(bars: DataFrame) -> DataFrame:
     })
 
 
-def _direction(rows: DataFrame) -> DataFrame:
-    """rows with "__dx": how far the smoothed moves up and down differ, in per cent of their sum."""
-    plus, minus = 100 * F.try_divide(F.col("__pdm"), F.col("atr_14d")), 100 * F.try_divide(F.col("__mdm"), F.col("atr_14d"))
-    return rows.withColumn("__dx", 100 * F.try_divide(F.abs(plus - minus), plus + minus))
-
-
 def wilder_atr(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
     """bars with "atr_14d", over `window` bars (a column); NULL for symbols that span fewer days."""
-    rows, inputs = _seeds(bars.withColumn("__tr", true_range()), {"atr_14d": "__tr"}, F.col(window).cast("double"))
-    out = scan(rows, inputs)
-    return out.withColumn("atr_14d", F.when(whole_days() >= days, F.col("atr_14d"))).drop("__tr", "__in_atr_14d")
+    return smoothed(bars, window, days, wanted=("atr_14d",))
 
 
 def adx(bars: DataFrame, window: str, days: int = 14) -> DataFrame:
     """bars with "adx_14d": Wilder's average directional index over `window` bars (a column)."""
-    n = F.col(window).cast("double")
-    rows, inputs = _seeds(_moves(bars), {"atr_14d": "__tr", "__pdm": "__up", "__mdm": "__down"}, n)
-    rows, inputs = _seeds(_direction(scan(rows, inputs)), {"adx_14d": "__dx"}, n)
-    out = scan(rows, inputs)
-    out = out.withColumn("adx_14d", F.when(whole_days() >= days, F.col("adx_14d")))
-    return out.drop("atr_14d", *(c for c in out.columns if c.startswith("__") and c not in bars.columns))
+    return smoothed(bars, window, days, wanted=("adx_14d",))
