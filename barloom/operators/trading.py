@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.indicators import by_time, last
 
 DOWN, NEUTRAL, UP = 0, 1, 2
-#: Horizons of growth: name -> SQL interval before the last date; last_year is everything.
+# Horizons of growth, name -> SQL interval before the last date; last_year is everything.
 HORIZONS = {
     "last_nine_months": "9 months", "last_six_months": "6 months", "last_three_months": "3 months", "last_one_month": "1 month",
     "last_three_weeks": "21 days", "last_two_weeks": "14 days", "last_one_week": "7 days",
@@ -77,6 +77,19 @@ def valid_features(rows: DataFrame, columns: list[str], least: int = 500) -> Dat
     return counts.select(F.inline(pairs)).withColumn("is_valid", F.col("n") >= least)
 
 
+def as_of(rows: DataFrame, dates: DataFrame) -> DataFrame:
+    """For each (symbol, date) of `dates` the last of rows (symbol, datetime, ...) up to that date, as "r"; without one, no row.
+
+    Both are one series ordered by time, in which each date takes the last row before it: a window, not a join of all pairs.
+    """
+    fields = [c for c in rows.columns if c != "symbol"]
+    have = rows.select("symbol", F.struct(*fields).alias("r"), F.to_date("datetime").alias("date"), F.lit(0).alias("k"))
+    want = dates.select("symbol", F.lit(None).cast(have.schema["r"].dataType).alias("r"), "date", F.lit(1).alias("k")).distinct()
+    before = Window.partitionBy("symbol").orderBy("date", "k", F.col("r.datetime")).rowsBetween(Window.unboundedPreceding, 0)
+    found = have.unionByName(want).withColumn("r", F.last("r", True).over(before))
+    return found.where("k = 1 and r is not null").select("symbol", "date", "r")
+
+
 def outcomes(picks: DataFrame, rows: DataFrame) -> DataFrame:
     """picks (symbol, date) with the last row of rows (symbol, date, datetime, ...) on that date."""
     fields = [c for c in rows.columns if c not in ("symbol", "date")]
@@ -115,23 +128,32 @@ def next_business_day(date: str) -> Column:
     return F.date_add(d, F.when(F.weekday(d) == 4, 3).when(F.weekday(d) == 5, 2).otherwise(1))
 
 
-def growth(returns: DataFrame) -> DataFrame:
-    """One row of rows (date, ret): the compounded growth over everything and over each horizon before the last date."""
-    top = F.broadcast(returns.agg(F.max("date").alias("__top")))
-    rows = returns.join(top).withColumn("__log", F.log1p("ret"))
+def growth(returns: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """A row for each of `keys` (one row without any) of rows (keys, date, ret): the compounded growth over everything and over each horizon before the last date.
+
+    A return of -1 or less loses everything.
+    """
+    keys = list(keys)
+    top = returns.groupBy(*keys).agg(F.max("date").alias("__top"))
+    rows = (returns.join(top, keys) if keys else returns.join(F.broadcast(top))).withColumn("__log", F.when(F.col("ret") > -1, F.log1p("ret")))
     inside = lambda span: F.col("date") >= F.to_date(F.col("__top") - F.expr(f"interval {span}"))
     whole = lambda c: F.exp(F.coalesce(F.sum(c), F.lit(0.0)))
     lost = lambda keep: F.coalesce(F.bool_or(keep & (F.col("ret") <= -1)), F.lit(False))
     every = F.lit(True)
     out = {"last_year": F.when(lost(every), F.lit(0.0)).otherwise(whole(F.col("__log")))}
     out |= {k: F.when(lost(inside(s)), F.lit(0.0)).otherwise(whole(F.when(inside(s), F.col("__log")))) for k, s in HORIZONS.items()}
-    return rows.agg(*(c.alias(k) for k, c in out.items()))
+    return rows.groupBy(*keys).agg(*(c.alias(k) for k, c in out.items()))
 
 
 def drawdown(returns: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, max_drawdown) of rows (keys, date, ret): the deepest fall of the capital from its peak so far, at least 1."""
+    """(keys, max_drawdown) of rows (keys, date, ret): the deepest fall of the capital from its peak so far, at least 1.
+
+    From a return of -1 or less on the capital is 0.
+    """
     w = Window.partitionBy(*keys).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    rows = returns.withColumn("__cap", F.exp(F.sum(F.log1p("ret")).over(w)))
+    lost = F.coalesce(F.bool_or(F.col("ret") <= -1).over(w), F.lit(False))
+    whole = F.exp(F.coalesce(F.sum(F.when(F.col("ret") > -1, F.log1p("ret"))).over(w), F.lit(0.0)))
+    rows = returns.withColumn("__cap", F.when(lost, F.lit(0.0)).otherwise(whole))
     rows = rows.withColumn("__peak", F.greatest(F.lit(1.0), F.max("__cap").over(w)))
     return rows.groupBy(*keys).agg(F.max((F.col("__peak") - F.col("__cap")) / F.col("__peak")).alias("max_drawdown"))
 
@@ -178,17 +200,33 @@ def simulate_best(picks: DataFrame, outcomes: DataFrame) -> DataFrame:
     return picks.drop("next_date").withColumnRenamed("date", "pick_date").join(following, ["symbol", "pick_date"]).select("symbol", "date", "score", "ret")
 
 
+#: Parts of a class that are counted, so that only the last one taken is ranked row by row.
+PARTS = 4096
+
+
 def undersample(rows: DataFrame, label: str, seed: int = 42) -> DataFrame:
-    """About as many rows of every class as the rarest has: each row is kept with its class's chance."""
-    n = rows.groupBy(label).agg(F.count("*").alias("__n"))
-    least = n.agg(F.min("__n").alias("__least"))
-    share = n.join(F.broadcast(least)).select(label, (F.col("__least") / F.col("__n")).alias("__share"))
-    return rows.join(F.broadcast(share), label).where(F.rand(seed) < F.col("__share")).drop("__share")
+    """As many rows of every class as the rarest has, drawn by a hash of their values: the same ones however rows are dealt.
+
+    A class's rows are in PARTS by their hash; parts are taken whole until one would be too many, and of that one the rows of
+    least hash. No window holds more than a part of a class. Rows with a null label are left out.
+    """
+    cols = rows.columns
+    marked = rows.where(F.col(label).isNotNull()).withColumn("__hash", F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in cols)))
+    marked = marked.withColumn("__part", F.pmod("__hash", F.lit(PARTS)))
+    parts = marked.groupBy(label, "__part").agg(F.count("*").alias("__n"))
+    whole = Window.partitionBy(label)
+    parts = parts.withColumns({"__before": F.sum("__n").over(whole.orderBy("__part")) - F.col("__n"), "__of": F.sum("__n").over(whole)})
+    least = parts.agg(F.min("__of").alias("__least"))
+    room = parts.join(F.broadcast(least)).select(label, "__part", "__n", (F.col("__least") - F.col("__before")).alias("__room")).where("__room > 0")
+    out = marked.join(room, [label, "__part"])
+    rank = F.row_number().over(Window.partitionBy(label, "__part").orderBy("__hash"))
+    edge = out.where("__room < __n").withColumn("__rank", rank).where("__rank <= __room")
+    return out.where("__room >= __n").select(*cols).unionByName(edge.select(*cols))
 
 
 def group_folds(key: str, k: int) -> Column:
-    """A fold from 0 to k - 1 that all rows of a key share."""
-    return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(k)).cast("int")
+    """A fold from 0 to k - 1 that all rows of a key share, by its digest."""
+    return (F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % k).cast("int")
 
 
 def time_folds(dates: DataFrame, k: int) -> DataFrame:
