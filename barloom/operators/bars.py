@@ -16,19 +16,23 @@ def tick_order() -> Column:
     return number(F.unix_micros("ts")) * F.lit("20000000000000000000").cast("decimal(20,0)") + number(F.col("id"))
 
 
+def traded(ticks: DataFrame) -> Column:
+    """What the ticks of a bar traded: their sizes, or their number where ticks have no size."""
+    return F.sum(F.coalesce("size", F.lit(0.0)) if "size" in ticks.columns else F.lit(1.0))
+
+
 def from_ticks(ticks: DataFrame, unit: str = "day") -> DataFrame:
-    """Bars of a calendar unit from ticks (symbol, ts, price, id). Volume: ticks whose id is not divisible by three.
+    """Bars of a calendar unit from ticks (symbol, ts, price, id, size). Volume: the sum of the sizes; a null size is 0.
 
-    One aggregation with map-side combining; order within a bar is by (ts, id).
+    Ticks without that column count 1 each. One aggregation with map-side combining; order within a bar is by (ts, id).
     """
     order = tick_order()
-    size = F.coalesce((F.col("id") % 3 != 0).cast("double"), F.lit(0.0))
     bars = ticks.groupBy("symbol", F.date_trunc(unit, "ts").alias("datetime")).agg(
         F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", order).alias("close"),
-        F.sum(size).alias("volume"),
+        traded(ticks).alias("volume"),
     )
     return bars.withColumn("adj_close", F.col("close"))
 

@@ -1,11 +1,13 @@
-"""Checks of bars. Each gives (symbol, issue) rows; of a symbol's issues the one of the earliest check counts."""
+"""Checks of bars (the wording of the issues is fixed). Each gives (symbol, issue) rows; of a symbol's issues the one of the earliest check counts."""
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import RAW_COLUMNS
 
@@ -18,6 +20,26 @@ def missing_columns(bars: DataFrame, required: tuple[str, ...] = RAW_COLUMNS) ->
     return [c for c in required if c not in bars.columns]
 
 
+def structure(bars: DataFrame, required: tuple[str, ...] = RAW_COLUMNS) -> list[str]:
+    """Issues of a table's shape, before any row is read: no or repeated columns, missing ones, and those of a wrong type.
+
+    Datetimes must be timestamps or dates, prices and volumes numbers; names that differ in case only are the same.
+    """
+    if not bars.columns:
+        return ["No columns"]
+    seen = Counter(c.lower() for c in bars.columns)
+    repeated = sorted(c for c, n in seen.items() if n > 1)
+    out = [f"Duplicate columns: {', '.join(repeated)}"] if repeated else []
+    absent = [c for c in required if c.lower() not in seen]
+    out += [f"Missing columns: {', '.join(absent)}"] if absent else []
+    wrong = []
+    for f in bars.schema.fields:
+        fits = (T.TimestampType, T.TimestampNTZType, T.DateType) if f.name.lower() == "datetime" else T.NumericType
+        if f.name.lower() in required and not isinstance(f.dataType, fits):
+            wrong.append(f"{f.name} ({f.dataType.simpleString()})")
+    return out + ([f"Wrong types: {', '.join(wrong)}"] if wrong else [])
+
+
 def _first(pairs: list[tuple[Column, str]]) -> Column:
     out = F.when(F.lit(False), F.lit(""))
     for holds, name in pairs:

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import logging
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -54,15 +55,18 @@ class PriceReader(DataSourceReader):
         module, _, name = self.options["client"].partition(":")
         client = getattr(importlib.import_module(module), name)
         tries, pause = int(self.options.get("retries", 3)), float(self.options.get("sleep", 1))
-        for k in range(tries):
+        rows = []
+        for k in range(1, tries + 1):
             try:
                 rows = list(client(partition.symbol, partition.start, partition.end, self.options.get("interval", "1h")))
                 break
-            except Exception:
-                if k + 1 == tries:  # a symbol that can't be fetched has no rows
-                    rows = []
-                else:
+            except Exception as e:
+                where = f"{partition.symbol} from {partition.start} to {partition.end}"
+                logging.getLogger(__name__).warning("Prices of %s, attempt %d of %d: %s", where, k, tries, e)
+                if k < tries:
                     time.sleep(pause)
+                elif self.options.get("onerror", "empty") == "fail":
+                    raise RuntimeError(f"No prices of {where}") from e
         for r in rows:
             if partition.start <= r[0] <= partition.end:
                 yield (partition.symbol, *r)
@@ -81,7 +85,11 @@ class PriceSource(DataSource):
 
 
 def read(spark: SparkSession, client: str, symbols: list[str], start: dt.datetime, end: dt.datetime, interval: str = "1h", **options) -> DataFrame:
-    """Bars of the symbols in [start, end]; where blocks overlap, the first of equal datetimes is kept."""
+    """Bars of the symbols in [start, end]; where blocks overlap, the first of equal datetimes is kept.
+
+    A block that can't be fetched after all `retries` has no rows, and each failure is logged as a warning; with
+    onerror="fail" it fails the read, so that lost history can't be taken for days without trading.
+    """
     spark.dataSource.register(PriceSource)
     reader = spark.read.format("prices").options(client=client, symbols=",".join(symbols), start=start.isoformat(), end=end.isoformat(), interval=interval, **options)
     return keep_first(reader.load(), ["symbol", "datetime"], ["open", "close"])
@@ -110,10 +118,18 @@ def sessions(spark: SparkSession, exchange: Exchange, first: str, last: str, hol
 
 
 def next_bar(last: DataFrame, calendar: DataFrame, step_minutes: int) -> DataFrame:
-    """(symbol, next): the first time from last + step on that lies in a session: itself, or the next one's opening."""
-    rows = last.select("symbol", F.timestamp_seconds(F.unix_seconds("last") + step_minutes * 60).alias("want"))
-    found = rows.join(F.broadcast(calendar), F.col("close") > F.col("want"))
-    return found.groupBy("symbol").agg(F.min(F.greatest("want", "open")).alias("next"))
+    """(symbol, next): the first time from last + step on that lies in a session: itself, or the next one's opening.
+
+    Each moment has one session to wait for or be in: the first that closes after it. Sessions are expanded to the dates on
+    which they are that one, so that the join is by equal dates; the calendar has a row for each day.
+    """
+    rows = last.select("symbol", F.timestamp_seconds(F.unix_seconds("last") + step_minutes * 60).alias("want")).withColumn("date", F.to_date("want"))
+    earliest = rows.agg(F.min("date").alias("__earliest"))
+    sessions = calendar.select("open", "close", F.lag("close").over(Window.orderBy("close")).alias("__before")).join(F.broadcast(earliest))
+    begin = F.coalesce(F.to_date("__before"), F.least("__earliest", F.to_date("open")))
+    days = sessions.where("__earliest is not null").select("open", "close", "__before", F.explode(F.sequence(begin, F.to_date("close"))).alias("date"))
+    inside = (F.col("close") > F.col("want")) & (F.col("__before").isNull() | (F.col("__before") <= F.col("want")))
+    return rows.join(days, "date").where(inside).groupBy("symbol").agg(F.min(F.greatest("want", "open")).alias("next"))
 
 
 def shortest_wait(cursor_rows: DataFrame) -> DataFrame:

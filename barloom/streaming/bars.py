@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.bars import tick_order
+from ..operators.bars import tick_order, traded
 
 
 def stream_bars(ticks: DataFrame, width: str = "1 hour", lateness: str = "1 day") -> DataFrame:
-    """Bars per symbol and epoch-aligned window from a stream of ticks (symbol, ts, price, id).
+    """Bars per symbol and epoch-aligned window from a stream of ticks (symbol, ts, price, id, size).
 
     A tick that comes twice within the lateness counts once; ticks later than it are left out. On a batch input the
     same expressions give the same bars.
@@ -19,7 +19,7 @@ def stream_bars(ticks: DataFrame, width: str = "1 hour", lateness: str = "1 day"
     order = tick_order()
     bars = seen.groupBy("symbol", F.window("ts", width).alias("w")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"),
-        F.sum(F.coalesce((F.col("id") % 3 != 0).cast("double"), F.lit(0.0))).alias("volume"),
+        traded(ticks).alias("volume"),
     )
     return bars.select("symbol", F.col("w.start").alias("datetime"), "open", "high", "low", "close", "volume", F.col("close").alias("adj_close"))
 
