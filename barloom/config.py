@@ -28,6 +28,7 @@ MODEL_FEATURES = (
 )
 
 
+# Default thresholds of candles and windows of indicators.
 @dataclass(frozen=True)
 class Candles:
     doji_body: float = 0.1

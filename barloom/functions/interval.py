@@ -7,7 +7,7 @@ import re
 
 # Minutes of each unit; a month counts 30 days, a year 365.
 MINUTES = {"min": 1, "m": 1, "hour": 60, "h": 60, "day": 1440, "d": 1440, "week": 10080, "wk": 10080, "month": 43200, "mo": 43200, "year": 525600, "y": 525600}
-#: Units by size, with the words that a simplified interval uses for short and long spellings.
+# Units by length, longest first, with the words that a simplified interval uses for long and short spellings.
 _LADDER = [("year", "y"), ("month", "mo"), ("week", "wk"), ("day", "d"), ("hour", "h"), ("min", "m")]
 _SHAPE = re.compile(r"(\d+)(min|hour|day|week|month|year|mo|wk|m|h|d|y)")
 

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from pyspark import SparkContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
 
@@ -30,9 +30,8 @@ def _clear() -> None:
             return
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet under spark.checkpoint.dir and read back: computed once, and safe when executors are lost."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own under spark.checkpoint.dir, deleted when this process ends."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
@@ -43,5 +42,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     delete_at_exit(path)
+    return path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet under spark.checkpoint.dir and read back: computed once, and safe when executors are lost."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
