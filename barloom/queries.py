@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,7 +16,7 @@ from .operators import bars as ops
 from .operators import schedule as sched
 from .operators import trading, validate
 from .plans import enrich as plan
-from .sources import metadata, provider
+from .sources import metadata, provider, staging
 from .sources.ticks import event_ticks, order_ticks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,12 +26,17 @@ S = Settings()
 # ---------------------------------------------------------------------------------------------------- shared parts
 
 
+def size(key: str):
+    """The tables have no sizes: a tick trades 1, but nothing if its id is divisible by three, so that there are bars without volume."""
+    return (F.col(key) % 3 != 0).cast("double")
+
+
 def daily(spark: SparkSession, d: str) -> DataFrame:
-    return ops.from_ticks(order_ticks(spark, d), "day")
+    return ops.from_ticks(order_ticks(spark, d, size("o_orderkey")), "day")
 
 
 def hourly(spark: SparkSession, d: str) -> DataFrame:
-    return ops.from_ticks(event_ticks(spark, d), "hour")
+    return ops.from_ticks(event_ticks(spark, d, size("event_id")), "hour")
 
 
 def shown(df: DataFrame, *columns: str) -> DataFrame:
@@ -495,12 +499,13 @@ def market_phase(spark, d):
 
 # ---------------------------------------------------------------------------------------------------- trading hours
 
-BOUNDS = "bounds AS (SELECT symbol, CAST(datetime AS DATE) AS date, strftime(min(datetime), '%H:%M') AS first, strftime(max(datetime), '%H:%M') AS last FROM hourly WHERE hour(datetime) BETWEEN 8 AND 17 GROUP BY ALL)"
-# Hours of a market that closes at night.
+BOUNDS = "bounds AS (SELECT symbol, CAST(datetime AS DATE) AS date, strftime(min(datetime), '%H:%M') AS first, strftime(max(datetime), '%H:%M') AS last FROM (SELECT symbol, CAST(date_trunc('day', datetime) AS TIMESTAMP) + to_hours(8 + hour(datetime) * 10 // 24) AS datetime FROM hourly) GROUP BY ALL)"
 
 
 def open_hours(spark: SparkSession, d: str) -> DataFrame:
-    return hourly(spark, d).where("hour(datetime) BETWEEN 8 AND 17")
+    """All hourly bars, their 24 hours drawn together to those from 8 to 17, as of a market that closes at night."""
+    at = F.unix_seconds(F.date_trunc("day", "datetime")) + 3600 * (8 + F.floor(F.hour("datetime") * 10 / 24))
+    return hourly(spark, d).withColumn("datetime", F.timestamp_seconds(at))
 
 
 _TO = "strftime(CAST(date AS TIMESTAMP) + CAST(last || ':00' AS INTERVAL) + INTERVAL 1 HOUR, '%H:%M')"
@@ -521,24 +526,25 @@ def trading_blocks(spark, d):
 
 
 @query(
-    """WITH u AS (SELECT DISTINCT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_orderstatus = 'P' AND o_custkey % 7 = 0),
+    """WITH u AS (SELECT DISTINCT o_custkey AS symbol, CAST(o_orderdate AS DATE) AS date FROM orders),
     x AS (SELECT *, coalesce(date_diff('day', lag(date) OVER (PARTITION BY symbol ORDER BY date), date) > 8, TRUE) AS is_new FROM u),
     y AS (SELECT *, sum(CAST(is_new AS INT)) OVER (PARTITION BY symbol ORDER BY date) AS run FROM x) SELECT symbol, min(date) AS date_from, max(date) AS date_to FROM y GROUP BY symbol, run""", dates=("date_from", "date_to"))
 def date_islands(spark, d):
-    rows = spark.read.parquet(f"{d}/orders.parquet").where("o_orderstatus = 'P' AND o_custkey % 7 = 0")
-    return sched.date_islands(rows.select(F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("date")).distinct(), ["symbol"])
+    rows = spark.read.parquet(f"{d}/orders.parquet")
+    return sched.date_islands(rows.select(F.col("o_custkey").alias("symbol"), F.to_date("o_orderdate").alias("date")).distinct(), ["symbol"])
 
 
-_SPANS = "SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date_from, CAST(o_orderdate AS DATE) + CAST(o_custkey % 10 AS INTEGER) AS date_to FROM orders WHERE o_custkey % 11 = 0"
+# An order's span is open for up to four months, so that some of a customer's spans meet and others leave gaps.
+_SPANS = "SELECT o_custkey AS symbol, CAST(o_orderdate AS DATE) AS date_from, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 120 AS INTEGER) AS date_to FROM orders"
 MERGED = f"""spans AS ({_SPANS}), x AS (SELECT *, max(date_to) OVER (PARTITION BY symbol ORDER BY date_from, date_to ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spans),
     y AS (SELECT *, sum(CASE WHEN date_diff('day', before, date_from) <= 8 THEN 0 ELSE 1 END) OVER (PARTITION BY symbol ORDER BY date_from, date_to) AS run FROM x),
     merged AS (SELECT symbol, min(date_from) AS date_from, max(date_to) AS date_to FROM y GROUP BY symbol, run)"""
 
 
 def _spans(spark, d):
-    rows = spark.read.parquet(f"{d}/orders.parquet").where("o_custkey % 11 = 0")
+    rows = spark.read.parquet(f"{d}/orders.parquet")
     day = F.to_date("o_orderdate")
-    return rows.select(F.col("o_orderpriority").alias("symbol"), day.alias("date_from"), F.date_add(day, (F.col("o_custkey") % 10).cast("int")).alias("date_to"))
+    return rows.select(F.col("o_custkey").alias("symbol"), day.alias("date_from"), F.date_add(day, (F.col("o_orderkey") % 120).cast("int")).alias("date_to"))
 
 
 @query(f"WITH {MERGED} SELECT * FROM merged", dates=("date_from", "date_to"))
@@ -878,47 +884,52 @@ def simulate_best(spark, d):
     return _trades(spark, d).select("symbol", "date", F.round("score", 6).alias("score"), F.round("ret", 6).alias("ret"))
 
 
-# Returns of real bars multiply to huge numbers; a hundredth of each is traded.
-TENTH = "hundredth AS (SELECT symbol, CAST(datetime AS DATE) AS date, greatest(least(ret, 1), -0.9) / 100 AS ret FROM rets WHERE ret IS NOT NULL)"
+# Returns of these bars multiply to huge numbers: a thousandth of each is traded. One symbol loses everything on one day a year.
+THOUSANDTH = "thousandth AS (SELECT symbol, CAST(datetime AS DATE) AS date, CASE WHEN symbol = '5-LOW' AND dayofyear(datetime) = 200 THEN -1.0 ELSE ret / 1000 END AS ret FROM rets WHERE ret IS NOT NULL)"
+_LN = "CASE WHEN ret > -1 THEN ln(1 + ret) END"
 
 
-def _hundredth(spark, d):
-    ret = F.greatest(F.least("ret", F.lit(1.0)), F.lit(-0.9)) / 100
+def _thousandth(spark, d):
+    ret = F.when((F.col("symbol") == "5-LOW") & (F.dayofyear("datetime") == 200), F.lit(-1.0)).otherwise(F.col("ret") / 1000)
     return _returns(spark, d).where("ret is not null").select("symbol", F.to_date("datetime").alias("date"), ret.alias("ret"))
 
 
 _SPAN_SQL = {"last_nine_months": "9 MONTH", "last_six_months": "6 MONTH", "last_three_months": "3 MONTH", "last_one_month": "1 MONTH", "last_three_weeks": "21 DAY", "last_two_weeks": "14 DAY", "last_one_week": "7 DAY"}
 
 
+def _growth_sql(inside: str, name: str) -> str:
+    return r(f"CASE WHEN coalesce(bool_or({inside} AND ret <= -1), FALSE) THEN 0 ELSE exp(coalesce(sum(CASE WHEN {inside} THEN {_LN} END), 0)) END", name)
+
+
 @query(
-    f"{DAILY}, {RETURNS}, {TENTH}, u AS (SELECT *, max(date) OVER () AS top FROM hundredth WHERE symbol = '1-URGENT') SELECT {r('exp(sum(ln(1 + ret)))', 'last_year')}, "
-    + ", ".join(r(f"exp(coalesce(sum(CASE WHEN date >= CAST(top - INTERVAL {s} AS DATE) THEN ln(1 + ret) END), 0))", k) for k, s in _SPAN_SQL.items())
-    + " FROM u"
+    f"{DAILY}, {RETURNS}, {THOUSANDTH}, u AS (SELECT *, max(date) OVER (PARTITION BY symbol) AS top FROM thousandth) SELECT symbol, {_growth_sql('TRUE', 'last_year')}, "
+    + ", ".join(_growth_sql(f"date >= CAST(top - INTERVAL {s} AS DATE)", k) for k, s in _SPAN_SQL.items())
+    + " FROM u GROUP BY symbol"
 )
 def growth_horizons(spark, d):
-    out = trading.growth(_hundredth(spark, d).where("symbol = '1-URGENT'"))
-    return out.select(*(F.round(c, 6).alias(c) for c in out.columns))
+    out = trading.growth(_thousandth(spark, d), ["symbol"])
+    return out.select("symbol", *(F.round(c, 6).alias(c) for c in out.columns[1:]))
 
 
 @query(
-    f"""{DAILY}, {RETURNS}, {TENTH}, c AS (SELECT symbol, date, exp(sum(ln(1 + ret)) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING)) AS cap FROM hundredth),
+    f"""{DAILY}, {RETURNS}, {THOUSANDTH}, c AS (SELECT symbol, date, CASE WHEN bool_or(ret <= -1) OVER w THEN 0 ELSE exp(coalesce(sum({_LN}) OVER w, 0)) END AS cap FROM thousandth WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING)),
     p AS (SELECT *, greatest(1, max(cap) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING)) AS peak FROM c) SELECT symbol, {r('max((peak - cap) / peak)', 'max_drawdown')} FROM p GROUP BY symbol"""
 )
 def max_drawdown(spark, d):
-    return trading.drawdown(_hundredth(spark, d), ["symbol"]).withColumn("max_drawdown", F.round("max_drawdown", 6))
+    return trading.drawdown(_thousandth(spark, d), ["symbol"]).withColumn("max_drawdown", F.round("max_drawdown", 6))
 
 
-@query(f"{DAILY}, {RETURNS}, {TENTH} SELECT symbol, {r('coalesce(sum(CASE WHEN ret > 0 THEN ret ELSE 0 END) / nullif(sum(CASE WHEN ret < 0 THEN -ret ELSE 0 END), 0), 0)', 'profit_factor')} FROM hundredth GROUP BY symbol")
+@query(f"{DAILY}, {RETURNS}, {THOUSANDTH} SELECT symbol, {r('coalesce(sum(CASE WHEN ret > 0 THEN ret ELSE 0 END) / nullif(sum(CASE WHEN ret < 0 THEN -ret ELSE 0 END), 0), 0)', 'profit_factor')} FROM thousandth GROUP BY symbol")
 def profit_factor(spark, d):
-    return _hundredth(spark, d).groupBy("symbol").agg(F.round(trading.profit_factor(), 6).alias("profit_factor"))
+    return _thousandth(spark, d).groupBy("symbol").agg(F.round(trading.profit_factor(), 6).alias("profit_factor"))
 
 
 @query(
     f"""{DAILY}, {RETURNS}, t AS (SELECT symbol, CAST(datetime AS DATE) AS date, ret, CASE WHEN lag(ret) OVER {W} < 0 THEN 2 ELSE 0 END AS predicted FROM rets)
-    SELECT symbol, date, predicted, {r('CASE WHEN predicted = 2 THEN ret ELSE 0 END', 'ret')} FROM t WHERE symbol = '2-HIGH'""", dates=("date",))
+    SELECT symbol, date, predicted, {r('CASE WHEN predicted = 2 THEN ret ELSE 0 END', 'ret')} FROM t""", dates=("date",))
 def simulate_one(spark, d):
     rows = _returns(spark, d).withColumn("predicted", F.when(F.lag("ret").over(ind.by_time()) < 0, trading.UP).otherwise(trading.DOWN))
-    rows = rows.where("symbol = '2-HIGH'").select("symbol", F.to_date("datetime").alias("date"), "predicted", "ret")
+    rows = rows.select("symbol", F.to_date("datetime").alias("date"), "predicted", "ret")
     return trading.simulate_one(rows).withColumn("ret", F.round("ret", 6)).select("symbol", "date", "predicted", "ret")
 
 
@@ -950,13 +961,14 @@ def class_report(spark, d):
 # ---------------------------------------------------------------------------------------------------- learning, streaming, all together
 
 
-@query(None)
+@query(f"{DAILY}, {GUESSES} SELECT target, min(count(*)) OVER () AS n, min(count(*)) OVER () AS n_different FROM known GROUP BY target")
 def undersample(spark, d):
-    rows = daily(spark, d).withColumn("target", trading.target(0.05)).where("target is not null")
-    return trading.undersample(rows, "target").groupBy("target").agg(F.count("*").alias("n"))
+    rows = daily(spark, d).withColumn("target", trading.target(0.05))
+    some = trading.undersample(rows, "target")
+    return some.groupBy("target").agg(F.count("*").alias("n"), F.count_distinct("symbol", "datetime").alias("n_different"))
 
 
-@query(None)
+@query(f"{DAILY} SELECT DISTINCT symbol, CAST(CAST('0x' || md5(symbol)[1:8] AS BIGINT) % 3 AS INTEGER) AS fold FROM daily")
 def group_folds(spark, d):
     return daily(spark, d).select("symbol", trading.group_folds("symbol", 3).alias("fold")).distinct()
 
@@ -990,16 +1002,20 @@ def train_and_evaluate(spark, d):
 
 @query(f"{HOURLY} SELECT {STAMP}, {_OHLCV} FROM hourly")
 def stream_bars(spark, d):
-    """Hourly bars of a stream that reads the table as files, run to its end; complete output, so that the last windows are there."""
+    """Hourly bars of a stream that reads the table as files, run to its end; each batch's changes go to a table."""
     from .streaming.bars import stream_bars as bars_of
 
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    ticks = stream.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.col("event_id").alias("id"))
-    name = f"bars_{uuid.uuid4().hex[:8]}"
-    run = bars_of(ticks).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    ticks = stream.select(F.col("event_type").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.col("event_id").alias("id"), size("event_id").alias("size"))
+    table = staging.new_folder(spark, "stream")
+    # Every trigger's changed bars are written, not kept in memory; of a bar's versions the last batch's counts.
+    keep = lambda rows, batch: rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{table}/bars/batch_of={batch}")
+    run = bars_of(ticks).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{table}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return shown(spark.table(name), *_BAR)
+    rows = spark.read.parquet(f"{table}/bars")
+    last = F.max_by(F.struct(*_BAR), "batch").alias("r")
+    return shown(rows.groupBy("symbol", "datetime").agg(last).select("symbol", "datetime", "r.*"), *_BAR)
 
 
 _EASE = "CASE WHEN a = b THEN 0 ELSE ({} - a) / (b - a) END"
@@ -1023,9 +1039,74 @@ def enrich_untrimmed(spark, d):
     return shown(out, "close", "volume", "rsi", "raw_rsi", "raw_close", "williams_r", "open_close_result", "time_of_year")
 
 
-@query(None)
+_NAMED = MULTI.removeprefix(HOURLY).replace(f"{SHAPE} hourly", f"{SHAPE} m")
+_FLAT = "(max({0}) OVER f - min({0}) OVER f)"
+#: Raw and scaled bars as two series, with every recurrence; a row is bad if any feature that counts for the trim has no value.
+ENRICHED = f"""{DAILY}, g AS (SELECT min(low) AS a, max(high) AS b, min(volume) AS va, max(volume) AS vb FROM daily),
+    u AS (SELECT symbol AS name, 0 AS scaled, symbol || '#0' AS symbol, datetime, open, high, low, close, volume FROM daily UNION ALL
+      SELECT symbol, 1, symbol || '#1', datetime, {', '.join(_EASE.format(c) for c in ('open', 'high', 'low', 'close'))}, CASE WHEN volume > 0 THEN CASE WHEN va = vb THEN 0 ELSE (volume - va) / (vb - va) END ELSE 0 END FROM daily, g),
+    gl AS ({GAINS} u), x AS (SELECT *, {TRUE_RANGE} AS tr, high - lag(high) OVER {W} AS upm, lag(low) OVER {W} - low AS downm, row_number() OVER {W} AS rn, lag(close) OVER {W} AS before FROM gl),
+    m AS (SELECT *, CASE WHEN upm > downm AND upm > 0 THEN upm ELSE 0 END AS pdm, CASE WHEN downm > upm AND downm > 0 THEN downm ELSE 0 END AS mdm, {rsi_sql(14)} AS q FROM x),
+    {_wilder_sql('wt', 'm', 'tr', 14, 'atr')}, {_wilder_sql('wp', 'm', 'pdm', 14, 'p')}, {_wilder_sql('wm', 'm', 'mdm', 14, 'q')},
+    dx AS (SELECT m.symbol, m.datetime, m.rn, 100 * abs(100 * wp.p / nullif(wt.atr, 0) - 100 * wm.q / nullif(wt.atr, 0)) / nullif(100 * wp.p / nullif(wt.atr, 0) + 100 * wm.q / nullif(wt.atr, 0), 0) AS dx
+      FROM m LEFT JOIN wt ON wt.symbol = m.symbol AND wt.rn = m.rn LEFT JOIN wp ON wp.symbol = m.symbol AND wp.rn = m.rn LEFT JOIN wm ON wm.symbol = m.symbol AND wm.rn = m.rn),
+    {_wilder_sql('wa', 'dx', 'dx', 14, 'adx')},
+    e AS (SELECT symbol, rn, close AS fast, close AS slow, 0.0::DOUBLE AS s FROM m WHERE rn = 1 UNION ALL
+      SELECT symbol, rn, a, b, s + (2.0 / 10) * ((a - b) - s) FROM (SELECT m.symbol, m.rn, e.fast + (2.0 / 13) * (m.close - e.fast) AS a, e.slow + (2.0 / 27) * (m.close - e.slow) AS b, e.s
+        FROM e JOIN m ON m.symbol = e.symbol AND m.rn = e.rn + 1)){_NAMED},
+    joined AS (SELECT multi.*, wt.atr AS atr_14d, wa.adx AS adx_14d, (e.fast - e.slow) - e.s AS macd FROM multi LEFT JOIN wt ON wt.symbol = multi.symbol AND wt.rn = multi.rn
+      LEFT JOIN wa ON wa.symbol = multi.symbol AND wa.rn = multi.rn LEFT JOIN e ON e.symbol = multi.symbol AND e.rn = multi.rn),
+    every AS (SELECT *, {rsi_sql(6)} AS rsi, {full('avg', 'tr', 14)} AS atr,
+      sum(CASE WHEN close < before THEN -volume ELSE volume END) OVER (PARTITION BY symbol ORDER BY datetime ROWS UNBOUNDED PRECEDING) AS obv,
+      (q - min(q) OVER f) / nullif({_FLAT.format('q')}, 0) AS stoch_rsi, CASE WHEN m IS NOT NULL THEN coalesce({_scores_sql('m', MULTI_SCORES)}, round(1e-6 + (sc + sc1 + sc2) / 3 * (1 - 2e-6), 3)) END AS msc,
+      max(high) OVER f - min(low) OVER f AS reach, stddev_pop(close) OVER {wn(20)} AS sd
+      FROM joined WINDOW f AS {wn(14)}),
+    flagged AS (SELECT *, rn < 20 OR open = 0 OR before = 0 OR reach = 0 OR sd = 0 OR rsi IS NULL OR stoch_rsi IS NULL OR atr_14d IS NULL OR adx_14d IS NULL OR m IS NULL AS bad FROM every),
+    last_bad AS (SELECT name, max(rn) FILTER (bad) AS bad FROM flagged GROUP BY name),
+    kept AS (SELECT a.*, b.close AS s_close, b.volume AS s_volume, b.atr AS s_atr, b.rsi AS s_rsi, b.macd AS s_macd, b.obv AS s_obv, b.adx_14d AS s_adx, b.atr_14d AS s_atr_14d, b.sc AS s_sc, b.msc AS s_msc, b.stoch_rsi AS s_stoch
+      FROM flagged a JOIN flagged b ON b.name = a.name AND b.datetime = a.datetime AND a.scaled = 0 AND b.scaled = 1 JOIN last_bad l ON l.name = a.name
+      WHERE a.rn > coalesce(l.bad, 0) AND isodow(a.datetime) <= 5 AND CAST(a.datetime AS DATE) NOT IN (SELECT date FROM {_dates_sql(HOLIDAYS)})),
+    st AS (SELECT max(m) AS start FROM (SELECT min(datetime) AS m FROM kept GROUP BY name)),
+    near AS (SELECT k.name, k.datetime, max(date_diff('day', CAST(k.datetime AS DATE), v.date)) AS ahead FROM kept k JOIN {_dates_sql(HOLIDAYS)} ON date_diff('day', CAST(k.datetime AS DATE), v.date) BETWEEN 1 AND 5 GROUP BY ALL)"""
+
+
+@query(
+    f"""{ENRICHED} SELECT name AS symbol, strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, {r('s_close', 'close')}, {r('s_volume', 'volume')}, {r('s_atr', 'atr')}, {r('s_rsi', 'rsi')}, {r('s_macd', 'macd')}, {r('s_obv', 'obv')},
+    {r('s_adx', 'adx_14d')}, {r('s_atr_14d', 'atr_14d')}, {r('s_sc', 'candle_pattern')}, {r('s_msc', 'multi_candle_pattern')}, {r('s_stoch', 'stoch_rsi')}, {r(_YEAR, 'time_of_year')}, {r('coalesce((6 - ahead) / 5, 0)', 'is_pre_holiday')},
+    {r('close', 'raw_close')}, p AS raw_candle_pattern, m AS raw_multi_candle_pattern, {r('rsi', 'raw_rsi')}, round(macd, 3) + 0.0 AS raw_macd, {r('adx_14d', 'raw_adx_14d')} FROM kept LEFT JOIN near USING (name, datetime) WHERE datetime >= (SELECT start FROM st)"""
+)
 def enrich(spark, d):
     out = plan.enrich(daily(spark, d), temporal.dates_table(spark, HOLIDAYS), temporal.dates_table(spark, EVENTS))
-    names = ("close", "volume", "atr", "rsi", "macd", "obv", "adx_14d", "atr_14d", "candle_pattern", "multi_candle_pattern", "time_of_year", "is_pre_holiday")
-    raw = [F.col(f"raw.{c}").alias(f"raw_{c}") for c in ("close", "candle_pattern", "multi_candle_pattern", "rsi")]
-    return out.select("symbol", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("datetime"), *names, *raw)
+    names = ("close", "volume", "atr", "rsi", "macd", "obv", "adx_14d", "atr_14d", "candle_pattern", "multi_candle_pattern", "stoch_rsi", "time_of_year", "is_pre_holiday")
+    raw = {f"raw_{c}": F.col(f"raw.{c}") for c in ("close", "candle_pattern", "multi_candle_pattern", "rsi", "adx_14d")} | {"raw_macd": F.round("raw.macd", 3)}
+    return shown(out.withColumns(raw), *names, *raw)
+
+
+_HEADS = """CASE WHEN c_custkey % 3 = 0 THEN '  ' WHEN c_custkey % 3 = 1 THEN concat(' ', c_name, ' ') END AS id, CASE WHEN c_custkey % 4 > 1 THEN concat('2024-01-1', CAST(c_nationkey % 10 AS VARCHAR(1)), 'T00:00:00') WHEN c_custkey % 4 = 1 THEN 'never' END AS last_updated,
+    CASE WHEN c_custkey % 5 > 2 THEN concat('2024-02-1', CAST(c_nationkey % 10 AS VARCHAR(1)), 'T12:30:00') END AS last_check"""
+
+
+@query(
+    f"""WITH h AS (SELECT c_custkey AS k, {_HEADS} FROM customer), x AS (SELECT *, nullif(trim(id), '') AS known, coalesce(try_cast(last_check AS TIMESTAMP), TIMESTAMP '2024-03-01 00:00:00') AS ck FROM h)
+    SELECT coalesce(known, 'new') AS id, strftime(CASE WHEN known IS NULL THEN TIMESTAMP '2024-03-01 00:00:00' ELSE coalesce(try_cast(last_updated AS TIMESTAMP), ck) END, '%Y-%m-%d %H:%M:%S') AS last_updated,
+    strftime(ck, '%Y-%m-%d %H:%M:%S') AS last_check, 0 AS n_symbols FROM x"""
+)
+def raw_defaults(spark, d):
+    """Headers with blank, absent and unreadable fields, as a load completes them."""
+    from .sources import dataset
+
+    heads = spark.read.parquet(f"{d}/customer.parquet").selectExpr(*(x.strip() for x in _HEADS.replace("AS id, ", "AS id;").replace("AS last_updated,", "AS last_updated;").split(";")))
+    documents = heads.select("*", F.lit("1h").alias("interval"), F.lit(None).cast(dataset.DOCUMENT["symbols"].dataType).alias("symbols"))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return dataset.with_defaults(documents, "2024-03-01 00:00:00", "new").select("id", stamp("last_updated"), stamp("last_check"), F.size("symbols").alias("n_symbols"))
+
+
+@query(
+    f"""WITH ticks AS (SELECT event_type AS symbol, ts, event_id AS id, value FROM events), want AS (SELECT DISTINCT symbol, CAST(ts AS DATE) + 1 AS date FROM ticks)
+    SELECT w.symbol, w.date, arg_max(id, row(ts, id)) AS id, {r('arg_max(value, row(ts, id))', 'value')} FROM want w JOIN ticks t ON t.symbol = w.symbol AND CAST(t.ts AS DATE) <= w.date GROUP BY 1, 2""", dates=("date",))
+def last_as_of(spark, d):
+    """For the day after each day with ticks, the last tick up to it."""
+    rows = event_ticks(spark, d)
+    last = rows.groupBy("symbol", "ts").agg(F.max_by(F.struct("id", "price"), "id").alias("t")).select("symbol", F.col("ts").alias("datetime"), "t.*")
+    days = rows.select("symbol", F.date_add(F.to_date("ts"), 1).alias("date")).distinct()
+    return trading.as_of(last, days).select("symbol", "date", "r.id", F.round("r.price", 6).alias("value"))
