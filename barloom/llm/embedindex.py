@@ -21,15 +21,17 @@ from .graph import components
 from .scratch import Scratch
 
 THRESHOLD = 0.9
-#: Share of the partners at exactly the threshold whose cell is visited; nearer partners are found likelier still.
-#: 1: all cells are visited that can hold a partner, and no link is lost, at many times the cost.
+#: Share of the partners at exactly the threshold, in any direction, whose cell is visited; nearer ones are found likelier
+#: still. 1: all cells are visited that can hold a partner, and no link is lost, at many times the cost.
 RECALL = 0.999
+#: The same for partners that differ in one half only, along one axis, or towards another vector, at least.
+RECALL_ALONG = 0.995
 #: Vectors that the codebooks and the visiting radius are fitted on, at most.
 SAMPLE = 8192
 #: Vectors for each cell of the grid, about, and the fewest and most centroids of a half.
-PER_CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 800, 4, 512
-#: Rows of either side that one task compares at once; fuller cells are dealt over several.
-BLOCK = 2048
+PER_CELL, LEAST_CENTROIDS, MOST_CENTROIDS = 800, 4, 128
+#: Members of a cell that one task takes at once, and times as many visitors; fuller cells are dealt over several.
+BLOCK, WIDE = 2048, 8
 
 
 @dataclass
@@ -118,9 +120,9 @@ def fit(sample: np.ndarray, total: int, threshold: float, recall: float, per_cel
         x = sample[: min(len(sample), 4096)]
         (_, ma), (_, mb) = index.margins(x)
         r, needed = np.arange(len(x)), []
-        for partner in _partners(x, threshold, rng):
+        for k, partner in enumerate(_partners(x, threshold, rng)):
             (a, _), (b, _) = index.margins(partner)
-            needed.append(float(np.quantile(ma[r, a] + mb[r, b], recall)))
+            needed.append(float(np.quantile(ma[r, a] + mb[r, b], min(recall, RECALL_ALONG) if k else recall)))
         index.radius = min(index.radius, max(needed))
     return index
 
@@ -185,11 +187,12 @@ def _compare(kind: str, dim: int, threshold: float):
         left = np.flatnonzero(~probe)
         within = g["members"].iat[0] == g["probes"].iat[0]  # a block of members against itself
         right = left if within else np.flatnonzero(probe)
-        near = x[left] @ x[right].T >= threshold
-        if within:
-            near = np.triu(near, 1)
-        i, j = np.nonzero(near)
-        i, j = left[i], right[j]
+        found = []
+        for lo in range(0, len(right), BLOCK):
+            near = x[left] @ x[right[lo : lo + BLOCK]].T >= threshold
+            a, b = np.nonzero(np.triu(near, 1 - lo) if within else near)
+            found.append((left[a], right[lo + b]))
+        i, j = (np.concatenate(v) for v in zip(*found, strict=True)) if found else (left[:0], left[:0])
         count = np.bincount(i, copies[j], len(g)) + np.bincount(j, copies[i], len(g))
         label = ids.copy()
         while len(i):
@@ -267,7 +270,7 @@ def _links(classes: DataFrame, kind: str, dim: int, total: int, threshold, recal
     cells = len(index.books[0]) * len(index.books[1])
     blocks = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
     for cell, probe, n in sizes.collect():  # at most two rows for each cell of the grid
-        blocks[int(probe)][cell] = -(-n // block)
+        blocks[int(probe)][cell] = -(-n // (block * WIDE if probe else block))
     rows = flat.mapInArrow(_assign(index, kind, dim, blocks), "cell long, members long, probes long, probe boolean, cid long, copies long, vector binary")
     found = rows.groupBy("cell", "members", "probes").applyInPandas(_compare(kind, dim, threshold), "cid long, n long, least long")
     found = scratch.table(found)
