@@ -71,3 +71,8 @@ def test_rest_works_without_this_part(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'bars_daily' in q and not any(k.startswith('op') and k[2:3].isdigit() for k in q) and 'pipeline' not in q; e.oracle_sql()"
     done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+    run = lambda *args: subprocess.run([sys.executable, "-m", "pytest", "-q", *args], cwd=copy, capture_output=True, text=True, timeout=600)
+    every = run("--collect-only", "tests")
+    assert every.returncode == 0 and "error" not in every.stdout.lower(), every.stdout
+    done = run("-x", "tests/test_functions.py", "tests/test_queries.py", "-k", "test_functions or test_entry or bars_daily or max_drawdown")
+    assert done.returncode == 0, done.stdout
