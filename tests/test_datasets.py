@@ -174,3 +174,17 @@ def test_means_in_parts(block):
         mean = recursive.Mean(factor, seed)
         got = np.concatenate([mean.add(x[k : k + block]) for k in range(0, len(x), block)])
         assert np.allclose(got, want, rtol=1e-11, atol=1e-12, equal_nan=True)
+
+
+def test_search_goes_where_scores_promise_most():
+    """A smooth score over the settings: five trials come closer to its top than the average of all settings."""
+    score = lambda s: -(((s[0] - 7) / 5) ** 2) - ((s[1] - 30) / 30) ** 2
+    gaps = []
+    for seed in range(20):
+        tried = {}
+        for _ in range(8):
+            s = learning._next_setting(tried, seed)
+            assert s in learning.SPACE and s not in tried
+            tried[s] = score(s)
+        gaps.append(-max(tried.values()))
+    assert sum(gaps) / len(gaps) < 0.02 and learning._next_setting({(3, 10): 0.5, (8, 40): 0.5}, 1) in learning.SPACE
