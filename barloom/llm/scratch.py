@@ -2,35 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import delete_at_exit
+from ..sources.staging import new_folder
 
 #: Ids are broadcast up to this many (8 bytes each, and as much again for the hash table); beyond it both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (a local test) one of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
-    own = tempfile.mkdtemp(prefix="barloom-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
-
-
 #: Rows and bytes of a batch that goes to a Python worker. Texts are long: batches by rows alone would not be bounded.
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
@@ -61,9 +43,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         small_batches(spark)
         self.spark = spark
-        self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        self.base = new_folder(spark, name)
         self.made = 0
-        delete_at_exit(self.base)
 
     def table(self, df: DataFrame) -> DataFrame:
         """df, written as Parquet and read back; `path_of` tells where."""
