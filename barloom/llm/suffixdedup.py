@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .bytesnp import prefix_hash, powers, slices, sliding_min, span_hash, text_column
+from .bytesnp import mixed, prefix_hash, powers, slices, sliding_min, span_hash, text_column
 from .scratch import Scratch, with_ids, without_ids
 
 WINDOW = 200
@@ -30,8 +30,11 @@ LARGE = 20_000
 AT_ONCE = 4096
 #: Neighbours in the order that are looked at one by one; what is open after them is settled by counting windows.
 STEPS = 64
+#: Rows of which numpy holds intermediate results at once.
+_ROWS = 4096
 _PLACE = 24
-_SEGMENT = 1 << 23
+#: A text of over twice as many bytes is read in parts.
+_SEGMENT = 1 << 20
 
 
 def _anchors(data: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +104,9 @@ class Rows:
         self.length = np.array([len(s) for s in strings], np.int64)
         self.bytes = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(len(strings), width)
         self.hash = np.zeros((len(strings), width + 1), np.uint64)
-        np.cumsum((self.bytes.astype(np.uint64) + np.uint64(1)) * powers(width)[0][:width], axis=1, out=self.hash[:, 1:])
+        for a in range(0, len(strings), _ROWS):
+            some = slice(a, a + _ROWS)
+            np.cumsum((self.bytes[some].astype(np.uint64) + np.uint64(1)) * powers(width)[0][:width], axis=1, out=self.hash[some, 1:])
 
     def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Lengths of the common prefixes: the longest that hash alike."""
@@ -201,20 +206,33 @@ def _nearest(by: Rows, order: np.ndarray, group: np.ndarray) -> np.ndarray:
     return out
 
 
+def _repeated_windows(left: Rows, right: Rows, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the rows (most bytes to the left, to the right) that its repeated windows reach, by comparing whole windows.
+
+    Windows with the anchor at one place are looked at together, so that only one of each row is held. Hashes tell
+    which can't be equal; the bytes decide.
+    """
+    most, least = np.full(len(rows), -1), np.full(len(rows), -1)
+    for x in range(min(left.bytes.shape[1], window) + 1):
+        at = np.flatnonzero((left.length[rows] >= x) & (right.length[rows] >= window - x))
+        if len(at) < 2:
+            continue
+        _, of, k = np.unique(mixed(left.hash[rows[at], x]) + right.hash[rows[at], window - x], return_inverse=True, return_counts=True)
+        at = at[k[of] > 1]
+        if not len(at):
+            continue
+        whole = np.concatenate([left.bytes[rows[at], :x], right.bytes[rows[at], : window - x]], axis=1)
+        _, of, k = np.unique(whole.view(f"S{window}").ravel(), return_inverse=True, return_counts=True)
+        at = at[k[of] > 1]
+        most[at] = x
+        least[at] = np.where(least[at] < 0, x, least[at])
+    return np.maximum(most, 0), np.where(least < 0, 0, window - least)
+
+
 def _count_windows(lefts: list[bytes], rights: list[bytes], window: int) -> list[tuple[int, int]]:
-    """For each anchor (most bytes to the left, to the right) that its repeated windows reach, by comparing whole windows."""
-    seen: dict[tuple[int, bytes], int] = {}
-    spans = []
-    for back, right in zip(lefts, rights, strict=True):
-        text, at = back[::-1] + right, len(back)
-        spans.append([(at - s, text[s : s + window]) for s in range(len(text) - window + 1) if s <= at])
-        for key in spans[-1]:
-            seen[key] = seen.get(key, 0) + 1
-    out = []
-    for keys in spans:
-        hit = [x for x, w in keys if seen[x, w] > 1]
-        out.append((max(hit), window - min(hit)) if hit else (0, 0))
-    return out
+    """`_repeated_windows` of anchors given as to `extensions`, all of one group."""
+    left, right = (Rows(x, max(1, max(map(len, x), default=1))) for x in (lefts, rights))
+    return list(zip(*(x.tolist() for x in _repeated_windows(left, right, np.arange(len(lefts)), window)), strict=True))
 
 
 def extensions(lefts: list[bytes], rights: list[bytes], size: np.ndarray, single: np.ndarray, window: int = WINDOW, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
@@ -233,16 +251,16 @@ def extensions(lefts: list[bytes], rights: list[bytes], size: np.ndarray, single
     # Verification: the bytes that the hashes found equal are compared.
     wrong = (u1 | u2) & open_
     for rows, partner, length in ((left, pl, best_left), (right, pr, best_right)):
-        for a in range(0, len(partner), 4096):
-            k = np.arange(a, min(a + 4096, len(partner)))
+        for a in range(0, len(partner), _ROWS):
+            k = np.arange(a, min(a + _ROWS, len(partner)))
             k = k[partner[k] >= 0]
             within = np.arange(rows.bytes.shape[1]) < length[k, None]
             wrong[k] |= ((rows.bytes[k] != rows.bytes[partner[k]]) & within).any(1)
     out_left, out_right = np.where(open_, best_left, 0), np.where(open_, best_right, 0)
     for g in np.unique(group[wrong]):
-        rows = range(start[g], start[g] + size[g])
-        for k, (a, b) in zip(rows, _count_windows(lefts[start[g] : start[g] + size[g]], rights[start[g] : start[g] + size[g]], window), strict=True):
-            out_left[k], out_right[k] = (a, b) if open_[k] else (0, 0)
+        rows = np.arange(start[g], start[g] + size[g])
+        a, b = _repeated_windows(left, right, rows, window)
+        out_left[rows], out_right[rows] = np.where(open_[rows], a, 0), np.where(open_[rows], b, 0)
     none = (out_left == 0) & (out_right == 0)
     return np.where(none, 0, out_left), np.where(none, 0, out_right)
 
@@ -280,20 +298,23 @@ def _sort(window: int):
 
 def _cut_contexts(batches):
     """Texts with the anchors wanted in them -> the bytes around each."""
+    made = lambda out: pa.record_batch({k: pa.array(v, pa.binary() if k == "around" else pa.int64()) for k, v in out.items()})
     for batch in batches:
         out: dict[str, list] = {k: [] for k in ("h", "c1", "c2", "n", "ll", "around")}
         for text, wanted in zip(batch["text"], batch["wanted"], strict=True):
-            raw = text.as_buffer()
-            for w in wanted.as_py():
-                place, ll, rl = w["packed"] >> 20, (w["packed"] >> 10) & 1023, w["packed"] & 1023
+            raw, anchors = text.as_buffer(), wanted.values
+            for lo in range(0, len(anchors), AT_ONCE):
+                some = anchors.slice(lo, AT_ONCE)
                 for k in ("h", "c1", "c2", "n"):
-                    out[k].append(w[k])
-                out["ll"].append(ll)
-                out["around"].append(raw.slice(place - ll, ll + rl).to_pybytes())
-            if len(out["h"]) >= AT_ONCE:
-                yield pa.record_batch({k: pa.array(v, pa.binary() if k == "around" else pa.int64()) for k, v in out.items()})
-                out = {k: [] for k in out}
-        yield pa.record_batch({k: pa.array(v, pa.binary() if k == "around" else pa.int64()) for k, v in out.items()})
+                    out[k] += some.field(k).to_pylist()
+                for packed in some.field("packed").to_pylist():
+                    place, ll, rl = packed >> 20, (packed >> 10) & 1023, packed & 1023
+                    out["ll"].append(ll)
+                    out["around"].append(raw.slice(place - ll, ll + rl).to_pybytes())
+                if len(out["h"]) >= AT_ONCE:
+                    yield made(out)
+                    out = {k: [] for k in out}
+        yield made(out)
 
 
 def _windows(window: int):
