@@ -16,6 +16,8 @@ from .scratch import Scratch, free_name, small_batches
 
 #: Labelled documents, and bytes of them, that training takes at most, least hash of the id first.
 TRAIN_ROWS, TRAIN_BYTES = 12_000, 64 << 20
+#: Files that the labelled documents are written to at most.
+TRAIN_FILES = 12
 THRESHOLD = 0.3
 #: A word counts as itself and by its first so many bytes.
 PREFIXES = (4, 5, 6)
@@ -219,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     one = texts.join(F.broadcast(known), "key").groupBy("key", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    one = scratch.table(one.withColumn("size", F.octet_length("text").cast("long")))
+    # Few files, however many partitions a shuffle has: for each one the executors start processes that set its rights.
+    one = scratch.table(one.withColumn("size", F.octet_length("text").cast("long")).coalesce(TRAIN_FILES))
     # At most `rows` numbers in one window: those that fit into `size` together, an oversized one being passed over.
     upto = F.sum("size").over(Window.orderBy(F.xxhash64("key"), "key").rowsBetween(Window.unboundedPreceding, 0))
     some = one.select("key", "size").where(F.col("size") <= size).select("key", upto.alias("upto")).where(F.col("upto") <= size).select("key")
